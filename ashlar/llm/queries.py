@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, shards, simhash
+from . import decontam, langid, pieces, pii, shards, simhash, topk
 from .common import fold
 
 
@@ -13,12 +13,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select("doc_id", "n_ids", "ids", "round_trip", "decoded_crc32")
+
+
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 50 == 0)
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_groups(docs)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = pii.spans_of(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["doc_id"])
+    count = lambda k: F.size(F.filter("base", lambda s: s["k"] == k)).cast("long")
+    counts = [count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return marked.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.select("doc_id", "text", "lang"), fold("doc_id", 5) != 0)
@@ -42,4 +58,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_exact_topk": """
+            WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+                       WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                  FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+            r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+            SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    }
