@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, pieces, pii, shards, simhash, topk
+from . import decontam, html_text, langid, pieces, pii, shards, simhash, topk, warc
 from .common import fold
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return coded.select("doc_id", "n_ids", "ids", "round_trip", "decoded_crc32")
@@ -48,6 +53,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated().alias("contaminated"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_records(warc.archive(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shards.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
