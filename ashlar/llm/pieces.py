@@ -27,7 +27,9 @@ OWN_MARK = "\udc81"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A byte piece costs as much more than the worst piece.
 BYTE_COST = 10.0
-KEEP_WORDS, KEEP_CHARS = 150_000, 32
+KEEP_WORDS, KEEP_CHARS = 400_000, 32
+#: A batch is cut into runs of about so many characters, a longer text being one by itself.
+RUN_CHARS = 2_000_000
 
 
 def load_vocabulary(path: str = DEFAULT_MODEL) -> dict:
@@ -53,10 +55,12 @@ def load_vocabulary(path: str = DEFAULT_MODEL) -> dict:
 class Encoder:
     def __init__(self, vocabulary: dict):
         self.pieces, self.byte_ids, self.raw = vocabulary["pieces"], vocabulary["bytes"], vocabulary["raw"]
-        ends: dict[str, set[int]] = {}
-        for p in self.pieces:
-            ends.setdefault(p[-1], set()).add(len(p))
-        self.lengths = {c: tuple(sorted(n, reverse=True)) for c, n in ends.items()}
+        self.root: dict = {}  # pieces by their characters from the last to the first; at "": (score, id)
+        for p, entry in self.pieces.items():
+            node = self.root
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = entry
         self.byte_score = min((s for s, _ in self.pieces.values()), default=0.0) - BYTE_COST
         self.kept: dict[str, tuple[int, ...]] = {}
 
@@ -65,21 +69,19 @@ class Encoder:
 
     def words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of each word; words must be sorted and distinct."""
-        found, pieces, lengths = {}, self.pieces, self.lengths
+        found, pieces, root = {}, self.pieces, self.root
         best, back, before = [0.0], [0], ""
         for word in words:
             top = min(len(word), len(before))
             same = next((i for i in range(top) if word[i] != before[i]), top)
             del best[same + 1 :], back[same + 1 :]
             for end in range(same + 1, len(word) + 1):
-                c = word[end - 1]
-                score, start, known = -1e300, end - 1, False
-                for n in lengths.get(c, ()):
-                    if n <= end and (p := pieces.get(word[end - n : end])) is not None:
-                        known = known or n == 1
-                        if (s := best[end - n] + p[0]) > score:
-                            score, start = s, end - n
-                if not known and (s := best[end - 1] + self.byte_score * len(self.char_bytes(c))) > score:
+                score, start, at, node = -1e300, end - 1, end, root
+                while at and (node := node.get(word[at - 1])) is not None:
+                    at -= 1
+                    if (p := node.get("")) is not None and (s := best[at] + p[0]) >= score:  # of equals the longest
+                        score, start = s, at
+                if word[end - 1] not in pieces and (s := best[end - 1] + self.byte_score * len(self.char_bytes(word[end - 1]))) > score:
                     score, start = s, ~(end - 1)
                 best.append(score)
                 back.append(start)
@@ -98,21 +100,31 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [[MARK + w for w in t.replace(MARK, OWN_MARK).split(" ")] if t else [] for t in texts]
         fresh = self.words(sorted({w for ws in split for w in ws if w not in self.kept}))
-        self.kept |= fresh
-        found = [[i for w in ws for i in self.kept[w]] for ws in split]
-        if len(self.kept) > KEEP_WORDS:
-            self.kept = {}
-        else:
-            for w in fresh:
-                if len(w) > KEEP_CHARS:
-                    del self.kept[w]
+        of = self.kept
+        of |= fresh
+        found = [[i for w in ws for i in of[w]] for ws in split]
+        for w in fresh:
+            if len(w) > KEEP_CHARS:
+                del of[w]
+        if len(of) > KEEP_WORDS:  # what this batch used stays
+            self.kept = {w: of[w] for ws in split for w in ws if w in of}
         return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.raw.__getitem__, ids))[1:]
 
 
-def encode(docs: DataFrame, text: str = "text", model_path: str = DEFAULT_MODEL, carry_text: bool = False, rows: int = 256) -> DataFrame:
+def runs(texts: list, limit: int = RUN_CHARS):
+    """(first, how many) of consecutive texts of about `limit` characters together."""
+    lo, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= limit or i == len(texts) - 1:
+            yield lo, i + 1 - lo
+            lo, held = i + 1, 0
+
+
+def encode(docs: DataFrame, text: str = "text", model_path: str = DEFAULT_MODEL, carry_text: bool = False) -> DataFrame:
     """docs with ids (array of int), n_ids, and round_trip: whether the ids decode to the text."""
     import zlib
 
@@ -124,9 +136,9 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = DEFAULT_MODEL,
     def run(batches):
         use = Encoder(sent.value)
         for whole in batches:
-            for lo in range(0, whole.num_rows, rows):
-                batch = whole.slice(lo, rows)
-                texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            everything = [t or "" for t in whole.column(whole.schema.get_field_index(text)).to_pylist()]
+            for lo, n in runs(everything):
+                batch, texts = whole.slice(lo, n), everything[lo : lo + n]
                 ids = use.encode(texts)
                 back = [use.decode(x) for x in ids]
                 ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
