@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, langid, pieces, pii, shards, simhash, topk, warc
+from . import decontam, html_text, langid, lm_score, pieces, pii, shards, simhash, topk, warc
 from .common import fold
 
 
@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_score.fit(docs.where(fold("doc_id", 7) != 2), "text", F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 7) % lm_score.SLICES)
+    held = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    found = lm_score.score(docs.select("doc_id", held.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_ids")
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
