@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, write_table
+from .common import components, small, write_table
 
 CROWD = 64
 BITS = 64
@@ -221,9 +221,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     columns = docs.columns
     rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__row": F.xxhash64(*columns)})
     seen = near_groups(rows.select("__id", "__row", F.col(text).alias("__text")), "__id", "__text", width, radius)
-    first = seen.groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("w"))
-    copies = seen.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n"))
-    winners = first.select("w.__id", "w.__row").join(copies, ["__id", "__row"])
-    kept = rows.join(winners, ["__id", "__row"])
-    once = kept.where("__n = 1").select(*columns)
-    return once.unionByName(kept.where("__n > 1").dropDuplicates(["__id", "__row"]).select(*columns))
+    seen, _ = write_table(seen, "groups")
+    first = seen.groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("w")).select("w.__id", "w.__row")
+    copies = seen.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n")).join(first.withColumn("__won", F.lit(True)), ["__id", "__row"], "left")
+    special, _ = write_table(copies.where("__won IS NULL OR __n > 1"), "special")
+    gone, twice = special.select("__id", "__row"), special.where("__won AND __n > 1").select("__id", "__row")
+    once = rows.join(small(gone), ["__id", "__row"], "left_anti").select(*columns)
+    return once.unionByName(rows.join(small(twice), ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*columns))
