@@ -69,7 +69,7 @@ def phrase_matches(index: DataFrame, terms: DataFrame, width: int = WIDTH) -> Da
     (first, then), keep = anchors(terms, lengths, width), ["rid", "iid"]
     first, _ = write_table(first, "anchors")
     then, _ = write_table(then, "seconds")
-    lined = postings.select("rid", "pos", "term").join(small(first), "term").select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta")).where("delta >= 0")
+    lined = postings.select("rid", "pos", "term").join(small(first), "term").select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta"))  # negative where the document has a later part of the item only
     due = lined.join(small(then), ["iid", "j"]).select("rid", "iid", "delta", (F.col("delta") + F.col("j2")).alias("pos"), F.col("term2").alias("term"))
     seconds = postings.select("rid", "pos", "term").join(small(then.select(F.col("term2").alias("term")).distinct()), "term", "left_semi")
     left, _ = write_table(due.join(seconds, ["rid", "pos", "term"]).select(*keep, "delta").distinct(), "alignments")

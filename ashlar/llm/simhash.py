@@ -205,15 +205,16 @@ def links(distinct: DataFrame, radius: int, crowd: int = CROWD) -> tuple[DataFra
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """docs without `text`, with fp (long) and component_id (smallest id that is reachable)."""
+    """docs without `text`, with fp (long), component_id (smallest id that is reachable) and group_fp (the
+    component's smallest fingerprint, which tells components apart where ids repeat)."""
     marked, _ = write_table(fingerprints(docs, text, width, "__fp"), "fingerprints")
     distinct, _ = write_table(marked.groupBy("__fp").agg(F.min(id_col).alias("low")).select(F.col("__fp").alias("fp"), "low"), "distinct")
     pairs, _ = links(distinct.select("fp"), radius)
     labels = components(pairs, "a", "b")
     of = distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
     ids = of.groupBy("label").agg(F.min("low").alias("component_id"))
-    by_fp = of.select("fp", "label").join(ids, "label").select(F.col("fp").alias("__fp"), "component_id")
-    return marked.drop("component_id", "fp").join(by_fp, "__fp").withColumnRenamed("__fp", "fp")
+    by_fp = of.select("fp", "label").join(ids, "label").select(F.col("fp").alias("__fp"), "component_id", F.col("label").alias("group_fp"))
+    return marked.drop("component_id", "fp", "group_fp").join(by_fp, "__fp").withColumnRenamed("__fp", "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
@@ -222,7 +223,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__row": F.xxhash64(*columns)})
     seen = near_groups(rows.select("__id", "__row", F.col(text).alias("__text")), "__id", "__text", width, radius)
     seen, _ = write_table(seen, "groups")
-    first = seen.groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("w")).select("w.__id", "w.__row")
+    first = seen.groupBy("group_fp").agg(F.min(F.struct("__id", "__row")).alias("w")).select("w.__id", "w.__row")
     copies = seen.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n")).join(first.withColumn("__won", F.lit(True)), ["__id", "__row"], "left")
     special, _ = write_table(copies.where("__won IS NULL OR __n > 1"), "special")
     gone, twice = special.select("__id", "__row"), special.where("__won AND __n > 1").select("__id", "__row")
