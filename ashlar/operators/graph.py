@@ -71,7 +71,7 @@ def neighbours(relations: DataFrame, nodes: DataFrame, node_id: str, into: bool,
     """Neighbours of a type along edges into or out of a node, in edge order, duplicates kept."""
     here, there = ("target_node", "source_node") if into else ("source_node", "target_node")
     edges = relations.where(F.col(here) == node_id).select(F.col(there).alias("id"), F.col("ord").alias("edge"))
-    return edges.join(nodes.where(F.col("type") == node_type).select("id"), "id", "left_semi").orderBy("edge")
+    return edges.join(nodes.where(F.col("type") == node_type).select("id"), "id", "left_semi").orderBy("edge").select("id")
 
 
 def class_of_offset(registers: DataFrame, classes: DataFrame) -> DataFrame:

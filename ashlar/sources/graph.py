@@ -35,7 +35,7 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(name, content): whole files by their stem; separators of either kind."""
     stem = F.regexp_extract(F.regexp_replace(F.input_file_name(), r"\\", "/"), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return spark.read.option("wholetext", True).text(path).select(stem.alias("name"), F.col("value").alias("content"))
+    return spark.read.text(path, wholetext=True).select(stem.alias("name"), F.col("value").alias("content"))
 
 
 def csv_rows(texts: DataFrame) -> DataFrame:
