@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import extract as E
 from ..operators import graph as G
 
 QUERIES: dict = {}
@@ -297,3 +298,74 @@ def chunk_pages(s, d):
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def events_by_day(s, d):
     return t(s, d, "events").groupBy(F.date_trunc("day", "ts").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(CHK + "SELECT d.id, d.page, count(CASE WHEN m.page <> d.page THEN 1 END) AS reference_count, coalesce(string_agg(DISTINCT CASE WHEN m.page <> d.page THEN m.page END::VARCHAR, ',' ORDER BY CASE WHEN m.page <> d.page THEN m.page END::VARCHAR), '') AS pages FROM (SELECT source AS id, min(page) AS page FROM chk GROUP BY 1) d LEFT JOIN chk m ON m.source = d.id GROUP BY ALL")
+def reference_map(s, d):
+    c = chunks(s, d).select(F.col("source").alias("id"), "page")
+    found = E.reference_map(c, c.groupBy("id").agg(F.min("page").alias("page")))
+    return found.select("id", "page", "reference_count", F.array_join(F.array_sort(F.col("pages").cast("array<string>")), ",").alias("pages"))
+
+
+@query(REG + ", b AS (SELECT DISTINCT p_brand FROM part) SELECT 'REGCLASS_' || p_brand AS class_id, count(*)::INTEGER AS member_count, string_agg(id, ',' ORDER BY ord) AS members FROM b JOIN reg ON class_id = 'REGCLASS_' || p_brand GROUP BY ALL")
+def class_members(s, d):
+    r = registers(s, d)
+    return E.class_members(r.select("class_id").distinct(), r).select("class_id", "member_count", F.array_join("member_register_ids", ",").alias("members"))
+
+
+@query("SELECT 'S' || i AS section, coalesce((SELECT count(*) FROM part WHERE p_partkey BETWEEN 150 * i AND 150 * i + 99), 0)::INTEGER AS n FROM range(20) r(i)")
+def items_of_sections(s, d):
+    sections = s.createDataFrame([(f"S{i}", 150 * i, 150 * i + 99) for i in range(20)], "section string, start long, end long")
+    items = registers(s, d).select("id", F.col("ord").alias("page"))
+    return E.items_of_sections(sections, items).select("section", F.size("items").alias("n"))
+
+
+@query(CHK + "SELECT page, count(*)::INTEGER AS n_chunks, sha256(string_agg(full_text, chr(10) || chr(10) ORDER BY ord)) AS text_sha256 FROM chk GROUP BY page")
+def page_content(s, d):
+    nodes = chunks(s, d).withColumn("type", F.lit("SPEC_CHUNK"))
+    return E.page_content(nodes).select("page", F.size("chunks").alias("n_chunks"), F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("SELECT c_custkey, c_mktsegment, 'new' AS origin FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT c_custkey, c_mktsegment, 'old' FROM customer WHERE c_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey IS NOT NULL)")
+def fill_missing(s, d):
+    c = t(s, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    new = c.where("c_mktsegment = 'BUILDING'").withColumn("origin", F.lit("new"))
+    return E.fill_missing(new, c.withColumn("origin", F.lit("old")), ["c_nationkey"]).drop("c_nationkey")
+
+
+@query("WITH h AS (SELECT o_custkey AS book, o_orderkey AS start, greatest(o_orderkey, coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1, 1000000)) AS stop FROM orders) SELECT book, start AS chapter, k::INTEGER AS part, start + k * 50000 AS start, least(start + k * 50000 + 49999, stop) AS \"end\" FROM h, unnest(range(0, (stop - start) // 50000 + 1)) u(k)")
+def chapter_parts(s, d):
+    o = t(s, d, "orders").select(F.col("o_custkey").alias("book"), F.col("o_orderkey").alias("chapter"), F.col("o_orderkey").alias("start"))
+    return E.chapter_parts(o, 1_000_000, 50_000)
+
+
+@query("SELECT p_partkey || '.' || (1 + p_size % 9) AS number, 'About ' || p_name AS title, p_size AS page FROM part")
+def contents_entries(s, d):
+    line = F.concat(F.lit("\n "), "p_partkey", F.lit("."), 1 + F.col("p_size") % 9, F.lit("  About "), "p_name", F.lit(" ....... "), "p_size", F.lit("\n"))
+    return E.contents(t(s, d, "part").select(F.col("p_partkey").alias("page"), line.alias("text")), "section")
+
+
+@query("SELECT p_partkey AS page, 'Appendix_' || chr(65 + (p_partkey % 26)::INT) AS number, 'About ' || p_name AS title FROM part QUALIFY row_number() OVER (PARTITION BY p_partkey % 26 ORDER BY p_partkey) = 1")
+def section_headers(s, d):
+    body = F.concat(F.lit("text\nAppendix "), F.char(65 + F.col("p_partkey") % 26), F.lit(" (Normative) : About "), "p_name", F.lit("\n3.0 Not A Header\n2.1 Table of things"))
+    return E.section_headers(t(s, d, "part").select(F.col("p_partkey").alias("page"), body.alias("text"))).select("page", "number", "title")
+
+
+@query("WITH x AS (SELECT p_partkey, 4 + p_size % 4 AS high FROM part) SELECT 'T' || p_partkey || '_F00' AS field_id, high::INTEGER AS high, 4 AS low, 'read-only' AS access, 'Part ' || p_partkey || ' more' AS description FROM x")
+def field_rows(s, d):
+    p = t(s, d, "part").select(F.concat(F.lit("T"), "p_partkey").alias("name"), "p_partkey", (4 + F.col("p_size") % 4).cast("string").alias("high"))
+    cells = F.array(F.array(*map(F.lit, ("Bits", "Attribute", "Field name", "Description"))), F.array(F.concat("high", F.lit(":4")), F.lit("RO"), F.lit("Mode"), F.concat(F.lit("Part "), "p_partkey")),
+                    F.array(F.lit(""), F.lit(""), F.lit(""), F.lit("more")), F.array(F.lit("3:0"), F.lit("RO"), F.lit("Reserved"), F.lit("")))
+    rows = p.select("name", F.posexplode(cells).alias("row_no", "cells"))
+    return E.field_rows(rows, E.column_map(["Bits", "Attribute", "Field name", "Description"])).select("field_id", "high", "low", "access", "description")
+
+
+@query("SELECT p_partkey AS node_id, 'field_name_length' AS \"check\", 'error' AS severity FROM part WHERE length(p_name) > 18 UNION ALL SELECT p_partkey, 'missing_bits', 'warning' FROM part WHERE p_size % 5 = 0")
+def field_issues(s, d):
+    p = t(s, d, "part").select(F.col("p_partkey").alias("field_id"), F.col("p_name").alias("name"), F.when(F.col("p_size") % 5 != 0, "7:0").alias("bits"), F.lit("RW").alias("access"))
+    return E.validate_fields(p, 18)
+
+
+@query("SELECT 'REL_' || lpad(CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR), greatest(4, length(CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS VARCHAR)))::INT, '0') AS id, o_orderkey FROM orders")
+def numbered_edges(s, d):
+    return E.number_edges(t(s, d, "orders").select("o_orderdate", "o_orderkey"), "REL_", ["o_orderdate", "o_orderkey"]).select("id", "o_orderkey")

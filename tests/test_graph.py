@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ashlar.functions import columns as C
+from ashlar.operators import extract as E
 from ashlar.operators import graph as G
 from ashlar.plans import queries as Q
 from ashlar.plans.catalog import GraphCatalog
@@ -123,3 +124,33 @@ def test_sources_and_streaming(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [0, 1]
 
 
+def test_headers_and_contents(spark):
+    text = "2.1 Overview of host\n2. Scope of this\n3.0 Zero Heading\nFigure 1\nA.1 Sample Code\nAppendix B (Normative) : Timing\n2.1 Overview Again\n4.2 Intro ..... 7"
+    got = {(r["number"], r["title"], r["kind"]) for r in E.section_headers(spark.createDataFrame([(1, text), (2, None)], "page int, text string")).collect()}
+    assert got == {("2.1", "Overview of host", "section"), ("2", "Scope of this", "chapter"), ("A.1", "Sample Code", "appendix_section"), ("Appendix_B", "Timing", "appendix")}
+    pages = spark.createDataFrame([(1, "Table 2-1 : Registers. ..... 9\nTable 2-2: Bits .... 10\nFigure 1-1 : Host .... 3"), (2, "Table 2-1 : Again .... 99")], "page int, text string")
+    assert sorted(map(tuple, E.contents(pages, "table").collect())) == [("2-1", "Registers", 9), ("2-2", "Bits", 10)]
+    assert [tuple(r) for r in E.contents(pages, "figure").collect()] == [("1-1", "Host", 3)]
+
+
+def test_fields_of_a_table(spark):
+    assert E.column_map(["Bit", "Attrib", "Register Field Explanation"]) == {"bits": 0, "access": 1, "name": 2}
+    cells = [["Bit", "Attrib", "Name", "Description"], ["", "", "", "orphan"], ["15-08", "RSVD", "Reserved"], ["07:04", "R/W", "Mode\nwhat it does", "first"], ["", "", "", "second"], ["3", "ROC", "Done"]]
+    rows = spark.createDataFrame([("T", i, c) for i, c in enumerate(cells)], "name string, row_no int, cells array<string>")
+    got = [tuple(r) for r in E.field_rows(rows, E.column_map(cells[0])).orderBy("ordinal").collect()]
+    assert got == [("T_F01", "T", 1, "07:04", 7, 4, 4, "Mode", "read-write", "what it does first second"), ("T_F02", "T", 2, "3", 3, 3, 1, "Done", "read-only-clear", "")]
+    assert {(r["node_id"], r["check"]) for r in E.validate_fields(spark.createDataFrame([("a", "x" * 81, "7", "RW"), ("b", "n", "", None)], "field_id string, name string, bits string, access string")).collect()} == {("a", "field_name_length"), ("b", "missing_bits"), ("b", "missing_access")}
+
+
+def test_nodes_edges_and_parts(spark):
+    rows = spark.createDataFrame([("TABLE_1", 3, "COMPLETED", 0, "DMA mode table"), ("TABLE_2", None, "PENDING", 1, None)], "id string, page int, status string, ord long, title string")
+    title = F.col("title")
+    nodes = E.build_nodes(rows, "TABLE", title, title, title)
+    assert [(r["name"], r["confidence"], r["index_keywords"]) for r in nodes.orderBy("ord").collect()] == [("DMA mode table", 0.95, ["dma", "mode", "table", "DMA"]), ("TABLE_2", 0.7, [])]
+    both = E.merge_parts([nodes, nodes.withColumn("extra", F.lit(1))])
+    assert [(r["ord"]["part"], r["ord"]["at"], r["extra"]) for r in both.orderBy("ord").collect()] == [(0, 0, None), (0, 1, None), (1, 0, 1), (1, 1, 1)]
+    edges = E.number_edges(spark.range(50).withColumn("k", -F.col("id")).drop("id"), "REL_REF_", ["k"]).orderBy("id").collect()
+    assert [r["k"] for r in edges] == list(range(-49, 1)) and edges[0]["id"] == "REL_REF_0001"
+    files = spark.createDataFrame([("e", ""), ("n", None), ("one", "a,b,c,d,e,f\n\n"), ("ok", "a,b,c,d\n1,2,3,4\n@StartUML")], "name string, content string")
+    assert {(r["node_id"], r["check"]) for r in E.validate_tables(files).collect()} == {("e", "empty_csv"), ("n", "empty_csv"), ("one", "single_row")}
+    assert {(r["node_id"], r["check"]) for r in E.validate_figures(files).collect()} == {("e", "empty_diagram"), ("n", "empty_diagram"), ("one", "no_start_mark")}
