@@ -116,6 +116,18 @@ def chapter_parts(chapters: DataFrame, last_page: int, pages: int = 40) -> DataF
     return parts.select("book", "chapter", "part", "start", F.least(F.col("start") + pages - 1, F.col("end")).alias("end"))
 
 
+def table_pages(definitions: DataFrame, continued: DataFrame, span: int = 5) -> DataFrame:
+    """(id, pages): the page that defines a table and those around it, up to span each way, that continue it; a page
+    that defines a table or is not among the continued ones ends the run in its direction."""
+    steps = definitions.select("id", "page", F.explode(F.expr("array(-1, 1)")).alias("way")).select("*", F.explode(F.sequence(F.lit(1), F.lit(span))).alias("step"))
+    steps = steps.select("id", F.col("page").alias("home"), "way", "step", (F.col("page") + F.col("way") * F.col("step")).alias("page"))
+    free = continued.select("page").distinct().join(definitions.select("page").distinct(), "page", "left_anti").withColumn("open", F.lit(True))
+    marked = steps.join(free, "page", "left")
+    held = marked.withColumn("stop", F.min(F.when(F.col("open").isNull(), F.col("step"))).over(Window.partitionBy("id", "home", "way"))).where("stop IS NULL OR step < stop")
+    whole = definitions.select("id", "page").unionByName(held.select("id", "page"))
+    return whole.groupBy("id").agg(F.array_sort(F.collect_set("page")).alias("pages"))
+
+
 def build_nodes(rows: DataFrame, kind: str, name: Column, description: Column, text: Column, done: float = 0.95, open_: float = 0.7) -> DataFrame:
     """Nodes of a type out of rows (id, page, status, ord): keywords from the text, confidence by status."""
     keys = F.array_distinct(F.concat(C.keywords(text), C.technical_terms(text)))

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
+from ..operators import extract as E
 from ..operators import graph as G
 
 MAX_RESULTS = 1000
@@ -129,5 +131,20 @@ class GraphCatalog:
         mine = F.regexp_replace("id", r"_C\d+$", "") == section_id
         return self.nodes.where(mine & (tail != "")).orderBy(tail.cast("int"))
 
+    def get_register_map(self) -> DataFrame:
+        found = self.nodes.where("type = 'REGISTER'").withColumn("offset_hex", F.col("extras")["offset_hex"])
+        return found.orderBy(C.offset_int(F.col("offset_hex")), "ord").select("id", "name", "offset_hex")
+
+    def get_page_content(self, page: int) -> DataFrame:
+        here = self.nodes.where(F.col("source.page") == page).select("id", "type", "ord", F.lit(page).alias("page"), F.col("extras")["full_text"].alias("full_text"))
+        return E.page_content(here)
+
+    def get_feature_tree(self) -> DataFrame:
+        """Features without a parent, each with its direct children in order."""
+        f = self.nodes.where("type = 'FEATURE'").select("id", "name", "ord", F.coalesce(F.col("extras")["parent"], F.lit("")).alias("parent"))
+        kids = f.where("parent <> ''").groupBy(F.col("parent").alias("id")).agg(F.array_sort(F.collect_list(F.struct("ord", "id"))).alias("k"))
+        ids = F.coalesce(F.transform("k", lambda x: x["id"]), F.array().cast("array<string>"))
+        return f.where("parent = ''").join(kids, "id", "left").orderBy("ord").select("id", "name", ids.alias("children"))
+
     def validate(self) -> DataFrame:
         return G.validate(self.nodes, self.relations)

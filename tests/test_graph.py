@@ -154,3 +154,22 @@ def test_nodes_edges_and_parts(spark):
     files = spark.createDataFrame([("e", ""), ("n", None), ("one", "a,b,c,d,e,f\n\n"), ("ok", "a,b,c,d\n1,2,3,4\n@StartUML")], "name string, content string")
     assert {(r["node_id"], r["check"]) for r in E.validate_tables(files).collect()} == {("e", "empty_csv"), ("n", "empty_csv"), ("one", "single_row")}
     assert {(r["node_id"], r["check"]) for r in E.validate_figures(files).collect()} == {("e", "empty_diagram"), ("n", "empty_diagram"), ("one", "no_start_mark")}
+
+
+def test_table_pages(spark):
+    definitions = spark.createDataFrame([("A", 10), ("B", 13), ("C", 30)], "id string, page int")
+    continued = spark.createDataFrame([(p,) for p in (8, 9, 11, 12, 13, 14, 16, 31, 31)], "page int")
+    got = {r["id"]: r["pages"] for r in E.table_pages(definitions, continued, 3).collect()}
+    assert got == {"A": [8, 9, 10, 11, 12], "B": [11, 12, 13, 14], "C": [30, 31]}
+
+
+def test_catalog_maps_pages_and_features(spark, tmp_path):
+    nodes = [{"id": f"REG_{i}", "type": "REGISTER", "name": f"R{i}", "source": {"page": 2}, "extras": {"offset_hex": o}} for i, o in enumerate(("100h", "0x2C", "04h"))]
+    nodes += [{"id": f"C{i}", "type": "SPEC_CHUNK", "name": "c", "source": {"page": 2}, "extras": {"full_text": t}} for i, t in enumerate(("one", "two"))]
+    nodes += [{"id": i, "type": "FEATURE", "name": i, "extras": {"parent": p}} for i, p in (("F1", ""), ("F2", "F1"), ("F3", "F1"), ("F4", ""))]
+    (tmp_path / "g.json").write_text(json.dumps({"nodes": nodes, "relations": []}))
+    c = GraphCatalog(*S.read_graph(spark, str(tmp_path / "g.json")))
+    assert [r["id"] for r in c.call("get_register_map")["results"]] == ["REG_2", "REG_1", "REG_0"]
+    page = c.call("get_page_content", page=2)["results"][0]
+    assert (page["chunks"], page["registers"], page["text"]) == (["C0", "C1"], ["REG_0", "REG_1", "REG_2"], "one\n\ntwo")
+    assert [(r["id"], r["children"]) for r in c.call("get_feature_tree")["results"]] == [("F1", ["F2", "F3"]), ("F4", [])]
