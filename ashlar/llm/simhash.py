@@ -217,11 +217,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     return marked.drop("component_id", "fp", "group_fp").join(by_fp, "__fp").withColumnRenamed("__fp", "fp")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest id; of rows that share it, the first by content."""
-    columns = docs.columns
-    rows = docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__row": F.xxhash64(*columns)})
-    seen = near_groups(rows.select("__id", "__row", F.col(text).alias("__text")), "__id", "__text", width, radius)
+def numbered_rows(docs: DataFrame, id_col: str) -> DataFrame:
+    """docs with what keep_first tells rows apart by."""
+    return docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__row": F.xxhash64(*docs.columns)})
+
+
+def keep_first(rows: DataFrame, seen: DataFrame, columns: list[str]) -> DataFrame:
+    """One row of each group. rows: from numbered_rows; seen: __id, __row and group_fp of each."""
     seen, _ = write_table(seen, "groups")
     first = seen.groupBy("group_fp").agg(F.min(F.struct("__id", "__row")).alias("w")).select("w.__id", "w.__row")
     copies = seen.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n")).join(first.withColumn("__won", F.lit(True)), ["__id", "__row"], "left")
@@ -229,3 +231,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     gone, twice = special.select("__id", "__row"), special.where("__won AND __n > 1").select("__id", "__row")
     once = rows.join(small(gone), ["__id", "__row"], "left_anti").select(*columns)
     return once.unionByName(rows.join(small(twice), ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*columns))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
+    """One document of each group: the one with the smallest id; of rows that share it, the first by content."""
+    rows = numbered_rows(docs, id_col)
+    return keep_first(rows, near_groups(rows.select("__id", "__row", F.col(text).alias("__text")), "__id", "__text", width, radius), docs.columns)
