@@ -15,7 +15,7 @@ Crowded keys: two fingerprints are within 2r bits exactly if some value lies wit
 both. Members of a key with over CROWD fingerprints therefore are not paired; each sends its
 values within r = ceil(radius / 2) bits, at which they meet, and members of a meeting point that
 are within the radius are linked to its smallest one. For radius 2, all that meet are linked, so
-this way is exact and linear; it is only offered for radius 2 or less.
+this way is exact and linear; for radius 1, each is linked to its one-bit neighbours. It is only offered for radius 2 or less.
 
 Defined results: a null text has no words, as an empty one; no words give fingerprint zero. Rows
 with a null doc_id belong to components as others do and are not counted for the smallest id, which
@@ -201,6 +201,8 @@ def links(distinct: DataFrame, radius: int, crowd: int = CROWD) -> tuple[DataFra
     meet = packed.distinct().select("fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in flips(list(range(BITS)), reach)])).alias("z"))
     points = meet.groupBy("z").agg(F.min("fp").alias("a"), F.collect_list("fp").alias("all"))  # at most 65 values of one bit's distance
     met = points.where(F.size("all") > 1).select("a", F.explode("all").alias("b")).where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
+    if radius == 1:  # those that meet may be two bits apart; here each is linked to its own neighbours
+        met = meet.where("fp <> z").join(distinct.select(F.col("fp").alias("z")), "z").select(F.col("fp").alias("a"), F.col("z").alias("b"))
     return pairs.unionByName(met), plan
 
 
