@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Rows up to which a side of a join is broadcast; rows are a few short columns each.
 BROADCAST_ROWS = 200_000
+#: A key is heavy if it has more rows than this, and more than such a part of all rows.
+HEAVY_ROWS, HEAVY_SHARE = 1000, 20_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,9 +47,32 @@ def drop_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether df has at most so many rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most so many rows, else df itself (a shuffled join)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if fits(df, rows) else df
+
+
+def keyed_join(rows: DataFrame, side: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """rows joined with `side`, which has one row of a few short columns for each key, without a task that
+    holds a key's rows. `how`: inner, left, left_semi or left_anti.
+
+    A small side is broadcast. Else the keys that hold over HEAVY_ROWS and over a HEAVY_SHARE-th of all rows, of
+    which there are fewer than HEAVY_SHARE, are broadcast, and only the rows of other keys are shuffled. `rows`
+    is read several times, so it should be a table."""
+    if fits(side):
+        return rows.join(F.broadcast(side), key, how)
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    least = max(HEAVY_ROWS, rows.count() // HEAVY_SHARE)
+    heavy, _ = write_table(counts.where(F.col("__n") > least).select(*key), "heavy")
+    part = rows.join(F.broadcast(heavy.withColumn("__heavy", F.lit(True))), key, "left")
+    few = side.join(F.broadcast(heavy), key, "left_semi")  # one row a heavy key at most
+    rest = part.where("__heavy IS NULL").drop("__heavy").join(side, key, how)
+    return rest.unionByName(part.where("__heavy").drop("__heavy").join(F.broadcast(few), key, how))
 
 
 def ascii_lower(text: Column) -> Column:
@@ -74,29 +99,32 @@ def numbered(df: DataFrame, groups: list[str], order: list[Column], name: str, b
     return ranked.join(F.broadcast(shift), [*groups, "__bucket"]).withColumn(name, F.col("__rank") + F.col("__shift")).drop("__rank", "__shift")
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
     """Connected components as (node, label): label is the smallest node of the component.
 
-    Alternates large-star and small-star steps; every step is a grouped minimum and a join back,
-    written to the shared folder, so neither links nor components reach the driver."""
+    Alternates large-star and small-star steps until nothing changes; every step is a grouped minimum and a
+    join back, written to the shared folder, so neither links nor components reach the driver. A node with very
+    many links is joined apart (keyed_join). With `rounds`, an error is raised where that many don't suffice."""
     spark = edges.sparkSession
     now, path = write_table(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
     )
-    mark = None
-    for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    mark, done = None, 0
+    while True:
+        both, both_path = write_table(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low, low_path = write_table(low, "low")
+        large = keyed_join(both.where("v > u"), low, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large_t, large_path = write_table(large, "large")
-        low = large_t.groupBy("u").agg(F.min("v").alias("m"))
-        linked = large_t.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        low, low2_path = write_table(large_t.groupBy("u").agg(F.min("v").alias("m")), "low")
+        linked = keyed_join(large_t, low, ["u"]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         after, after_path = write_table(linked.select("e.u", "e.v").where("u <> v").distinct(), "edges")
-        drop_table(spark, path)
-        drop_table(spark, large_path)
+        for old in (path, both_path, low_path, large_path, low2_path):
+            drop_table(spark, old)
         now, path = after, after_path
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
-            break
-        mark = seen
-    return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        mark, done = seen, done + 1
+        if rounds is not None and done > rounds:
+            raise RuntimeError(f"components have not converged after {rounds} rounds")

@@ -7,7 +7,10 @@ granted hub by hub, as far as the target's quota goes. Documents without links t
 that counts differ by one at most, whatever the links are.
 
 Ranks (for quotas and for the gapless slots) come from per-bucket numbering plus bucket offsets, so
-no task holds a whole shard; hubs are handled as counts by (hub, shard), so no task holds a hub.
+no task holds a whole shard; hubs are handled as counts by (hub, shard), and rows of a large hub get
+their hub's data by a broadcast of a bounded number of rows (keyed_join), so no task holds a hub.
+
+cut_edges() gives what is minimised: the pairs of linked documents that stand in different shards.
 
 Defined results: a null text has no bytes and size 1, crc32 0, and counts as equal to the empty text;
 repeated rows and null ids get slots of their own; an empty table gives an empty result."""
@@ -17,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_table, numbered, small, write_table
+from .common import drop_table, keyed_join, numbered, write_table
 
 SHARDS, ROUNDS, BUCKETS = 8, 4, 256
 
@@ -62,7 +65,7 @@ def propagate(linked: DataFrame, quota: list[int], rounds: int = ROUNDS) -> Data
             break
         chance = F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(1_000_000)) / 1_000_000
         after, after_path = write_table(
-            now.join(small(moves), ["hub", "shard"], "left").select("rid", "hub", F.when(chance < F.col("part"), F.col("target")).otherwise(F.col("shard")).alias("shard")), "labels"
+            keyed_join(now, moves, ["hub", "shard"], "left").select("rid", "hub", F.when(chance < F.col("part"), F.col("target")).otherwise(F.col("shard")).alias("shard")), "labels"
         )
         for old in (path, pairs_path, moves_path):
             drop_table(spark, old)
@@ -74,15 +77,15 @@ def assign(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     """(rid, shard, slot) for rows (rid, hub): counts differ by one at most, slots are gapless from 0."""
     n = rows.count()
     quota = quotas(n, shards)
-    hubs = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
-    linked = rows.join(hubs, "hub", "left_semi").select("rid", "hub")
-    alone = rows.join(hubs, "hub", "left_anti").select("rid")
+    hubs, _ = write_table(rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub", F.lit(True).alias("many")), "many")
+    marked, _ = write_table(keyed_join(rows.select("rid", "hub"), hubs, ["hub"], "left"), "marked")
+    linked = marked.where("many").select("rid", "hub")
+    alone = marked.where("many IS NULL").select("rid")
     placed = numbered(propagate(linked, quota, rounds).withColumn("__bucket", bucket("rid")), ["shard"], [F.col("rid")], "slot", BUCKETS)
     placed, _ = write_table(placed.select("rid", "shard", "slot"), "placed")
     kept = placed.where(F.col("slot") < by_shard(quota, F.col("shard")))
-    over = placed.join(kept.select("rid"), "rid", "left_anti").select("rid") if any(u > q for u, q in zip(loads(placed.withColumn("n", F.lit(1)), shards), quota, strict=True)) else None
     have = loads(kept.withColumn("n", F.lit(1)), shards)
-    rest = alone if over is None else alone.unionByName(over)
+    rest = alone.unionByName(placed.where(F.col("slot") >= by_shard(quota, F.col("shard"))).select("rid"))
     filled = numbered(rest.withColumn("__bucket", bucket("rid")), [], [F.col("rid")], "i", BUCKETS)
     shard, slot, begin = F.lit(None).cast("int"), F.lit(None).cast("long"), 0
     for s in range(shards):
@@ -101,3 +104,15 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).alias("doc_id"), (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.md5(raw).alias("hub")), "base"
     )
     return base.join(assign(base.select("rid", "hub"), shards), "rid").select("doc_id", "size", "text_crc32", "hub", "shard", "slot")
+
+
+def cut_edges(placed: DataFrame, hub: str = "hub", shard: str = "shard") -> DataFrame:
+    """One row (links, cut): how many pairs of rows share a hub, and how many of them stand in different shards.
+
+    Counted from the sizes by hub and shard; no pair is made."""
+    by = placed.groupBy(hub, shard).agg(F.count(F.lit(1)).cast("decimal(20,0)").alias("n"))
+    pairs = lambda n: n * (n - 1) / 2
+    each = by.groupBy(hub).agg(F.sum("n").alias("n"), F.sum(pairs(F.col("n"))).alias("inside"))
+    total = each.agg(F.sum(pairs(F.col("n").cast("decimal(20,0)"))).alias("links"), F.sum("inside").alias("inside"))
+    zero = F.lit(0).cast("decimal(38,0)")
+    return total.select(F.coalesce(F.col("links").cast("decimal(38,0)"), zero).alias("links"), F.coalesce((F.col("links") - F.col("inside")).cast("decimal(38,0)"), zero).alias("cut"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, small, write_table
+from .common import components, keyed_join, write_table
 
 CROWD = 64
 BITS = 64
@@ -83,7 +83,8 @@ def fingerprints(docs: DataFrame, text: str, width: int, out: str) -> DataFrame:
 def bit_moments(distinct: DataFrame, fp: str) -> tuple[int, np.ndarray]:
     """How many fingerprints there are, and how often bits i and j are set together, over all of them.
 
-    Each task adds up one 64 x 64 matrix."""
+    Each task adds up one 64 x 64 matrix and gives it row by row; Spark sums the rows, and 64 reach the driver."""
+    names = [f"m{j}" for j in range(BITS)]
 
     def run(batches):
         total, n = np.zeros((BITS, BITS)), 0
@@ -94,10 +95,14 @@ def bit_moments(distinct: DataFrame, fp: str) -> tuple[int, np.ndarray]:
                 bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)[:, ::-1].astype(np.float32)
                 total += (bits.T @ bits).astype(np.float64)
                 n += len(bits)
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["n", "m"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BITS, dtype=np.int32)), pa.array(np.full(BITS, n)), *(pa.array(total[:, j]) for j in range(BITS))], names=["i", "n", *names])
 
-    parts = distinct.select(fp).mapInArrow(run, "n long, m array<double>").collect()
-    return sum(p["n"] for p in parts), sum((np.array(p["m"]).reshape(BITS, BITS) for p in parts), np.zeros((BITS, BITS)))
+    parts = distinct.select(fp).mapInArrow(run, "i int, n long, " + ", ".join(f"{c} double" for c in names))
+    rows = parts.groupBy("i").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in names]).collect()
+    together = np.zeros((BITS, BITS))
+    for r in rows:
+        together[r["i"]] = r[2:]
+    return (rows[0]["n"] if rows else 0), together
 
 
 def group_bits(n: int, together: np.ndarray, parts: int) -> list[list[int]]:
@@ -182,13 +187,16 @@ def links(distinct: DataFrame, radius: int, crowd: int = CROWD) -> tuple[DataFra
         if limit < 0:
             continue
         own = distinct.select("fp", project(F.col("fp"), group).alias("k"))
-        probe = own if limit == 0 else own.select("fp", F.explode(F.array(*[F.col("k").bitwiseXOR(F.lit(m)) for m in flips(group, limit)])).alias("k"))
-        count = own.groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-        hot = count.where(F.col("c") > crowd).select("k")
-        crowded.append(probe.join(hot, "k", "left_semi").select("fp"))
-        some = count.where((F.col("c") <= crowd) & ((F.col("c") > 1) if limit == 0 else F.lit(True))).select("k")
-        x = own.join(some, "k", "left_semi").select("k", F.col("fp").alias("a"))
-        y = probe.join(some, "k", "left_semi").select("k", F.col("fp").alias("b")) if limit == 0 else probe.select("k", F.col("fp").alias("b"))
+        hot, _ = write_table(own.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > crowd).select("k", F.lit(True).alias("hot")), "hot-keys")
+        own = keyed_join(own, hot, ["k"], "left")
+        reach = lambda df: df if limit == 0 else df.select("fp", F.explode(F.array(*[F.col("k").bitwiseXOR(F.lit(m)) for m in flips(group, limit)])).alias("k"))  # noqa: B023, E731
+        cold = own.where("hot IS NULL").select("fp", "k")
+        crowded.append(own.where("hot").select("fp"))
+        if limit:  # those of other keys that a crowded key is within reach of
+            crowded.append(keyed_join(reach(cold), hot, ["k"], "left_semi").select("fp"))
+        # a crowded key's fingerprints meet their partners in that other way, so they don't probe here: a key has `crowd` rows
+        # at most, and probes from as many keys as there are flips
+        x, y = cold.select("k", F.col("fp").alias("a")), reach(cold).select("k", F.col("fp").alias("b"))
         both = x.join(y, "k").where(F.col("a") < F.col("b") if limit == 0 else F.col("a") != F.col("b"))
         near.append(both.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b"))
     pairs = near[0]
@@ -213,29 +221,31 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wid
     distinct, _ = write_table(marked.groupBy("__fp").agg(F.min(id_col).alias("low")).select(F.col("__fp").alias("fp"), "low"), "distinct")
     pairs, _ = links(distinct.select("fp"), radius)
     labels = components(pairs, "a", "b")
-    of = distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
-    ids = of.groupBy("label").agg(F.min("low").alias("component_id"))
-    by_fp = of.select("fp", "label").join(ids, "label").select(F.col("fp").alias("__fp"), "component_id", F.col("label").alias("group_fp"))
-    return marked.drop("component_id", "fp", "group_fp").join(by_fp, "__fp").withColumnRenamed("__fp", "fp")
+    of, _ = write_table(distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("label", "fp").alias("label")), "labelled")
+    ids, _ = write_table(of.groupBy("label").agg(F.min("low").alias("component_id")), "ids")
+    by_fp, _ = write_table(keyed_join(of.select("fp", "label"), ids, ["label"]).select(F.col("fp").alias("__fp"), "component_id", F.col("label").alias("group_fp")), "by-fingerprint")
+    return keyed_join(marked.drop("component_id", "fp", "group_fp"), by_fp, ["__fp"]).withColumnRenamed("__fp", "fp")
 
 
 def numbered_rows(docs: DataFrame, id_col: str) -> DataFrame:
-    """docs with what keep_first tells rows apart by."""
-    return docs.withColumns({"__id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__row": F.xxhash64(*docs.columns)})
+    """Each row as one struct (doc), with its id and two hashes of all its columns, by which keep_first tells rows apart."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(*docs.columns).alias("h1"), F.xxhash64(F.lit("again"), *docs.columns).alias("h2"))
 
 
-def keep_first(rows: DataFrame, seen: DataFrame, columns: list[str]) -> DataFrame:
-    """One row of each group. rows: from numbered_rows; seen: __id, __row and group_fp of each."""
+def keep_first(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """One row of each group. rows: from numbered_rows; seen: id, h1, h2 and group_fp of each."""
     seen, _ = write_table(seen, "groups")
-    first = seen.groupBy("group_fp").agg(F.min(F.struct("__id", "__row")).alias("w")).select("w.__id", "w.__row")
-    copies = seen.groupBy("__id", "__row").agg(F.count(F.lit(1)).alias("__n")).join(first.withColumn("__won", F.lit(True)), ["__id", "__row"], "left")
-    special, _ = write_table(copies.where("__won IS NULL OR __n > 1"), "special")
-    gone, twice = special.select("__id", "__row"), special.where("__won AND __n > 1").select("__id", "__row")
-    once = rows.join(small(gone), ["__id", "__row"], "left_anti").select(*columns)
-    return once.unionByName(rows.join(small(twice), ["__id", "__row"], "left_semi").dropDuplicates(["__id", "__row"]).select(*columns))
+    first = seen.groupBy("group_fp").agg(F.min(F.struct("id", "h1", "h2")).alias("w")).select("w.h1", "w.h2")
+    copies = seen.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).join(first.withColumn("won", F.lit(True)), ["h1", "h2"], "left")
+    special, _ = write_table(copies.where("won IS NULL OR n > 1"), "special")
+    gone, twice = special.select("h1", "h2"), special.where("won AND n > 1").select("h1", "h2")
+    once = keyed_join(rows, gone, ["h1", "h2"], "left_anti").select("doc.*")
+    return once.unionByName(keyed_join(rows, twice, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("doc.*"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group: the one with the smallest id; of rows that share it, the first by content."""
+    """One document of each group: the one with the smallest id (null is the smallest); of rows that share it,
+    the first by content. Ids of any type that sorts; the columns pass through whatever their names are."""
     rows = numbered_rows(docs, id_col)
-    return keep_first(rows, near_groups(rows.select("__id", "__row", F.col(text).alias("__text")), "__id", "__text", width, radius), docs.columns)
+    texts = rows.select("id", "h1", "h2", F.col("doc").getField(text).alias("t"))
+    return keep_first(rows, near_groups(texts, "id", "t", width, radius))
