@@ -9,8 +9,8 @@ At prediction a filter over embeddings is a sum of table rows, since both are li
 byte pair serves all widths at once, a second one adds what widths 3 and 4 see beyond the pair.
 
 Defined results: a null text, or one without any letter (Unicode category L), is `und` with
-score 0; without a single labelled training row every text is `und`. Repeated rows are predicted
-alike; columns of the input that have the names of the outputs are replaced."""
+score 0; without a single labelled training row every text is `und`; very long texts are read in parts;
+an empty table gives no rows. Repeated rows are predicted alike; columns of the input that have the names of the outputs are replaced."""
 
 from __future__ import annotations
 
@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 
 WINDOW, DIM, FILTERS, WIDTHS = 192, 8, 8, (2, 3, 4)
 #: Labelled rows of each language that the classifier is fitted on: a share is drawn by hash so
-#: that this many are expected.
-SAMPLE_PER_LANG = 500
-SAMPLE_CHARS = 512
+#: that this many are expected. Of more labels than MAX_LANGS the most frequent ones are learned.
+SAMPLE_PER_LANG, MAX_LANGS = 500, 256
+#: Of each of these rows the classifier sees windows of so many characters, drawn by hash from the whole text.
+SAMPLE_WINDOWS = (192, 192, 48, 16)
 UND = "und"
 
 
@@ -46,19 +47,17 @@ def letters(text):
 
 
 def training_sample(docs: DataFrame, text: str, lang: str, usable, per_lang: int) -> list[tuple[bytes, str]]:
-    """About per_lang pieces of text of each language; bounded by the number of languages."""
-    rows = docs.where(usable & F.col(lang).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
-    if not counts:
+    """Windows of about per_lang texts of each language; rows and bytes are bounded by MAX_LANGS and SAMPLE_WINDOWS."""
+    rows = docs.where(usable & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("lang")).where(letters(F.col("t")))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    shares = {r["lang"]: int(min(1.0, per_lang / r["n"]) * 1_000_000) for r in counts.collect()}
+    if not shares:
         return []
-    rank = F.pmod(F.xxhash64(F.col(text), F.lit(7)), F.lit(1_000_000))
-    share = F.lit(0)
-    for name, n in counts.items():
-        share = F.when(F.col(lang) == F.lit(name), F.lit(int(min(1.0, per_lang / n) * 1_000_000))).otherwise(share)
-    start = F.lit(1) + F.pmod(F.xxhash64(F.col(text), F.lit(8)), F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(1)))
-    drawn = rows.where(rank < share).where(letters(F.col(text)))
-    drawn = drawn.select(F.substring(F.col(text), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("piece"), F.col(lang).alias("lang"))
-    return sorted((r["piece"].encode(), r["lang"]) for r in drawn.collect())
+    share = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("lang"))
+    drawn = rows.where(F.pmod(F.xxhash64("t", F.lit(7)), F.lit(1_000_000)) < F.coalesce(share, F.lit(0)))
+    start = lambda i, n: (F.lit(1) + F.pmod(F.xxhash64("t", F.lit(8 + i)), F.greatest(F.length("t") - n + 1, F.lit(1)))).cast("int")
+    windows = F.array(*[F.substring(F.col("t"), start(i, n), F.lit(n)) for i, n in enumerate(SAMPLE_WINDOWS)])
+    return sorted((r["w"].encode()[:WINDOW], r["lang"]) for r in drawn.select(F.explode(windows).alias("w"), "lang").collect())
 
 
 def as_windows(texts: list[bytes], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,17 +70,11 @@ def as_windows(texts: list[bytes], size: int = WINDOW) -> tuple[np.ndarray, np.n
 
 
 def train(sample: list[tuple[bytes, str]], epochs: int = 14, batch: int = 64, rate: float = 0.01, seed: int = 5) -> Model:
-    """Adam on cross entropy; a piece gives windows of several lengths, as texts do."""
+    """Adam on cross entropy; the sample: windows of at most WINDOW bytes, of several lengths, as texts have them."""
     rng = np.random.default_rng(seed)
     labels = sorted({name for _, name in sample})
-    pieces, y = [], []
-    for text, name in sample:
-        for length in (WINDOW, WINDOW, 48, 16):
-            at = int(rng.integers(0, max(1, len(text) - length + 1)))
-            pieces.append(text[at : at + length])
-            y.append(labels.index(name))
-    x = as_windows(pieces)[0].astype(np.int64)
-    y = np.array(y)
+    x = as_windows([w for w, _ in sample])[0].astype(np.int64)
+    y = np.array([labels.index(name) for _, name in sample])
     p = {"e": rng.normal(0, 0.3, (256, DIM)), "b": np.zeros(len(WIDTHS) * FILTERS), "o": rng.normal(0, 0.2, (len(WIDTHS) * FILTERS, len(labels))), "ob": np.zeros(len(labels))}
     p |= {w: rng.normal(0, 0.3, (w, DIM, FILTERS)) for w in WIDTHS}
     m, v, step = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}, 0
