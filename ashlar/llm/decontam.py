@@ -1,24 +1,32 @@
 """Benchmark decontamination over a distributed positional inverted index, in DataFrame functions only.
 
-The index is a written table of postings (document, position, term) of the training documents for
-the terms that the test items use, with one header row for each document. Phrases are found from
-it alone: list lengths are counted, every window of a test item is anchored at its rarest term, the
+The index is a written table of postings (document, position, term) of all words of the training documents,
+with one header row for each document; it serves any benchmark. Phrases are found from it alone: list
+lengths are counted, every window of a test item is anchored at its rarest term, the
 anchors' lists give alignments (document, item, offset), the lists of the second rarest terms,
-adjusted by their offsets, are intersected with them, and only what remains is compared with all
-terms of the item. Postings of common terms are thus read for surviving documents only.
+adjusted by their offsets, are intersected with them, and only what remains is compared with the
+terms about the anchor. Postings of common terms are thus read for surviving documents only. Proximity matches
+go the same way: the rarest term of an item, then its second rarest within reach, then all others.
+
+Postings are met with terms by a broadcast of bounded size, or by a shuffle in which frequent terms are taken apart
+(keyed_join).
 
 Defined results: a null text has no words; a null or wordless item has no windows; items that
 share an item_id count once; repeated documents each get their row. A document without words has
-n_words 0 and is clean."""
+n_words 0 and is clean; an empty table of documents gives no rows, an empty benchmark no hits. Very long texts are
+rows of postings as any other. Other columns of the input play no part, and drop_contaminated() passes them
+through whatever their names are."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small, write_table
+from .common import ascii_lower, fits, keyed_join, small, write_table
 
 WIDTH = 13
+#: How many words after or before an item's rarest term its other terms may stand, for a proximity match.
+SLOP = 50
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The term of the row that stands for the document itself; no word is empty.
 HEADER = ""
@@ -35,20 +43,40 @@ def item_terms(bench: DataFrame, id_col: str, text: str) -> DataFrame:
     return rows.select("iid", "item_id", "len", F.posexplode("w").alias("j", "term"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Postings (rid, doc_id, n_words, pos, term) of the given terms, and header rows at position -1."""
+def build_index(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Postings (rid, doc_id, n_words, pos, term) of all words, and header rows at position -1."""
     read = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w"))
     flat = read.select("rid", "doc_id", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(HEADER)), F.col("w"))).alias("pos", "term"))
-    wanted = terms.select("term").distinct().unionByName(terms.sparkSession.range(1).select(F.lit(HEADER).alias("term")))
-    index, _ = write_table(flat.join(small(wanted), "term", "left_semi").select("rid", "doc_id", "n_words", (F.col("pos") - 1).alias("pos"), "term"), "postings")
+    index, _ = write_table(flat.select("rid", "doc_id", "n_words", (F.col("pos") - 1).alias("pos"), "term"), "postings")
     return index
 
 
+def list_lengths(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, cf) of the terms that any document has."""
+    wanted, _ = write_table(terms.select("term").distinct(), "wanted")
+    postings = index.where(F.col("term") != HEADER).select("term")
+    if fits(wanted):
+        postings = postings.join(F.broadcast(wanted), "term", "left_semi")
+    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))  # counted before it is shuffled
+    return write_table(counts.join(wanted, "term", "left_semi"), "lengths")[0]
+
+
+def lists_of(index: DataFrame, side: DataFrame, columns: list[str]) -> DataFrame:
+    """Postings (rid, pos, term) with what `side` has for their terms: one row for each row of side."""
+    postings = index.where(F.col("term") != HEADER).select("rid", "pos", "term")
+    if not columns:
+        return keyed_join(postings, side.select("term").distinct(), ["term"], "left_semi")
+    if fits(side):
+        return postings.join(F.broadcast(side), "term")
+    by = side.groupBy("term").agg(F.collect_list(F.struct(*columns)).alias("x"))  # as many as the benchmark has
+    return keyed_join(postings, write_table(by, "by-term")[0], ["term"]).select("rid", "pos", "term", F.explode("x").alias("x")).select("rid", "pos", "term", "x.*")
+
+
 def anchors(terms: DataFrame, lengths: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     """The rarest term of every window (iid, len, j, term), and the second rarest (iid, j, j2, term2).
 
     Windows with a term that no document has are left out: they cannot occur."""
-    rated = terms.join(small(lengths), "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    rated = terms.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
     starts = terms.select("iid", "len").distinct().select("iid", "len", F.explode(F.sequence(F.lit(0), F.greatest(F.col("len") - width, F.lit(0)))).alias("s"))
     inside = starts.select("iid", "len", "s", F.explode(F.sequence("s", F.least(F.col("s") + width, F.col("len")) - 1)).alias("j"))
     lists = inside.join(rated.select("iid", "j", "term", "cf"), ["iid", "j"]).groupBy("iid", "len", "s").agg(F.array_sort(F.collect_list(F.struct("cf", "j", "term"))).alias("by"))
@@ -60,55 +88,69 @@ def anchors(terms: DataFrame, lengths: DataFrame, width: int) -> tuple[DataFrame
     return first, then
 
 
-def phrase_matches(index: DataFrame, terms: DataFrame, width: int = WIDTH) -> DataFrame:
+def phrase_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, width: int = WIDTH) -> DataFrame:
     """Where windows of the items occur: (rid, iid, item_id, first, last), word positions, last included.
 
     Overlapping windows of one alignment come as one row."""
-    postings = index.where(F.col("term") != HEADER)
-    lengths = postings.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
     (first, then), keep = anchors(terms, lengths, width), ["rid", "iid"]
     first, _ = write_table(first, "anchors")
     then, _ = write_table(then, "seconds")
-    lined = postings.select("rid", "pos", "term").join(small(first), "term").select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta"))  # negative where the document has a later part of the item only
-    due = lined.join(small(then), ["iid", "j"]).select("rid", "iid", "delta", (F.col("delta") + F.col("j2")).alias("pos"), F.col("term2").alias("term"))
-    seconds = postings.select("rid", "pos", "term").join(small(then.select(F.col("term2").alias("term")).distinct()), "term", "left_semi")
-    left, _ = write_table(due.join(seconds, ["rid", "pos", "term"]).select(*keep, "delta").distinct(), "alignments")
-    rest = postings.select("rid", "pos", "term").join(small(left.select("rid").distinct()), "rid", "left_semi")
-    need = left.join(small(terms), "iid").select("rid", "iid", "item_id", "len", "delta", "j", "term", (F.col("delta") + F.col("j")).cast("int").alias("pos"))
+    lined = lists_of(index, first.select("term", "iid", "j"), ["iid", "j"]).select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta"))  # negative where the document has a later part of the item only
+    due = lined.join(small(then), ["iid", "j"]).select("rid", "iid", "j", "delta", (F.col("delta") + F.col("j2")).alias("pos"), F.col("term2").alias("term"))
+    seconds = lists_of(index, then.select(F.col("term2").alias("term")), [])
+    left, _ = write_table(due.join(seconds, ["rid", "pos", "term"]).select(*keep, "j", "delta").distinct(), "alignments")
+    rest = index.where(F.col("term") != HEADER).select("rid", "pos", "term")
+    rest = keyed_join(rest, write_table(left.select("rid").distinct(), "survivors")[0], ["rid"], "left_semi")
+    # the windows that an anchor stands for lie about it
+    about = first.select("iid", "j", F.explode(F.sequence(F.greatest(F.col("j") - width + 1, F.lit(0)), F.least(F.col("j") + width, F.col("len")) - 1)).alias("i"))
+    about, _ = write_table(about.join(terms.select("iid", "item_id", "len", F.col("j").alias("i"), "term"), ["iid", "i"]), "about")
+    need = left.join(small(about), ["iid", "j"]).select("rid", "iid", "item_id", "len", "delta", "i", "term", (F.col("delta") + F.col("i")).cast("int").alias("pos")).distinct()
     same = need.join(rest, ["rid", "pos", "term"])
-    runs = same.withColumn("run", F.col("j") - F.row_number().over(Window.partitionBy(*keep, "delta").orderBy("j")))
+    runs = same.withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy(*keep, "delta").orderBy("i")))
     runs = runs.groupBy(*keep, "item_id", "len", "delta", "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
     return runs.where(F.col("last") - F.col("first") + 1 >= F.least(F.lit(width), F.col("len"))).select(*keep, "item_id", "first", "last")
 
 
-def proximity_matches(index: DataFrame, terms: DataFrame, slop: int) -> DataFrame:
+def proximity_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, slop: int = SLOP) -> DataFrame:
     """Where all terms of an item stand within `slop` words after or before its rarest one: (rid, iid, item_id, pos).
 
     terms: as of item_terms; repeated terms of an item count once."""
-    postings = index.where(F.col("term") != HEADER).select("rid", "pos", "term")
-    lengths = postings.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
     sets = terms.select("iid", "item_id", "term").distinct()
     rated = sets.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
-    rare = rated.groupBy("iid", "item_id").agg(F.min(F.struct("cf", "term")).alias("r"), F.count(F.lit(1)).alias("n")).where("r.cf > 0")
-    at = postings.join(small(rare.select("iid", "item_id", "n", F.col("r.term").alias("term"))), "term").select("rid", "iid", "item_id", "n", F.col("pos").alias("at"))
-    want = at.join(small(sets.select("iid", F.col("term").alias("other"))), "iid").withColumn("cell", F.explode(F.array(F.floor((F.col("at") - slop) / (2 * slop + 1)), F.floor((F.col("at") + slop) / (2 * slop + 1)))))
-    cells = postings.select("rid", F.col("term").alias("other"), F.col("pos").alias("near"), F.floor(F.col("pos") / (2 * slop + 1)).alias("cell"))
-    met = want.join(cells, ["rid", "other", "cell"]).where(F.abs(F.col("near") - F.col("at")) <= slop)
+    by = rated.groupBy("iid", "item_id").agg(F.array_sort(F.collect_list(F.struct("cf", "term"))).alias("by")).where(F.col("by")[0]["cf"] > 0)
+    rare, _ = write_table(by.select("iid", "item_id", F.size("by").alias("n"), F.col("by")[0]["term"].alias("term"), F.col("by")[F.least(F.size("by"), F.lit(2)) - 1]["term"].alias("term2")), "rarest")
+    sets, _ = write_table(sets, "sets")
+    wide = 2 * slop + 1
+    cell = lambda p: F.floor(p / wide)
+    cells = lambda p: F.explode(F.array_distinct(F.array(cell(p - slop), cell(p + slop))))
+    at = lists_of(index, rare.select("term", "iid", "item_id", "n", "term2"), ["iid", "item_id", "n", "term2"]).select("rid", "iid", "item_id", "n", F.col("pos").alias("at"), F.col("term2").alias("other"))
+    seconds = lists_of(index, rare.select(F.col("term2").alias("term")), []).select("rid", F.col("term").alias("other"), F.col("pos").alias("near"), cell(F.col("pos")).alias("cell"))
+    close = at.withColumn("cell", cells(F.col("at"))).join(seconds, ["rid", "other", "cell"]).where(F.abs(F.col("near") - F.col("at")) <= slop)
+    left, _ = write_table(close.select("rid", "iid", "item_id", "n", "at").distinct(), "near")
+    rest = keyed_join(index.where(F.col("term") != HEADER).select("rid", F.col("pos").alias("near"), F.col("term").alias("other")), write_table(left.select("rid").distinct(), "survivors")[0], ["rid"], "left_semi")
+    want = left.join(small(sets.select("iid", F.col("term").alias("other"))), "iid").withColumn("cell", cells(F.col("at")))
+    met = want.join(rest.withColumn("cell", cell(F.col("near"))), ["rid", "other", "cell"]).where(F.abs(F.col("near") - F.col("at")) <= slop)
     full = met.groupBy("rid", "iid", "item_id", "at").agg(F.max("n").alias("n"), F.count_distinct("other").alias("k"))
     return full.where("k = n").select("rid", "iid", "item_id", F.col("at").alias("pos"))
 
 
-def overlaps(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(rid, doc_id, n_words, n_hit, n_items, items) for every document row; items: sorted ids of the items that occur in it."""
+def overlaps(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WIDTH, slop: int | None = None) -> DataFrame:
+    """(rid, doc_id, n_words, n_hit, n_items, items) for every document row; items: sorted ids of the items that occur in it.
+
+    With `slop` also n_near: how many items have all their terms near each other in the document."""
     terms, _ = write_table(item_terms(bench, item_id, item_text), "terms")
-    index = build_index(docs, terms, doc_id, doc_text)
-    found, _ = write_table(phrase_matches(index, terms, width), "matches")
+    index = build_index(docs, doc_id, doc_text)
+    lengths = list_lengths(index, terms)
+    found, _ = write_table(phrase_matches(index, terms, lengths, width), "matches")
     spots = found.select("rid", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
     items = found.select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"))
     heads = index.where(F.col("term") == HEADER).select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
-    both = spots.join(items, "rid")
     zero = F.lit(0).cast("long")
-    return heads.join(both, "rid", "left").select("rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    whole = heads.join(spots.join(items, "rid"), "rid", "left").select("rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    if slop is None:
+        return whole
+    near = proximity_matches(index, terms, lengths, slop).select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("near"))
+    return whole.join(near, "rid", "left").withColumn("n_near", F.coalesce("near", zero)).drop("near")
 
 
 def contaminated() -> Column:
@@ -117,9 +159,8 @@ def contaminated() -> Column:
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
-    """docs without the contaminated rows. Rows are told apart by their whole content, so that repeated rows go together."""
-    columns = docs.columns
-    mark = F.xxhash64(*columns)
-    marked = docs.select(mark.alias("doc_id"), F.col(doc_text).alias("text"))
-    bad = overlaps(marked, bench).where(contaminated()).select(F.col("doc_id").alias("__row")).distinct()
-    return docs.withColumn("__row", mark).join(small(bad), "__row", "left_anti").select(*columns)
+    """docs without the contaminated rows. Rows are told apart by two hashes of their whole content, so that repeated rows go together."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64(*docs.columns).alias("h1"), F.xxhash64(F.lit("again"), *docs.columns).alias("h2"))
+    marked = rows.select(F.struct("h1", "h2").alias("doc_id"), F.col("doc").getField(doc_text).alias("text"))
+    bad, _ = write_table(overlaps(marked, bench).where(contaminated()).select("doc_id.h1", "doc_id.h2").distinct(), "contaminated")
+    return keyed_join(rows, bad, ["h1", "h2"], "left_anti").select("doc.*")

@@ -57,8 +57,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = decontam.overlaps(docs.select("doc_id", "text"), bench.select("item_id", "text"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated().alias("contaminated"))
+    found = decontam.overlaps(docs.select("doc_id", "text"), bench.select("item_id", "text"), slop=decontam.SLOP)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated().alias("contaminated"), "n_near")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,8 +91,16 @@ def oracle_sql() -> dict[str, str]:
             g AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS gram FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM t) WHERE len(w) >= n)),
             m AS (SELECT doc_id, item, i, n FROM g JOIN t USING (n, gram)),
             h AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM m) GROUP BY doc_id),
-            s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+            s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id),
+            q AS (SELECT DISTINCT array_to_string(w, ' ') AS body, item, unnest(w) AS term FROM b),
+            o AS (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM d),
+            c AS (SELECT term, count(*) AS cf FROM o GROUP BY term),
+            r AS (SELECT body, item, min(struct_pack(cf := coalesce(cf, 0), term := term)) AS low, count(*) AS n FROM q LEFT JOIN c USING (term) GROUP BY body, item),
+            k AS (SELECT o.doc_id, o.pos AS here, r.body, r.item, r.n FROM r JOIN o ON o.term = r.low.term WHERE r.low.cf > 0),
+            z AS (SELECT k.doc_id, k.item, k.body, k.here FROM k JOIN q USING (body, item) JOIN o ON o.doc_id = k.doc_id AND o.term = q.term AND abs(o.pos - k.here) <= 50
+                  GROUP BY k.doc_id, k.item, k.body, k.here HAVING count(DISTINCT q.term) = max(k.n)),
+            y AS (SELECT doc_id, count(DISTINCT item) AS n_near FROM z GROUP BY doc_id)
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
-                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-            FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)""",
+                   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
+            FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN y USING (doc_id)""",
     }

@@ -133,8 +133,9 @@ def test_decontamination(spark, docs, odd, sf_dir):
         assert collections.Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], tuple(r["items"])) for r in got) == brute_windows([tuple(r) for r in d.collect()], [tuple(r) for r in b.select("item_id", "text").collect()])
     kept = decontam.drop_contaminated(odd, own)
     assert kept.columns == odd.columns and kept.where("doc_id = 4").count() == 0 and kept.where("doc_id IS NULL").count() == 2
-    index = decontam.build_index(more, decontam.item_terms(own, "item_id", "text"), "doc_id", "text")
-    near = decontam.proximity_matches(index, decontam.item_terms(own.where("item_id = 1"), "item_id", "text"), 3)
+    one = decontam.item_terms(own.where("item_id = 1"), "item_id", "text")
+    index = decontam.build_index(more, "doc_id", "text")
+    near = decontam.proximity_matches(index, one, decontam.list_lengths(index, one), 3)
     assert near.count() == 4
 
 
