@@ -247,6 +247,7 @@ def add_up(found, nodes) -> None:
         up.points += x.points
         up.chars += x.chars
         up.linked += x.linked
+        up.last = up.last or x.last
         up.holds = up.holds or (x.holds and not x.out)
         if up.parent is not None:
             up.score += x.score / 2
