@@ -277,11 +277,15 @@ def test_lm_scores(spark, docs, odd):
 
 def test_attention_gradient_and_windows():
     rng = np.random.default_rng(0)
-    p = {k: a.astype(np.float64) for k, a in lm_score.initial(rng.normal(0, 1, (lm_score.CLASSES + 2, lm_score.CLASSES))).items()}
-    stream, sizes = rng.integers(0, lm_score.CLASSES, 75), np.array([40, 1, 34])
-    ids, places = lm_score.windows(stream, sizes)
+    n = 90  # ids; then the start of a text and what stands for no id
+    inputs = np.concatenate([rng.integers(0, lm_score.CLASSES, n), [lm_score.CLASSES, lm_score.CLASSES + 1]])
+    start = lm_score.initial(rng.normal(0, 1, (lm_score.CLASSES + 2, lm_score.CLASSES)), inputs)
+    p = {k: a if k == "inputs" else a.astype(np.float64) for k, a in start.items()}
+    stream, sizes = rng.integers(0, n, 75), np.array([40, 1, 34])
+    cls = inputs[stream]
+    ids, places = lm_score.windows(stream, sizes, n + 1)
     assert sorted(places[places >= 0].tolist()) == list(range(75))  # each id is scored once
-    weight, goals = (places >= 0).astype(float), stream[np.maximum(places, 0)]
+    weight, goals = (places >= 0).astype(float), cls[np.maximum(places, 0)]
 
     def loss():
         z, _ = lm_score.forward(p, ids)
@@ -289,8 +293,12 @@ def test_attention_gradient_and_windows():
 
     z, saved = lm_score.forward(p, ids)
     g = lm_score.backward(p, ids, goals, weight, z, saved)
-    for k in ("e", "p", "q", "k", "v", "o"):
-        at = tuple(rng.integers(0, s) for s in p[k].shape)
+    rows, grads, times = g["e"]
+    assert times.sum() == ids.size and (np.unique(ids) == rows).all()
+    g["e"] = np.zeros_like(p["e"])
+    g["e"][rows] = grads
+    for k in ("e", "e", "e", "p", "q", "k", "v", "o"):
+        at = (int(rng.choice(stream)), 3) if k == "e" else tuple(rng.integers(0, s) for s in p[k].shape)
         was = p[k][at]
         p[k][at] = was + 1e-4
         up = loss()
@@ -298,10 +306,65 @@ def test_attention_gradient_and_windows():
         down = loss()
         p[k][at] = was
         assert math.isclose((up - down) / 2e-4, g[k][at], rel_tol=2e-2, abs_tol=1e-5), k
-    probs = lm_score.attention_scores({k: a.astype(np.float32) for k, a in p.items()}, stream, sizes)
-    seen = np.zeros(75)
-    seen[places[places >= 0]] = np.exp(np.take_along_axis(z, goals[:, :, None], 2)[:, :, 0])[places >= 0]
-    assert np.allclose(probs, seen, rtol=1e-3)
+    single = {k: a if k == "inputs" else a.astype(np.float32) for k, a in p.items()}
+    probs, opens = lm_score.attention_scores(single, lm_score.attention_tables(single), stream, cls, sizes)
+    whole = np.zeros((75, lm_score.CLASSES))
+    whole[places[places >= 0]] = np.exp(z)[places >= 0]
+    assert np.allclose(probs, whole[np.arange(75), cls], rtol=1e-3)
+    assert np.allclose(opens, whole[:, : lm_score.STARTS].sum(1) + whole[:, lm_score.END], rtol=1e-3)
+    trainer = lm_score.Trainer(single)
+    before = loss()
+    for _ in range(30):
+        trainer.learn(stream, cls, sizes)
+    p = {k: a if k == "inputs" else a.astype(np.float64) for k, a in trainer.p.items()}
+    assert loss() < before - 0.3 and trainer.met[stream[:39]].all() and not trainer.met[np.setdiff1d(np.arange(n), stream)].any()
+
+
+def distributions(model, ids):
+    """After the ids of one text: P(each piece or the text's end begins here), and P(each piece goes on), with the word's end."""
+    t, p, mix = model["tables"].value, model["params"], model["mix"]
+    size = len(p["inputs"]) - 2
+    stream = np.array([*ids, 0])
+    at, places = lm_score.windows(stream, np.array([len(stream)]), size + 1)
+    z, _ = lm_score.forward(p, at)
+    row = np.exp(z)[places == len(ids)][0].astype(float)
+    cls, begins = t["cls"], np.append(t["cls"][:-1] < lm_score.STARTS, True)
+    pair = lambda a: np.array([dict(zip(t["pair_keys"].tolist(), t["pair_p"].tolist())).get(k, 0.0) for k in (a + 1 << 20) + np.arange(size + 1) + 1])
+    share = np.where(begins, row[cls] * t["inner"], 0)
+    start = pair(-1)
+    start[size] = t["end_p"]
+    first = mix[1] * start + (1 - mix[1]) * share / (row[: lm_score.STARTS].sum() + row[lm_score.END])
+    if not ids:
+        return first, None, None
+    going = mix[0] * pair(ids[-1]) + (1 - mix[0]) * np.where(begins, 0, row[cls] * t["inner"])
+    return first, going, mix[0] * t["ends"][ids[-1]] + (1 - mix[0]) * (row[: lm_score.STARTS].sum() + row[lm_score.END])
+
+
+def test_probabilities_sum_to_one_and_scores_are_theirs(spark, docs):
+    some = docs.select("doc_id", "text").where("doc_id < 80")
+    model = lm_score.fit(some.where("doc_id < 60"), "text", F.col("doc_id"))
+    use = lm_score.Subwords(model["vocabulary"].value)
+    code = lambda text: use.ids([w for w in words(text)])
+    for text in ("", "the", "we wrote unfathomable things about der und"):
+        first, going, end = distributions(model, [i for w in code(text) for i in w])
+        assert math.isclose(first.sum(), 1, rel_tol=1e-4)
+        assert going is None or math.isclose(going.sum() + end, 1, rel_tol=1e-4)
+    counts = {r["token"]: r["c"] for r in model["counts"].collect()}
+    n, w = sum(counts.values()), model["mix"][2]
+    texts = [(i, t) for i, t in enumerate(["", "the", "zzyx the qqq", "one two three four five six"])] + [(10 + r["doc_id"], " ".join(r["text"].split()[:25])) for r in some.where("doc_id >= 74").collect()]
+    got = {r["doc_id"]: r["score"] for r in lm_score.score(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    for i, text in texts:
+        seen, total = [], 0.0
+        for word, ids in [*zip(words(text), code(text)), ("", [use.size])]:
+            spelled = 1.0
+            for k, piece in enumerate(ids):
+                first, going, _ = distributions(model, seen)
+                spelled *= (going if k else first)[piece]
+                seen.append(piece)
+            if word:
+                spelled *= distributions(model, seen)[2]
+            total += math.log10((1 - w) * spelled + w * counts.get(word, 0) / n)
+        assert math.isclose(got[i], total, rel_tol=1e-3), (i, got[i], total)
 
 
 def test_pipeline(spark, sf_dir):
