@@ -73,15 +73,17 @@ def count_words(c: Column) -> Column:
     return F.size(words(c))
 
 
+#: A word of three letters or more that is no stop word, whole: not inside a longer run of word characters.
+KEYWORD = r"(?<![\p{L}\p{N}\p{M}_])(?!(?:" + "|".join(STOP_WORDS) + r")(?![\p{L}\p{N}\p{M}_]))[a-z][a-z0-9_]{2,}+(?![\p{L}\p{N}\p{M}_])"
+
+
 def keywords(c: Column, limit: int = 20) -> Column:
-    """The first different words of three letters or more that are no stop words, in order."""
-    tokens = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}\p{M}_]+"), 0)
-    stop = F.array(*map(F.lit, STOP_WORDS))
-    return F.slice(F.array_distinct(F.filter(tokens, lambda w: w.rlike("^[a-z][a-z0-9_]{2,}$") & ~F.array_contains(stop, w))), 1, limit)
+    """The first different words of three letters or more that are no stop words, in order; one pattern finds them."""
+    return F.slice(F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(KEYWORD), 0)), 1, limit)
 
 
 def technical_terms(c: Column, limit: int = 15) -> Column:
-    """Acronyms, hexadecimal numbers and bit ranges, in order of first occurrence by kind."""
+    """Acronyms, hexadecimal numbers and bit ranges, in order of first occurrence by kind. The three patterns are fixed values."""
     acronyms = F.regexp_extract_all(c, F.lit(r"\b[A-Z]{2,}[0-9]*\b"), 0)
     numbers = F.filter(F.regexp_extract_all(c, F.lit(r"\b(?:0x)?[0-9A-Fa-f]+h?\b"), 0), lambda x: F.length(x) >= 2)
     bits = F.regexp_extract_all(c, F.lit(r"(?i)\b(?:D\d+-D\d+|bits?\s*\d+(?::\d+)?)\b"), 0)
@@ -102,12 +104,15 @@ def section_references(c: Column) -> Column:
 
 
 def register_of_title(c: Column) -> Column:
-    """{name, offset} of 'X Register (Offset 028h)'; null if the title is none."""
+    """{name, offset} of 'X Register (Offset 028h)'; null if the title is none. The pattern is a fixed value."""
     pattern = r"(?i)(.+?)\s+Register\s*\(Offset\s*([0-9A-Fa-f]+)h?\)"
     return F.when(c.rlike(pattern), F.struct(F.regexp_extract(c, pattern, 1).alias("name"), F.upper(F.regexp_extract(c, pattern, 2)).alias("offset")))
 
 
-def clean_text(c: Column) -> Column:
+def clean_text(c: Column, noise: tuple[str, ...] = ()) -> Column:
+    """Text without lines that match a pattern (headers, copyright), runs of blank lines and of spaces cut to two and one."""
+    for pattern in noise:
+        c = F.regexp_replace(c, rf"(?im)^[^\n]*(?:{pattern})[^\n]*$", "")
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r" {2,}", " "))
 
 
@@ -136,6 +141,7 @@ def first_rule(c: Column, rules: list[tuple[str, str]], default: str = "OTHER")
     return F.coalesce(*[F.when(F.lower(c).rlike(pattern), kind) for pattern, kind in rules], F.lit(default))
 
 
+# The first pattern that a title or an attribute matches gives its type.
 TABLE_RULES = [("register.*(field|bit)|(field|bit).*register", "REGISTER_FIELDS"), ("register", "REGISTER_MAP"), ("signal|port", "SIGNAL_LIST"), ("timing", "TIMING")]
 FIGURE_RULES = [
     ("state|machine|transition", "STATE_DIAGRAM"), ("timing|waveform", "TIMING_DIAGRAM"), ("register.*(bit|field|layout)|(bit|field|layout).*register", "REGISTER_LAYOUT"),
@@ -144,6 +150,77 @@ FIGURE_RULES = [
 ATTRIBUTE_RULES = [("rsvd|reserved", "reserved"), ("wo", "write-only"), ("ro|hwinit", "read-only")]
 
 
+def access_of_attribute(c: Column) -> Column:
+    """Access by words inside an attribute: reserved, write-only, read-only, else read-write."""
+    return first_rule(F.coalesce(c, F.lit("")), ATTRIBUTE_RULES, "read-write")
+
+
+def bit_range_or_null(c: Column) -> Column:
+    """{high, low} of '7-4' or '15'; nulls if it is none of them."""
+    one, pair = r"^\s*\d+\s*$", r"^\s*(\d+)\s*-\s*(\d+)\s*$"
+    high = F.when(c.rlike(pair), F.regexp_extract(c, pair, 1)).when(c.rlike(one), F.trim(c))
+    low = F.when(c.rlike(pair), F.regexp_extract(c, pair, 2)).when(c.rlike(one), F.trim(c))
+    return F.struct(high.try_cast("int").alias("high"), low.try_cast("int").alias("low"))
+
+
+def field_name(c: Column, bits: Column) -> Column:
+    """A field's name out of its text: the first line if it is short and no sentence, else one made of its bits."""
+    first = F.trim(F.substring_index(c, "\n", 1))
+    return F.when((first != "") & (F.length(first) < 50) & ~F.contains(first, F.lit(".")), first).otherwise(F.concat(F.lit("Field_"), F.regexp_replace(bits, r"[^0-9A-Za-z]+", "_")))
+
+
+def fenced_block(c: Column, language: str) -> Column:
+    """What stands between ```language and ``` in a text; null if there is no such block."""
+    return F.nullif(F.trim(F.regexp_extract(c, rf"(?s)```{language}[^\n]*\n(.*?)\n?```", 1)), F.lit(""))
+
+
+def labelled_line(c: Column, label: str = "ABSTRACT") -> Column:
+    """The rest of the first line that begins with a label and a colon."""
+    return F.nullif(F.trim(F.regexp_extract(c, rf"(?im)^\s*{label}\s*:\s*([^\n]*)", 1)), F.lit(""))
+
+
+def is_section_number(c: Column) -> Column:
+    """'2.1', 'Appendix_A' or 'A.1'. The pattern is a fixed value."""
+    return c.rlike(r"^(\d+(\.\d+)*|Appendix_[A-Z]|[A-Z](\.\d+)*)$")
+
+
+def duration(seconds: Column) -> Column:
+    """'42.0s', '3m 05s' or '1h 02m' of a number of seconds."""
+    minutes = F.floor(seconds / 60)
+    return F.when(seconds < 60, F.format_string("%.1fs", seconds.cast("double"))).when(seconds < 3600, F.format_string("%dm %02ds", minutes, F.floor(seconds % 60))).otherwise(F.format_string("%dh %02dm", F.floor(seconds / 3600), F.floor((seconds % 3600) / 60)))
+
+
+def iso_time(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def pdf_page(spec_page: Column, offset: int) -> Column:
+    return spec_page + offset
+
+
+def spec_page(pdf: Column, offset: int) -> Column:
+    return pdf - offset
+
+
+def has_text(page: Column, wanted: str) -> Column:
+    return F.contains(F.lower(page), F.lit(wanted.lower()))
+
+
+def mentions_enough(c: Column, words: list[str], least: int = 2) -> Column:
+    """Whether at least so many of the words stand in a text."""
+    return F.size(F.filter(F.array(*[F.lit(w.lower()) for w in words]), lambda w: F.contains(F.lower(c), w))) >= least
+
+
+def continues_table(page: Column, reference: Column) -> Column:
+    """Whether a page looks like the continuation of a table: five lines or more, no figure caption, no section heading at its
+    beginning, no other table's caption, and three lines or more of three words. The patterns are fixed values."""
+    lines = F.filter(F.transform(F.split(page, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    caption = F.exists(lines, lambda x: x.rlike(r"(?i)Figure\s+\d+-\d+\s*:"))
+    heading = F.exists(F.slice(lines, 1, 8), lambda x: x.rlike(r"^\d+\.\d+\.\d+\s+"))
+    other = F.exists(F.slice(lines, 1, 10), lambda x: x.rlike(r"(?i)Table\s+\d+-\d+\s*:") & (reference != "") & ~F.contains(F.lower(x), F.lower(reference)))
+    return (F.size(lines) >= 5) & ~caption & ~heading & ~other & (F.size(F.filter(lines, lambda x: F.size(words(x)) >= 3)) >= 3)
+
+
 def excerpt(text: Column, query: str, around: int) -> Column:
     """What stands around the first occurrence, with dots where it is cut."""
     at = F.instr(F.lower(text), query.lower()) - 1

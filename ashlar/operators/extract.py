@@ -23,8 +23,8 @@ CONTENTS = {
     "table": r"(?m)^\s*Table\s+(\d+[-.]\d+)\s*:?\s*(.+?)\s*\.{3,}\s*(\d+)\s*$",
     "figure": r"(?m)^\s*Figure\s+(\d+[-.]\d+)\s*:?\s*(.+?)\s*\.{3,}\s*(\d+)\s*$",
 }
-# Words in a column's heading that tell its role, in order of precedence.
-ROLES = {"bits": ("bit", "location"), "access": ("attrib", "access", "type"), "description": ("description", "definition"), "name": ("name", "field")}
+# Words in a column's heading that tell its role; of roles that a heading could have the first here wins.
+ROLES = {"bits": ("bit", "location", "position", "bits"), "access": ("access", "attrib", "type", "r/w", "attribute"), "description": ("description", "function", "explanation", "desc"), "name": ("field name", "signal name", "name", "field")}
 
 
 def section_headers(pages: DataFrame, text: str = "text") -> DataFrame:
@@ -48,29 +48,48 @@ def contents(pages: DataFrame, kind: str, text: str = "text") -> DataFrame:
     return first_by(flat, ["number"], [F.col("at"), F.col("pos")]).select("number", "title", "page")
 
 
-def column_map(headings: list[str]) -> dict[str, int]:
-    """Where the columns of each role stand: a heading that is a role's word first, then one that contains it."""
-    low, found = [re.sub(r"\s+", " ", h.strip().lower()) for h in headings], {}
-    for exact in (True, False):
-        for role, keys in ROLES.items():
-            free = (i for i, h in enumerate(low) if i not in found.values() and any(h == k if exact else k in h for k in keys))
-            if role not in found and (at := next(free, None)) is not None:
-                found[role] = at
+def column_map(headings: list[str], hint: dict[str, list[str]] | None = None) -> dict[str, int]:
+    """Where the columns of each role stand: headings that are a role's word take it first, then, in their order, those that
+    contain one. A hint has other words for some roles. Without a name column the description holds both."""
+    words = ROLES | {role: tuple(w.lower() for w in ws) for role, ws in (hint or {}).items() if role in ROLES}
+    low, found = [h.strip().lower() for h in headings], {}
+    for fits in (lambda h, ws: h in ws, lambda h, ws: any(w in h for w in ws)):
+        for i, heading in enumerate(low):
+            free = [role for role, ws in words.items() if i not in found.values() and role not in found and fits(heading, ws)]
+            if free:
+                found[free[0]] = i
     return found
 
 
-def field_rows(rows: DataFrame, columns: dict[str, int]) -> DataFrame:
+#: A field's name that begins with its bits, as `7:4 MODE`.
+MERGED_BITS = r"^(\d+(?::\d+)?)\s+(.+)"
+
+
+def field_rows(rows: DataFrame, columns: dict[str, int], merged_bits: bool = False) -> DataFrame:
     """Fields of tables (name, row_no, cells), the heading row left out: rows without bits continue the field
-    before them; reserved fields go, but keep their number, so that the ids have gaps."""
+    before them; reserved fields go, but keep their number, so that the ids have gaps.
+
+    A name is the first line of its cell; where there is no name column, of the description's. With merged_bits, bits stand
+    before the name in its cell; without a bits column, a row with a name begins a field."""
     cell = lambda role: F.trim(F.coalesce(F.get("cells", F.lit(columns[role])), F.lit(""))) if role in columns else F.lit("")
     flat = rows.where("row_no > 0").select(F.col("name").alias("table"), "row_no", *[cell(r).alias(r) for r in ROLES])
-    grouped = gap_fill(flat, "table", "row_no", F.col("bits") != "")
-    inner = lambda c: F.transform(F.filter(F.array_sort(F.collect_list(F.struct("row_no", c))), lambda x: x[c] != ""), lambda x: x[c])
-    whole = grouped.groupBy("table", "grp").agg(*[F.min_by(c, "row_no").alias(c) for c in ("bits", "access", "name")], F.array_join(inner("description"), " ").alias("description"))
+    both = "name" not in columns
+    if both:
+        flat = flat.withColumn("name", F.col("description")).withColumn("description", F.lit(""))
+    if merged_bits:
+        hit = F.col("name").rlike(MERGED_BITS)
+        flat = flat.withColumns({"bits": F.when(hit, F.regexp_extract("name", MERGED_BITS, 1)).otherwise(""), "name": F.when(hit, F.regexp_extract("name", MERGED_BITS, 2)).otherwise(F.col("name"))})
+    opens = F.col("bits") != "" if "bits" in columns or merged_bits else F.col("name") != ""
+    grouped = gap_fill(flat, "table", "row_no", opens)
+    lead = F.row_number().over(Window.partitionBy("table", "grp").orderBy("row_no")) == 1
+    more = F.col("name") if both else F.col("description")
+    grouped = grouped.withColumn("more", F.when(lead, F.col("description")).otherwise(more))
+    texts = F.transform(F.filter(F.array_sort(F.collect_list(F.struct("row_no", "more"))), lambda x: x["more"] != ""), lambda x: x["more"])
+    whole = grouped.groupBy("table", "grp").agg(*[F.min_by(c, "row_no").alias(c) for c in ("bits", "access", "name")], texts.alias("texts"))
     first, rest = F.trim(F.substring_index("name", "\n", 1)), F.trim(F.regexp_replace("name", r"^[^\n]*\n?", ""))
-    text = F.trim(F.concat_ws(" ", F.when(rest != "", rest), F.col("description")))
-    out = whole.select("table", (F.col("grp") - 1).cast("int").alias("ordinal"), F.col("bits"), C.bit_range(F.col("bits")).alias("b"), first.alias("name"), C.access(F.col("access")).alias("access"), text.alias("description"))
-    out = out.where(~F.lower("name").isin("reserved", "rsvd"))
+    text = F.array_join(F.concat(F.filter(F.array(rest), lambda x: x != ""), F.col("texts")), " " if not both else "\n")
+    out = whole.select("table", (F.col("grp") - 1).cast("int").alias("ordinal"), F.col("bits"), C.bit_range(F.col("bits")).alias("b"), first.alias("name"), C.access(F.col("access")).alias("access"), F.trim(text).alias("description"))
+    out = out.where((F.col("name") != "") & ~F.lower("name").isin("reserved", "rsvd"))
     return out.select(F.concat_ws("_F", "table", F.format_string("%02d", "ordinal")).alias("field_id"), "table", "ordinal", "bits", "b.high", "b.low", "b.width", "name", "access", "description")
 
 
@@ -137,14 +156,26 @@ def build_nodes(rows: DataFrame, kind: str, name: Column, description: Column, t
 
 
 def number_edges(edges: DataFrame, prefix: str, order: list[str]) -> DataFrame:
-    """Edges with running ids such as REL_REF_0001, without one task for all rows: ranges of the order are counted first."""
+    """Edges with running ids such as REL_REF_0001, without one task for all rows.
+
+    The order's first column is cut into ranges at its quantiles; a range's rows are numbered by themselves and shifted by the counts
+    of the ranges before it. Both passes use the same cuts, so that the ranges can't differ; ties stay in one range."""
     spark = edges.sparkSession
-    ranged = edges.repartitionByRange(spark.sparkContext.defaultParallelism, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    parts = spark.sparkContext.defaultParallelism
+    rank, kind = F.col(order[0]), dict(edges.dtypes)[order[0]]
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        rank = F.unix_timestamp(rank.cast("timestamp"))
+    elif kind == "string":  # by the first characters
+        rank = F.conv(F.hex(F.rpad(F.left(rank, F.lit(6)), 6, " ").cast("binary").substr(1, 6)), 16, 10)
+    keyed = edges.withColumn("__k", rank.cast("double"))
+    cuts = sorted(set(keyed.stat.approxQuantile("__k", [i / parts for i in range(1, parts)], 0.01)))
+    piece = sum((F.coalesce(F.col("__k") > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    ranged = keyed.withColumn("__p", piece)
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
-    before = F.broadcast(sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__before")))  # one row a partition
+    before = F.broadcast(sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__before")))  # one row a range
     local = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
     numbered = ranged.withColumn("__n", local).join(before, "__p")
-    return numbered.withColumn("id", F.format_string(prefix + "%04d", F.col("__before") + F.col("__n"))).drop("__p", "__n", "__before")
+    return numbered.withColumn("id", F.format_string(prefix + "%04d", F.col("__before") + F.col("__n"))).drop("__k", "__p", "__n", "__before")
 
 
 def merge_parts(parts: list[DataFrame]) -> DataFrame:

@@ -8,15 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import assemble as A
 from ..operators import extract as E
 from ..operators import graph as G
+from ..operators import lookups as L
+from ..sources.graph import update_coverage
 
 MAX_RESULTS = 1000
 STATUSES = ("NOT_IMPLEMENTED", "PARTIAL", "IMPLEMENTED", "NOT_APPLICABLE")
+# The kinds of tables and figures, and the node types that a keyword search may name.
+TABLE_TYPES = ("REGISTER_FIELDS", "REGISTER_MAP", "SIGNAL_LIST", "TIMING", "OTHER")
+FIGURE_TYPES = ("STATE_DIAGRAM", "TIMING_DIAGRAM", "BLOCK_DIAGRAM", "REGISTER_LAYOUT", "FLOWCHART", "OTHER")
+SEARCHED_TYPES = ("REGISTER", "SPEC_CHUNK", "TABLE", "FIGURE", "REG_CLASS")
 
 
-def success(function: str, params: dict, rows: list, truncated: bool = False) -> dict:
-    return {"success": True, "function": function, "params": params, "count": len(rows), "truncated": truncated, "results": rows, "error": None}
+def success(function: str, params: dict, rows: list | dict | str, truncated: bool = False) -> dict:
+    """A list counts its rows; one thing counts as one."""
+    return {"success": True, "function": function, "params": params, "count": len(rows) if isinstance(rows, list) else 1, "truncated": truncated, "results": rows, "error": None}
 
 
 def failure(function: str, params: dict, error: str) -> dict:
@@ -24,23 +32,52 @@ def failure(function: str, params: dict, error: str) -> dict:
 
 
 class GraphCatalog:
-    def __init__(self, nodes: DataFrame, relations: DataFrame):
-        self.nodes, self.relations = nodes, relations
+    def __init__(self, nodes: DataFrame, relations: DataFrame, texts: DataFrame | None = None, spec: dict | None = None):
+        """texts: (name, content) of table and diagram files; spec: what is known of the document."""
+        self.nodes, self.relations, self.texts, self.spec = nodes, relations, texts, spec or {}
+
+    def functions(self) -> list[str]:
+        """The names of all queries."""
+        return sorted(n for n in dir(type(self)) if n.split("_")[0] in ("get", "list", "search", "set", "validate") and callable(getattr(type(self), n)) and n not in ("get_typed",))
 
     def call(self, function: str, **params) -> dict:
         """Run a query by name; errors come in the envelope, with their code first."""
-        method = getattr(self, function, None)
-        if function.startswith("_") or function in ("call", "nodes", "relations") or not callable(method):
+        if function not in self.functions():
             return failure(function, params, f"INVALID_PARAM: no function {function}")
         try:
-            rows = [r.asDict(True) for r in method(**params).limit(MAX_RESULTS + 1).collect()]
-        except (ValueError, LookupError) as e:
-            return failure(function, params, str(e).strip("'"))
+            found = getattr(self, function)(**params)
+            rows = [r.asDict(True) for r in found.limit(MAX_RESULTS + 1).collect()]
+        except (ValueError, LookupError, TypeError) as e:
+            code = "INVALID_PARAM: " if isinstance(e, TypeError) else ""
+            return failure(function, params, code + str(e).strip("'"))
         if not rows and function in self.must_find:
-            return failure(function, params, f"NOT_FOUND: {params}")
-        return success(function, params, rows[:MAX_RESULTS], len(rows) > MAX_RESULTS)
+            return failure(function, params, f"NOT_FOUND: {params}{self._known(function)}")
+        return success(function, params, rows[0] if function in self.single and rows else rows[:MAX_RESULTS], len(rows) > MAX_RESULTS)
+
+    must_find = (
+        "get_node_by_id", "search_by_keywords", "get_register_by_offset", "get_register_by_name", "get_field_by_id", "get_field_by_name", "get_field_by_bit", "search_fields_by_name", "get_section_by_number",
+        "get_table_by_reference", "get_figure_by_reference", "get_table_csv", "get_figure_plantuml", "get_register_class_by_id", "get_feature_by_id", "get_hd_sequence_by_id",
+    )
+    #: Queries whose result is one thing.
+    single = ("get_section_by_number", "get_spec_info", "get_page_content")
+
+    def _known(self, function: str) -> str:
+        if function != "get_register_by_offset":
+            return ""
+        r = L.offset_bounds(self._registers()).first()
+        return "" if r["low"] is None else f"; valid offsets are {r['low']}h to {r['high']}h"
+
+    def _registers(self) -> DataFrame:
+        return L.registers(self.nodes)
 
-    must_find = ("get_node_by_id", "search_by_keywords")
+    def _fields(self) -> DataFrame:
+        return L.fields(self._registers())
+
+    def _chunks(self) -> DataFrame:
+        return L.chunks(self.nodes)
+
+    def _features(self) -> DataFrame:
+        return L.features(self.nodes)
 
     def get_node_by_id(self, node_id: str) -> DataFrame:
         return G.by_id(self.nodes, node_id)
@@ -69,11 +106,153 @@ class GraphCatalog:
     def get_chunk_by_id(self, chunk_id: str) -> DataFrame:
         return self.get_typed(chunk_id, "SPEC_CHUNK")
 
-    def list_tables(self) -> DataFrame:
-        return self.get_nodes_by_type("TABLE")
+    def list_tables(self, table_type: str | None = None) -> DataFrame:
+        return L.of_kind(self.nodes.where("type = 'TABLE'"), table_type, L.extra("table_type"), TABLE_TYPES)
+
+    def list_figures(self, figure_type: str | None = None) -> DataFrame:
+        return L.of_kind(self.nodes.where("type = 'FIGURE'"), figure_type, L.extra("figure_type"), FIGURE_TYPES)
+
+    def list_chunks(self) -> DataFrame:
+        return self.get_nodes_by_type("SPEC_CHUNK")
+
+    def get_table(self, table_id: str) -> DataFrame:
+        return self.get_node_by_id(table_id)
+
+    def get_figure(self, figure_id: str) -> DataFrame:
+        return self.get_node_by_id(figure_id)
+
+    def get_chunk(self, chunk_id: str) -> DataFrame:
+        return self.get_node_by_id(chunk_id)
+
+    def get_feature_by_id(self, feature_id: str) -> DataFrame:
+        return self.get_node_by_id(feature_id)
+
+    def get_hd_sequence_by_id(self, sequence_id: str) -> DataFrame:
+        return self.get_node_by_id(sequence_id)
+
+    # registers and fields
+
+    def get_register_by_offset(self, offset: str) -> DataFrame:
+        return L.register_by_offset(self._registers(), offset)
+
+    def get_register_by_name(self, name: str, exact: bool = False) -> DataFrame:
+        return L.register_summary(L.registers_by_name(self._registers(), name, exact))
+
+    def list_registers(self, class_id: str | None = None) -> DataFrame:
+        if class_id is not None and self.nodes.where(F.col("id") == class_id).isEmpty():
+            raise LookupError(f"NOT_FOUND: {class_id}")
+        return L.register_summary(L.register_list(self._registers(), class_id))
+
+    def get_registers_in_range(self, start: str, end: str) -> DataFrame:
+        return L.register_summary(G.registers_in_range(self._registers(), start, end))
+
+    def get_field_by_id(self, field_id: str) -> DataFrame:
+        return L.field_by_id(self._fields(), field_id).drop("ord")
+
+    def get_field_by_name(self, register_id: str, field_name: str) -> DataFrame:
+        self.get_typed(register_id, "REGISTER")
+        return L.field_by_name(self._fields(), register_id, field_name).drop("ord")
+
+    def get_field_by_bit(self, register_id: str, bit: int) -> DataFrame:
+        self.get_typed(register_id, "REGISTER")
+        return L.fields_holding(self._fields().where(F.col("register_id") == register_id), int(bit)).drop("ord")
+
+    def list_fields_in_register(self, register_id: str) -> DataFrame:
+        self.get_typed(register_id, "REGISTER")
+        return L.fields_of(self._fields(), register_id).select("id", "name", "bits", "width", "access")
+
+    def search_fields_by_access(self, access: str, register_id: str | None = None) -> DataFrame:
+        return L.fields_with_access(self._fields(), access, register_id).select("register_id", "register_name", "id", "name", "bits", "access")
+
+    def search_fields_by_name(self, pattern: str) -> DataFrame:
+        return L.fields_named(self._fields(), pattern).select("register_id", "register_name", "id", "name", "bits", "access")
+
+    def search_fields_by_text(self, query: str) -> DataFrame:
+        return L.fields_with_text(self._fields(), query)
+
+    def get_register_class_by_id(self, class_id: str) -> DataFrame:
+        return self.list_register_classes().where(F.col("id") == class_id)
 
-    def list_figures(self) -> DataFrame:
-        return self.get_nodes_by_type("FIGURE")
+    def list_register_classes(self) -> DataFrame:
+        """Classes with the ids of their registers and how many they are."""
+        classes = self.nodes.where("type = 'REG_CLASS'").select(F.col("id").alias("class_id"), "id", "name", F.col("ord").alias("class_ord"))
+        return E.class_members(classes, self._registers()).orderBy("class_ord").select("id", "name", "member_register_ids", "member_count")
+
+    def list_register_sizes(self) -> DataFrame:
+        return L.register_sizes(self._registers())
+
+    # sections and chunks
+
+    def get_section_by_number(self, section_number: str) -> DataFrame:
+        return L.section(self._chunks(), section_number)
+
+    def list_sections(self, parent: str | None = None) -> DataFrame:
+        return L.section_list(self._chunks(), parent)
+
+    def search_chunks_by_text(self, query: str) -> DataFrame:
+        return G.search_text(self._chunks(), query).orderBy("ord").drop("ord")
+
+    def search_chunks(self, text: str, limit: int = 10) -> DataFrame:
+        return L.chunks_with_text(self._chunks(), text, limit)
+
+    # tables and figures
+
+    def get_table_by_reference(self, reference: str) -> DataFrame:
+        return L.by_reference(self.nodes.where("type = 'TABLE'"), reference, F.coalesce("source.spec_reference", L.extra("table_number")))
+
+    def get_figure_by_reference(self, reference: str) -> DataFrame:
+        return L.by_reference(self.nodes.where("type = 'FIGURE'"), reference, F.coalesce("source.spec_reference", L.extra("figure_number")))
+
+    def get_table_csv(self, table_id: str) -> DataFrame:
+        return self._content(table_id, "TABLE", "csv_file", "NO_CSV")
+
+    def get_figure_plantuml(self, figure_id: str) -> DataFrame:
+        return self._content(figure_id, "FIGURE", "text_diagram_file", "NO_PLANTUML")
+
+    def _content(self, node_id: str, kind: str, key: str, none: str) -> DataFrame:
+        found = self.get_typed(node_id, kind).select(L.extra(key).alias("file")).first()["file"]
+        if not found:
+            raise LookupError(f"{none}: {node_id} names no file")
+        if self.texts is None:
+            raise LookupError(f"FILE_NOT_FOUND: {found}")
+        here = L.content_of(self.nodes, node_id, L.extra(key), self.texts)
+        if here.where("content IS NOT NULL").isEmpty():
+            raise LookupError(f"FILE_NOT_FOUND: {found}")
+        return here
+
+    def list_tables_by_chapter(self) -> DataFrame:
+        return L.by_chapter(self.nodes.where("type = 'TABLE'"), F.regexp_replace("id", "^[A-Z]+_", ""))
+
+    # features
+
+    def get_feature_registers(self, feature_id: str) -> DataFrame:
+        return L.feature_registers(self._features(), self.nodes, feature_id)
+
+    def get_feature_groups(self) -> DataFrame:
+        return L.feature_groups(self._features())
+
+    def list_features_not_implemented_in_driver(self) -> DataFrame:
+        return self._features().where("missing_in_driver").orderBy("ord").select("id", "name")
+
+    def list_features_by_driver_coverage(self, status: str | None = None) -> DataFrame:
+        return L.features_by_driver(self._features(), status)
+
+    # the document
+
+    def get_spec_info(self) -> DataFrame:
+        return self.nodes.sparkSession.createDataFrame([tuple(str(v) for v in self.spec.values()) or ("",)], list(self.spec) or ["name"])
+
+    def get_statistics(self) -> DataFrame:
+        return A.statistics(self.nodes, self.relations)
+
+    def set_node_coverage_status(self, node_id: str, status: str, notes: str = "", implemented_in: str = "") -> DataFrame:
+        """Set a node's coverage in this catalogue; export.set_coverage() keeps it."""
+        if status not in STATUSES:
+            raise ValueError(f"INVALID_STATUS: {status}")
+        if self.get_node_by_id(node_id).isEmpty():
+            raise LookupError(f"NOT_FOUND: {node_id}")
+        self.nodes = update_coverage(self.nodes, node_id, status, notes, implemented_in)
+        return self.get_node_coverage_status(node_id)
 
     def list_features(self) -> DataFrame:
         return self.get_nodes_by_type("FEATURE")
@@ -88,8 +267,13 @@ class GraphCatalog:
         nodes = self.nodes if node_type is None else self.nodes.where(F.col("type") == node_type.upper())
         return G.search_nodes(nodes, query, limit).drop("score")
 
-    def search_by_keywords(self, keywords: list[str]) -> DataFrame:
-        return G.search_keywords(self.nodes, keywords).select("id", "type", "name", "matched", "score")
+    def search_by_keywords(self, keywords: list[str] | str, node_types: list[str] | None = None) -> DataFrame:
+        wanted = keywords.split(",") if isinstance(keywords, str) else keywords
+        kinds = [k.upper() for k in node_types or []]
+        if bad := [k for k in kinds if k not in SEARCHED_TYPES]:
+            raise ValueError(f"INVALID_PARAM: no node type {bad[0]}")
+        nodes = self.nodes.where(F.col("type").isin(kinds)) if kinds else self.nodes
+        return G.search_keywords(nodes, [w.strip() for w in wanted if w.strip()]).select("id", "type", "name", "matched", "score")
 
     def get_relations_from(self, node_id: str, relation_type: str | None = None) -> DataFrame:
         return self._edges("source_node", node_id, relation_type)
@@ -114,8 +298,18 @@ class GraphCatalog:
         return G.neighbours(self.relations, self.nodes, table_id, False, "REGISTER")
 
     def get_chunks_referencing(self, node_id: str) -> DataFrame:
+        kind = [r["type"] for r in G.by_id(self.nodes, node_id).select("type").collect()]
+        if not kind:
+            raise LookupError(f"NOT_FOUND: {node_id}")
+        if kind[0] not in ("TABLE", "FIGURE"):
+            raise ValueError(f"INVALID_TYPE: {node_id} is a {kind[0]}")
         return G.neighbours(self.relations, self.nodes, node_id, True, "SPEC_CHUNK")
 
+    def get_referenced_by(self, node_id: str) -> DataFrame:
+        """Nodes of any type with a REFERENCES edge to a node, in edge order."""
+        edges = self.relations.where((F.col("target_node") == node_id) & (F.col("type") == "REFERENCES")).select(F.col("source_node").alias("id"), F.col("ord").alias("edge"))
+        return edges.join(self.nodes, "id").orderBy("edge").drop("edge")
+
     def get_node_coverage_status(self, node_id: str) -> DataFrame:
         return G.by_id(self.nodes, node_id).select("coverage.*")
 
@@ -127,9 +321,8 @@ class GraphCatalog:
         return self.nodes.groupBy("type", F.coalesce("coverage.status", F.lit("NOT_IMPLEMENTED")).alias("status")).count().orderBy("type", "status")
 
     def get_chunks_for_section(self, section_id: str) -> DataFrame:
-        tail = F.regexp_extract("id", r"_C(\d+)$", 1)
-        mine = F.regexp_replace("id", r"_C\d+$", "") == section_id
-        return self.nodes.where(mine & (tail != "")).orderBy(tail.cast("int"))
+        tail = F.substring_index("id", "_C", -1)
+        return self.nodes.where(F.startswith("id", F.lit(section_id + "_C")) & tail.rlike(r"^\d+$")).orderBy(tail.try_cast("int"))
 
     def get_register_map(self) -> DataFrame:
         found = self.nodes.where("type = 'REGISTER'").withColumn("offset_hex", F.col("extras")["offset_hex"])
@@ -141,10 +334,10 @@ class GraphCatalog:
 
     def get_feature_tree(self) -> DataFrame:
         """Features without a parent, each with its direct children in order."""
-        f = self.nodes.where("type = 'FEATURE'").select("id", "name", "ord", F.coalesce(F.col("extras")["parent"], F.lit("")).alias("parent"))
+        f = self._features().select("id", "name", "ord", F.coalesce("parent_id", F.lit("")).alias("parent"))
         kids = f.where("parent <> ''").groupBy(F.col("parent").alias("id")).agg(F.array_sort(F.collect_list(F.struct("ord", "id"))).alias("k"))
         ids = F.coalesce(F.transform("k", lambda x: x["id"]), F.array().cast("array<string>"))
         return f.where("parent = ''").join(kids, "id", "left").orderBy("ord").select("id", "name", ids.alias("children"))
 
     def validate(self) -> DataFrame:
-        return G.validate(self.nodes, self.relations)
+        return A.check_graph(self.nodes, self.relations)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import extract as E
 from ..operators import graph as G
+from .catalog import GraphCatalog
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -84,7 +85,7 @@ def register_by_name_like(s, d):
 
 @query(FLD + "SELECT access, count(*) AS n FROM fld GROUP BY access")
 def fields_by_access(s, d):
-    return fields(s, d).groupBy("access").agg(F.count(F.lit(1)).alias("n"))
+    return fields(s, d).groupBy("access").agg(F.count(F.lit(1)).alias("n"))  # codes by C.access()
 
 
 @query(FLD + "SELECT register_id, min_by(l_orderkey, l_orderkey * 10 + l_linenumber) AS l_orderkey FROM fld WHERE 13 BETWEEN bit_low AND bit_high GROUP BY register_id")
@@ -153,7 +154,8 @@ def child_of_edges(s, d):
 
 @query("SELECT o_orderstatus AS status, o_orderpriority AS type, count(*) AS n FROM orders GROUP BY ALL")
 def coverage_summary(s, d):
-    return t(s, d, "orders").groupBy(F.coalesce("o_orderstatus", F.lit("NOT_IMPLEMENTED")).alias("status"), F.col("o_orderpriority").alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    nodes = t(s, d, "orders").select(F.struct(F.col("o_orderstatus").alias("status")).alias("coverage"), F.col("o_orderpriority").alias("type"))
+    return GraphCatalog(nodes, None).get_coverage_summary().withColumnRenamed("count", "n")
 
 
 @query("SELECT coalesce(p_brand, 'ALL') AS type, count(*) AS nodes, sum(p_size) AS size FROM part GROUP BY ROLLUP (p_brand)")
@@ -205,8 +207,8 @@ STOP = ", ".join(f"'{w}'" for w in C.STOP_WORDS)
 
 @query(f"WITH tok AS (SELECT doc_id, i, w[i] AS k FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}\\p{{M}}_]+') AS w FROM documents), unnest(range(1, len(w) + 1)) u(i)), f AS (SELECT doc_id, k, min(i) AS i FROM tok WHERE regexp_full_match(k, '[a-z][a-z0-9_]{{2,}}') AND k NOT IN ({STOP}) GROUP BY ALL), r AS (SELECT doc_id, k, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM f) SELECT doc_id, string_agg(k, ' ' ORDER BY i) AS keywords FROM r WHERE n <= 20 GROUP BY doc_id")
 def keywords(s, d):
-    found = t(s, d, "documents").select("doc_id", C.keywords(F.col("text")).alias("k"))
-    return found.where(F.size("k") > 0).select("doc_id", F.array_join("k", " ").alias("keywords"))
+    found = t(s, d, "documents").select("doc_id", F.array_join(C.keywords(F.col("text")), " ").alias("keywords"))
+    return found.select("doc_id", F.explode(F.filter(F.array("keywords"), lambda k: k != "")).alias("keywords"))  # worked out once
 
 
 @query("SELECT p_partkey, 'TABLE_' || p_size || '_' || (p_partkey % 9) || ',TABLE_1_2' AS refs FROM part")
@@ -268,12 +270,16 @@ def orphans(s, d):
 
 @query("SELECT l_partkey, l_suppkey, count(*) - 1 AS repeats FROM lineitem GROUP BY ALL HAVING count(*) > 1")
 def duplicate_ids(s, d):
-    return t(s, d, "lineitem").groupBy("l_partkey", "l_suppkey").agg((F.count(F.lit(1)) - 1).alias("repeats")).where("repeats > 0")
+    nodes = t(s, d, "lineitem").select(F.concat_ws("_", "l_partkey", "l_suppkey").alias("id"), F.struct("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate").alias("ord"), F.lit("n").alias("name"))
+    none = nodes.where("false").select(F.col("id").alias("source_node"), F.col("id").alias("target_node"))
+    again = G.validate(nodes, none).where("check = 'duplicate_id'").groupBy("node_id").agg(F.count(F.lit(1)).alias("repeats"))
+    return again.select(F.substring_index("node_id", "_", 1).cast("long").alias("l_partkey"), F.substring_index("node_id", "_", -1).cast("long").alias("l_suppkey"), "repeats")
 
 
-@query("SELECT i AS page FROM range(1, 300) r(i) WHERE i NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+@query("SELECT i AS page FROM (SELECT max(o_custkey) AS m FROM orders), unnest(range(1, m + 1)) r(i) WHERE i NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def missing_pages(s, d):
-    return G.missing_numbers(t(s, d, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("page")), "page", 1, 299)
+    o = t(s, d, "orders")
+    return G.missing_numbers(o.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("page")), "page", 1, o.agg(F.max("o_custkey")).first()[0] or 0)
 
 
 @query("SELECT p_partkey, CASE WHEN contains(lower(p_type), 'brass') THEN 'B' WHEN contains(lower(p_type), 'small') THEN 'S' ELSE 'OTHER' END AS kind FROM part")
@@ -283,9 +289,8 @@ def classify_first_rule(s, d):
 
 @query("SELECT node_id, severity, count(*) AS n FROM (SELECT p_partkey AS node_id, 'error' AS severity FROM part WHERE p_size < 3 UNION ALL SELECT p_partkey, 'warning' FROM part WHERE length(p_name) > 20) GROUP BY ALL")
 def rule_issues(s, d):
-    p = t(s, d, "part")
-    rules = F.array(F.when(F.col("p_size") < 3, "error"), F.when(F.length("p_name") > 20, "warning"))
-    return p.select(F.col("p_partkey").alias("node_id"), F.explode(F.array_compact(rules)).alias("severity")).groupBy("node_id", "severity").agg(F.count(F.lit(1)).alias("n"))
+    rules = {"small": ("error", F.col("p_size") < 3), "long": ("warning", F.length("p_name") > 20)}
+    return E.issues(t(s, d, "part"), "p_partkey", rules).groupBy("node_id", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""WITH RECURSIVE par AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, n FROM (SELECT doc_id, i, len(list_filter(regexp_split_to_array(p[i], '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '')) AS n, p[i] AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), unnest(range(1, len(p) + 1)) u(i)) WHERE trim(body) <> ''),
@@ -313,11 +318,12 @@ def class_members(s, d):
     return E.class_members(r.select("class_id").distinct(), r).select("class_id", "member_count", F.array_join("member_register_ids", ",").alias("members"))
 
 
-@query("SELECT 'S' || i AS section, coalesce((SELECT count(*) FROM part WHERE p_partkey BETWEEN 150 * i AND 150 * i + 99), 0)::INTEGER AS n FROM range(20) r(i)")
+@query(REG + ", sec AS (SELECT i, 150 * i AS lo, 150 * i + 99 AS hi FROM (SELECT max(p_partkey) // 150 AS m FROM part), unnest(range(m + 1)) r(i)) SELECT 'S' || i AS section, coalesce(string_agg(id, ',' ORDER BY id), '') AS items FROM sec LEFT JOIN reg ON ord BETWEEN lo AND hi GROUP BY i")
 def items_of_sections(s, d):
-    sections = s.createDataFrame([(f"S{i}", 150 * i, 150 * i + 99) for i in range(20)], "section string, start long, end long")
     items = registers(s, d).select("id", F.col("ord").alias("page"))
-    return E.items_of_sections(sections, items).select("section", F.size("items").alias("n"))
+    last = items.agg(F.max("page")).first()[0] or 0
+    sections = s.range(last // 150 + 1).select(F.concat(F.lit("S"), "id").alias("section"), (150 * F.col("id")).alias("start"), (150 * F.col("id") + 99).alias("end"))
+    return E.items_of_sections(sections, items).select("section", F.array_join("items", ",").alias("items"))
 
 
 @query(CHK + "SELECT page, count(*)::INTEGER AS n_chunks, sha256(string_agg(full_text, chr(10) || chr(10) ORDER BY ord)) AS text_sha256 FROM chk GROUP BY page")

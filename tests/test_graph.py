@@ -77,7 +77,7 @@ def test_catalog(catalog):
     assert catalog.call("search_by_keywords", keywords=["dma", "none"])["results"][0]["score"] == 0.5
     assert catalog.call("search_nodes", query="again dma", limit=2)["count"] == 2
     assert catalog.call("search_nodes", query="x", limit=-1)["error"].startswith("INVALID_PARAM")
-    assert {r["check"] for r in catalog.call("validate")["results"]} == {"duplicate_id", "dangling_source"}
+    assert {r["check"] for r in catalog.call("validate")["results"]} == {"duplicate_id", "dangling_source", "no_keywords", "orphan"}
     assert S.update_coverage(catalog.nodes, "REG_1", "IMPLEMENTED").where("coverage.status = 'IMPLEMENTED'").count() == 1
     assert catalog.call("nothing")["success"] is False
 
@@ -134,7 +134,10 @@ def test_headers_and_contents(spark):
 
 
 def test_fields_of_a_table(spark):
-    assert E.column_map(["Bit", "Attrib", "Register Field Explanation"]) == {"bits": 0, "access": 1, "name": 2}
+    assert E.column_map(["Bit", "Attrib", "Register Field Explanation"]) == {"bits": 0, "access": 1, "description": 2}
+    assert E.column_map(["Location", "Attrib", "Register Field Explanation"]) == {"bits": 0, "access": 1, "description": 2}
+    assert E.column_map(["Position", "R/W", "Signal Name", "Function"]) == {"bits": 0, "access": 1, "name": 2, "description": 3}
+    assert E.column_map(["Slice", "Name"], {"bits": ["slice"]}) == {"bits": 0, "name": 1}
     cells = [["Bit", "Attrib", "Name", "Description"], ["", "", "", "orphan"], ["15-08", "RSVD", "Reserved"], ["07:04", "R/W", "Mode\nwhat it does", "first"], ["", "", "", "second"], ["3", "ROC", "Done"]]
     rows = spark.createDataFrame([("T", i, c) for i, c in enumerate(cells)], "name string, row_no int, cells array<string>")
     got = [tuple(r) for r in E.field_rows(rows, E.column_map(cells[0])).orderBy("ordinal").collect()]
