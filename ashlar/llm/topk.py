@@ -1,16 +1,16 @@
 """Exact top-k search by inner product of quantised vectors: tiled matrix products, partial selection
 per tile, tree merging.
 
-Queries come in blocks of at most BLOCK rows (checked), each sent once to all tasks; a task goes through
-its share of the vectors tile by tile, multiplies, keeps the best k of each tile and merges them into
-its list of the block; the tasks' lists are then merged FAN at a time until one is left for each query.
+Queries are dealt to blocks and vectors to shards, each of a bounded number of bytes; every pair of a block and a shard is one cell of
+a grid, and all cells are tasks of one job. A cell multiplies tile by tile, keeps the best k of each tile and merges them; the shards'
+lists are then merged FAN at a time until one is left for each query. Nothing is sent to the driver but two counts.
 Products are of integers: in float64 where all sums stay below 2^53, else in Python integers.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; rows whose
-number of components differs from a query's are no candidates for it; a query is a vec_id (rows that
-repeat a query's id count once, the smallest vector standing for them) and rows of its own id are no
-candidates; rows with a null id take no part; ties go to the smaller vec_id, repeated candidate ids
-rank one after the other. Scores beyond a long are held at its ends."""
+number of components differs from a query's are no candidates for it; each query row has its own list, and only that
+row itself is no candidate of it; rows with a null id take no part; ties go to the smaller vec_id, repeated candidate ids
+rank one after the other. Scores beyond a long are held at its ends. An empty table, or one without queries, has no rows; very long
+vectors make blocks and shards of fewer rows; other columns of the input play no part."""
 
 from __future__ import annotations
 
@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import write_table
 
-BLOCK, TILE, FAN, SCALE = 16_384, 4096, 16, 256.0
+#: Bytes of a block of queries and of a shard of vectors.
+BLOCK_BYTES, SHARD_BYTES = 16 << 20, 64 << 20
+TILE, FAN, SCALE = 4096, 16, 256.0
 LOW, HIGH = -(2**63), 2**63 - 1
-LISTS = "query_id long, ids array<long>, scores array<long>"
+LISTS = "rid long, query_id long, part int, ids array<long>, scores array<long>"
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -54,69 +56,49 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
 
 
-def search_block(vectors: DataFrame, queries: list, k: int) -> DataFrame:
-    """Each task's best k for each query of the block."""
-    by_dim: dict[int, list] = {}
-    for r in queries:
-        by_dim.setdefault(len(r["v"]), []).append(r)
-    packed = [(d, np.array([r["id"] for r in rs], dtype=np.int64), np.array([r["v"] for r in rs], dtype=np.float64).reshape(len(rs), d)) for d, rs in sorted(by_dim.items())]
-    sent = vectors.sparkSession.sparkContext.broadcast([(d, i.tobytes(), m.tobytes()) for d, i, m in packed])
-
-    def run(batches):
-        import pyarrow as pa
-
-        blocks = [(d, np.frombuffer(i, dtype=np.int64), np.frombuffer(m, dtype=np.float64).reshape(-1, d)) for d, i, m in sent.value]
-        held = {d: None for d, _, _ in blocks}
-        for batch in batches:
-            ids = np.asarray(batch.column(0)).astype(np.int64)
-            lists = batch.column(1)
-            sizes = np.diff(np.asarray(lists.offsets))
-            flat = np.asarray(lists.flatten()).astype(np.float64)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            for d, qi, qm in blocks:
-                rows = np.flatnonzero(sizes == d)
-                for lo in range(0, len(rows), TILE):
-                    take = rows[lo : lo + TILE]
-                    x = flat[ends[take][:, None] + np.arange(d)] if d else np.zeros((len(take), 0))
-                    for q0 in range(0, len(qi), 1024):
-                        part = slice(q0, q0 + 1024)
-                        s = products(qm[part], x)
-                        own = qi[part][:, None] == ids[take][None, :]
-                        # an own row goes to the end of the list, marked by a column of its own
-                        got = best_without(ids[take], s, own, k)
-                        was = None if held[d] is None else held[d].get(q0)
-                        if held[d] is None:
-                            held[d] = {}
-                        held[d][q0] = got if was is None else join_best(was, got, k)
-        out_q, out_i, out_s = [], [], []
-        for d, qi, _ in blocks:
-            for q0, (i, s, n) in (held[d] or {}).items():
-                for row in range(len(n)):
-                    if n[row]:
-                        out_q.append(int(qi[q0 + row]))
-                        out_i.append(i[row, : n[row]].tolist())
-                        out_s.append(s[row, : n[row]].tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_i, pa.list_(pa.int64())), pa.array(out_s, pa.list_(pa.int64()))], names=["query_id", "ids", "scores"])
-
-    return vectors.mapInArrow(run, LISTS)
-
-
-def best_without(ids: np.ndarray, scores: np.ndarray, own: np.ndarray, k: int):
-    """(ids, scores, how many) of the best k of each row, without the row's own."""
-    extra = int(own.sum(1).max(initial=0))
-    i, s = best(ids, scores, k + extra)
-    if extra:
-        mine = np.isin(np.arange(len(scores)), np.flatnonzero(own.any(1)))
-        for row in np.flatnonzero(mine):
-            keep = ~np.isin(i[row], ids[own[row]])
-            n = int(keep.sum())
-            i[row, :n], s[row, :n] = i[row][keep], s[row][keep]
-            i[row, n:] = -1
-        n = np.full(len(scores), i.shape[1])
-        n[mine] = [int((~np.isin(ids, ids[own[row]])).sum()) for row in np.flatnonzero(mine)]
-        n = np.minimum(np.minimum(n, k), i.shape[1])
-        return i[:, :k], s[:, :k], n
-    return i, s, np.full(len(scores), min(k, i.shape[1]))
+def by_size(table):
+    """(components, row ids, ids, matrix) of an Arrow table (rid, id, v), for each number of components."""
+    table = table.combine_chunks()
+    column = lambda c: np.asarray(table.column(c).to_numpy()).astype(np.int64)
+    rids, ids, lists = column("rid"), column("id"), table.column("v").combine_chunks()
+    if hasattr(lists, "chunks"):
+        lists = lists.chunk(0) if lists.num_chunks else None
+    if lists is None or not len(rids):
+        return {}
+    sizes = np.diff(np.asarray(lists.offsets))
+    flat, ends = np.asarray(lists.flatten()).astype(np.float64), np.concatenate([[0], np.cumsum(sizes)])
+    found = {}
+    for d in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == d)
+        found[d] = rids[rows], ids[rows], flat[ends[rows][:, None] + np.arange(d)] if d else np.zeros((len(rows), 0))
+    return found
+
+
+def cell_lists(queries, shard, part: int, k: int, rows: int = 1024):
+    """The best k of a shard for each query of a block, as an Arrow table."""
+    import pyarrow as pa
+
+    of, out = by_size(shard), ([], [], [], [], [])
+    for d, (q_rid, q_id, q) in by_size(queries).items():
+        if d not in of:
+            continue
+        rid, ids, x = of[d]
+        for q0 in range(0, len(q_rid), rows):
+            here, held = slice(q0, q0 + rows), None
+            for lo in range(0, len(rid), TILE):
+                tile = slice(lo, lo + TILE)
+                s, own = products(q[here], x[tile]), q_rid[here][:, None] == rid[tile][None]
+                names = np.broadcast_to(ids[tile], s.shape)
+                if own.any():  # the query itself goes behind all others, and is not counted
+                    s, names = np.where(own, LOW, s), np.where(own, HIGH, names)
+                got = (*best(names, s, k), np.minimum(k, s.shape[1] - own.sum(1)))
+                held = got if held is None else join_best(held, got, k)
+            i, s, n = held
+            for r in np.flatnonzero(n):
+                for column, value in zip(out, (int(q_rid[q0 + r]), int(q_id[q0 + r]), part, i[r, : n[r]].tolist(), s[r, : n[r]].tolist()), strict=True):
+                    column.append(value)
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["rid", "query_id", "part", "ids", "scores"])
 
 
 def join_best(a, b, k: int):
@@ -130,36 +112,33 @@ def join_best(a, b, k: int):
 def tree_merge(lists: DataFrame, parts: int, k: int) -> DataFrame:
     """One list for each query: lists of FAN parts are merged in a step, until one part is left."""
     left = max(1, parts)
-    lists = lists.withColumn("part", F.spark_partition_id())
     while True:
         left = -(-left // FAN)
-        lists = lists.withColumn("part", (F.col("part") / FAN).cast("int")) if left > 1 else lists.withColumn("part", F.lit(0))
         pairs = F.flatten(F.collect_list(F.arrays_zip("ids", "scores")))  # at most FAN lists of k
         order = F.array_sort(pairs, lambda x, y: F.when(x["scores"] != y["scores"], F.when(x["scores"] > y["scores"], -1).otherwise(1)).when(x["ids"] < y["ids"], -1).when(x["ids"] > y["ids"], 1).otherwise(0))
-        lists = lists.groupBy("query_id", "part").agg(F.slice(order, 1, k).alias("b")).select("query_id", "part", F.col("b.ids").alias("ids"), F.col("b.scores").alias("scores"))
+        merged = lists.withColumn("part", (F.col("part") / FAN).cast("int")).groupBy("rid", "query_id", "part").agg(F.slice(order, 1, k).alias("b"))
+        lists = merged.select("rid", "query_id", "part", F.col("b.ids").alias("ids"), F.col("b.scores").alias("scores"))
         if left == 1:
-            return lists.drop("part")
-
-
-def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best candidates."""
-    kept, _ = write_table(quantised(vectors, id_col, vec_col), "vectors")
-    queries = kept.where(is_query(F.col("id"))).groupBy("id").agg(F.min("v").alias("v"))
-    queries, _ = write_table(queries, "queries")
-    n, blocks = queries.count(), 1
-    while True:  # blocks by hash, more of them until each is within the bound
-        most = queries.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks))).count().agg(F.max("count")).first()[0] or 0
-        if most <= block:
-            break
-        blocks = max(blocks + 1, -(-n * 5 // (4 * block)) if blocks == 1 else blocks * 5 // 4 + 1)
-    found, parts = None, kept.rdd.getNumPartitions()
-    for b in range(blocks):
-        mine = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()  # at most `block` rows
-        if not mine:
-            continue
-        lists, _ = write_table(tree_merge(search_block(kept, mine, k), parts, k), "lists")
-        found = lists if found is None else found.unionByName(lists)
-    if found is None:
-        found = kept.where("false").select(F.col("id").alias("query_id"), F.array().cast("array<bigint>").alias("ids"), F.array().cast("array<bigint>").alias("scores"))
+            return lists
+
+
+def top_k(vectors: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query row's k best candidates."""
+    spark = vectors.sparkSession
+    kept, _ = write_table(quantised(vectors, id_col, vec_col).withColumn("rid", F.monotonically_increasing_id()), "vectors")
+    size = lambda df: df.agg(F.sum(16 + 8 * F.size("v").cast("long"))).first()[0] or 0
+    queries = kept.where(is_query(F.col("id")))
+    shards = max(spark.sparkContext.defaultParallelism, -(-size(kept) // shard_bytes))
+    blocks = max(1, -(-size(queries) // block_bytes))
+    deal = lambda salt, n: F.pmod(F.xxhash64("rid", F.lit(salt)), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select("rid", "id", "v", deal(1, blocks).alias("b"), every(shards).alias("s"))
+    x = kept.select("rid", "id", "v", deal(2, shards).alias("s"), every(blocks).alias("b"))
+
+    def cell(key, left, right):
+        return cell_lists(left, right, key[1].as_py(), k)
+
+    lists = q.groupBy("b", "s").cogroup(x.groupBy("b", "s")).applyInArrow(cell, LISTS)
+    found = tree_merge(write_table(lists, "lists")[0], shards, k)
     each = found.select("query_id", F.posexplode(F.arrays_zip("ids", "scores")).alias("r", "p"))
     return each.select("query_id", (F.col("r") + 1).cast("int").alias("rank"), F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))

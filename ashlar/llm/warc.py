@@ -1,22 +1,29 @@
 """WARC archives in seekable Zstandard bundles.
 
-A bundle is a row of independent Zstandard frames, each with the records of about FRAME bytes, and a
+A bundle is a row of independent Zstandard frames, each with the records of about FRAME bytes, a skippable frame with the
+index from record ids to (frame, offset in the frame, length), and a
 footer in a skippable frame: the seek table of the public seekable format (compressed and plain size
-of each frame). With a bundle goes an index from record ids to (frame, offset in the frame, length), so
-that a record is read by decompressing its frame alone. Bundles are rows of a table that Spark writes
-and commits, so a lost executor leaves none behind half written.
+of each frame). So a record is read by decompressing its frame alone. Bundles are rows of a table that Spark writes
+and commits, so a lost executor leaves none behind half written; the index stands beside each as a column too.
+export() writes bundles as .warc.zst files, read_files() reads such files.
+
+What a record refers to is decided on ids and digests; the payloads are not shuffled where the digests that repeat
+can be broadcast, and else a frequent digest is taken apart (keyed_join).
 
 Pages with equal payloads are stored once: the one with the largest page_id is a response, the others
 are revisit records that refer to it and carry the payload's digest and size.
 
 Defined results: null html is the empty payload, which is deduplicated as any other; rows that repeat
 the largest page_id with the same payload are all responses; a null page_id is smaller than any other,
-and where all are null they are all responses; a null url leaves the target out."""
+and where all are null they are all responses; a null url leaves the target out. Rows that repeat a page_id have the same record
+id, and lookup() gives all of them. All records have the date that is passed (pages have none of their own). An empty table gives no
+bundle; very long payloads make frames of their own; other columns of the input play no part."""
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import re
 import struct
 
@@ -25,11 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, write_table
+from .common import keyed_join, small, write_table
 
 FRAME, BUNDLE, LEVEL = 1 << 20, 16 << 20, 3
 # Fixed values of the seekable format: skippable frame magic and footer magic.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
+#: The skippable frame of the index: the first magic number of such frames.
+INDEX = 0x184D2A50
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BUNDLES = "bundle string, data binary, index array<struct<record:string,frame:int,offset:int,length:int>>"
@@ -54,14 +63,32 @@ def read_seek_table(data: bytes) -> list[tuple[int, int, int]]:
     return frames
 
 
+def index_frame(index: list[dict], pack) -> bytes:
+    """The index as lines of JSON, compressed, in a skippable frame."""
+    body = pack.compress("\n".join(json.dumps([x["record"], x["frame"], x["offset"], x["length"]]) for x in index).encode())
+    return struct.pack("<II", INDEX, len(body)) + body
+
+
+def read_index(data: bytes) -> list[tuple[str, int, int, int]]:
+    """(record, frame, offset, length) of each record of a bundle."""
+    import zstandard
+
+    at = sum(size for _, size, _ in read_seek_table(data))
+    magic, size = struct.unpack_from("<II", data, at)
+    if magic != INDEX:
+        raise ValueError("no index")
+    text = zstandard.ZstdDecompressor().decompressobj().decompress(data[at + 8 : at + 8 + size]).decode()
+    return [tuple(json.loads(x)) for x in text.splitlines()]
+
+
 def urn(page_id) -> str:
     return f"<urn:page:{'none' if page_id is None else page_id}>"
 
 
-def record(page_id, url, payload: bytes | None, digest: str, size: int, refers_to) -> bytes:
+def record(page_id, url, payload: bytes | None, digest: str, size: int, refers_to, date: str = DATE) -> bytes:
     """One record; payload None: a revisit."""
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if payload is None else 'response'}", f"WARC-Record-ID: {urn(page_id)}", f"WARC-Date: {DATE}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if payload is None else 'response'}", f"WARC-Record-ID: {urn(page_id)}", f"WARC-Date: {date}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
@@ -84,7 +111,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return headers, data[head + 4 : end], end + 4
 
 
-def bundles(pages: DataFrame, frame: int = FRAME, bundle: int = BUNDLE, level: int = LEVEL) -> DataFrame:
+def bundles(pages: DataFrame, frame: int = FRAME, bundle: int = BUNDLE, level: int = LEVEL, date: str = DATE) -> DataFrame:
     """Bundles of the rows (page_id, url, html, sha1, size, refers_to)."""
 
     def run(batches):
@@ -106,7 +133,7 @@ def bundles(pages: DataFrame, frame: int = FRAME, bundle: int = BUNDLE, level: i
         def end_bundle():
             nonlocal frames, sizes, index, plain, count
             end_frame()
-            data = b"".join(frames) + seek_table(sizes)
+            data = b"".join(frames) + index_frame(index, pack) + seek_table(sizes)
             made = pa.RecordBatch.from_pylist([{"bundle": f"part-{task:06d}-{count:05d}.warc.zst", "data": data, "index": index}], schema=pa.schema([("bundle", pa.string()), ("data", pa.binary()), ("index", pa.list_(pa.struct([("record", pa.string()), ("frame", pa.int32()), ("offset", pa.int32()), ("length", pa.int32())])))]))
             frames, sizes, index, plain, count = [], [], [], 0, count + 1
             return made
@@ -117,7 +144,7 @@ def bundles(pages: DataFrame, frame: int = FRAME, bundle: int = BUNDLE, level: i
             cols[2] = cols[2].cast(pa.binary() if pa.types.is_string(cols[2].type) else pa.large_binary())
             for page_id, url, payload, sha1, size, refers_to in zip(*(c.to_pylist() for c in cols), strict=True):
                 digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-                raw = record(page_id, url, None if refers_to is not None else payload or b"", digest, size, refers_to)
+                raw = record(page_id, url, None if refers_to is not None else payload or b"", digest, size, refers_to, date)
                 index.append({"record": urn(page_id), "frame": len(frames), "offset": held, "length": len(raw)})
                 open_.append(raw)
                 held += len(raw)
@@ -134,14 +161,14 @@ def bundles(pages: DataFrame, frame: int = FRAME, bundle: int = BUNDLE, level: i
     return pages.select("page_id", "url", "html", "sha1", "size", "refers_to").mapInArrow(run, BUNDLES)
 
 
-def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", **sizes: int) -> DataFrame:
+def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", **options) -> DataFrame:
     """Write the pages to a table of bundles in the shared folder."""
     raw = F.coalesce(F.col(html), F.lit(""))
     read = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), raw.alias("html"), F.sha1(raw.cast("binary")).alias("sha1"), F.octet_length(raw).cast("long").alias("size"))
     shared = read.groupBy("sha1").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("last")).where("n > 1 AND last IS NOT NULL").select("sha1", "last")
     shared, _ = write_table(shared, "shared-payloads")
-    ruled = read.join(small(shared), "sha1", "left").withColumn("refers_to", F.when(F.col("last") != F.coalesce(F.col("page_id"), F.lit(-(2**63))), F.col("last")))
-    return write_table(bundles(ruled, **sizes), "warc", compression="none")[0]
+    ruled = keyed_join(read, shared, ["sha1"], "left").withColumn("refers_to", F.when(F.col("last") != F.coalesce(F.col("page_id"), F.lit(-(2**63))), F.col("last")))
+    return write_table(bundles(ruled, **options), "warc", compression="none")[0]
 
 
 def read_records(archives: DataFrame) -> DataFrame:
@@ -195,3 +222,34 @@ def lookup(archives: DataFrame, page_ids: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.string()), pa.array([b for _, b in out], pa.binary())], names=["record", "raw"])
 
     return archives.join(groups, "bundle").select("data", "found").mapInArrow(run, schema)
+
+
+def export(archives: DataFrame, folder: str) -> DataFrame:
+    """Write each bundle as a file into a shared folder (a URI such as file:///data/warc); returns (file, size).
+
+    A file is written under a name of its own attempt and then renamed, so that a lost task leaves no half file under a final
+    name, and a second attempt writes the same."""
+
+    def run(batches):
+        import uuid
+
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            names, datas = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("bundle", "data"))
+            for name, data in zip(names, datas, strict=True):
+                part = f"{root}/_{uuid.uuid4().hex}"
+                with store.open_output_stream(part) as out:
+                    out.write(data)
+                store.move(part, f"{root}/{name}")
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([len(d) for d in datas], pa.int64())], names=["file", "size"])
+
+    return write_table(archives.select("bundle", "data").mapInArrow(run, "file string, size long"), "exported")[0]
+
+
+def read_files(spark, folder: str) -> DataFrame:
+    """Bundles (bundle, data) of the .warc.zst files of a folder, for read_records()."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
+    return found.select(F.substring_index("path", "/", -1).alias("bundle"), F.col("content").alias("data"))

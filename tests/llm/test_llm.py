@@ -195,14 +195,14 @@ def test_top_k(spark):
     vectors = [(i, rng.normal(0, 1, 8).round(2).tolist()) for i in range(300)] + [(300 + i, [0.5] * 8) for i in range(60)]
     vectors += [(400, None), (401, [0.1, None] + [0.0] * 6), (402, [float("nan")] * 8), (403, [1e30] * 8), (None, [1.0] * 8), (404, [1.0, 2.0]), (450, [1.0, 2.0]), (50, vectors[50][1])]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
-    got = topk.top_k(frame, lambda i: i % 50 == 0, block=4).collect()
+    got = topk.top_k(frame, lambda i: i % 50 == 0, block_bytes=400, shard_bytes=4000).collect()
     fine = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in sorted({i for i, _ in fine if i % 50 == 0}):
-        qv = min(v for i, v in fine if i == q)
-        scored = sorted((-max(min(sum(a * b for a, b in zip(qv, v)), 2**63 - 1), -(2**63)), i) for i, v in fine if i != q and len(v) == len(qv))
-        want += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
-    assert sorted(tuple(r) for r in got if r["vec_id"] != 403) == [w for w in sorted(want) if w[2] != 403]
+    for at, (q, qv) in enumerate(fine):
+        if q % 50 == 0:
+            scored = sorted((-max(min(sum(a * b for a, b in zip(qv, v)), 2**63 - 1), -(2**63)), i) for n, (i, v) in enumerate(fine) if n != at and len(v) == len(qv))
+            want += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:5], 1)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
     assert topk.top_k(frame.where("false"), lambda i: i % 50 == 0).count() == 0
 
 
@@ -233,6 +233,12 @@ def test_warc(spark):
     raw = warc.lookup(made, spark.createDataFrame([(9,), (3,)], "page_id long")).collect()
     assert {warc.parse(r["raw"])[0]["WARC-Type"] for r in raw} == {"response", "revisit"} and len(raw) == 2
     assert warc.read_records(warc.archive(pages.where("false"))).count() == 0
+    shared = common.shared_dir(spark) + "/files"
+    assert warc.export(made, shared).count() == made.count()
+    files = warc.read_files(spark, shared)
+    assert collections.Counter(tuple(r) for r in warc.read_records(files).collect()) == collections.Counter(want)
+    for r in made.collect():
+        assert warc.read_index(r["data"]) == [(x["record"], x["frame"], x["offset"], x["length"]) for x in r["index"]]
 
 
 def test_shards(spark, odd):
@@ -253,6 +259,11 @@ def test_shards(spark, odd):
     groups = collections.defaultdict(collections.Counter)
     for r in got:
         groups[r["hub"]][r["shard"]] += 1
+    pairs = lambda n: n * (n - 1) // 2
+    links, cut = shards.cut_edges(shards.shard_documents(frame)).first()
+    assert links == sum(pairs(sum(g.values())) for g in groups.values()) and cut == links - sum(pairs(n) for g in groups.values() for n in g.values())
+    by_hash = shards.cut_edges(frame.select(F.col("text").alias("hub"), (F.xxhash64("doc_id") % 8).alias("shard"))).first()["cut"]
+    assert 100 * cut < 95 * by_hash
     small_groups = [g for g in groups.values() if 1 < sum(g.values()) < 100]
     assert np.mean([max(g.values()) / sum(g.values()) for g in small_groups]) > 0.75  # by chance: about a third
 
