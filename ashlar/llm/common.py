@@ -3,8 +3,10 @@ broadcasts, distributed row numbers and connected components."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,11 +36,16 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
+_scratch: list[list[str]] = []
+
+
+def write_table(df: DataFrame, name: str, keep: bool = False, **options: str) -> tuple[DataFrame, str]:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor
-    costs nothing that is in the table."""
+    costs nothing that is in the table. Inside scratch() the table goes at its end, or, if kept, at that of the one around it."""
     spark, path = df.sparkSession, table_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
+    if len(_scratch) > keep:
+        _scratch[-1 - keep].append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -47,6 +54,27 @@ def drop_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete tables, and let Spark's cleaner find the shuffle files of steps that are over: it waits for the driver's
+    garbage collection, which a driver with little to do puts off."""
+    for path in paths:
+        drop_table(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are written inside, and not kept, are deleted at the end."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield
+    finally:
+        _scratch.pop()
+        release(spark, *paths)
+
+
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether df has at most so many rows."""
     return df.limit(rows + 1).count() <= rows

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fits, keyed_join, small, write_table
+from .common import ascii_lower, fits, keyed_join, scratch, small, write_table
 
 WIDTH = 13
 #: How many words after or before an item's rarest term its other terms may stand, for a proximity match.
@@ -138,19 +138,21 @@ def overlaps(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_text
     """(rid, doc_id, n_words, n_hit, n_items, items) for every document row; items: sorted ids of the items that occur in it.
 
     With `slop` also n_near: how many items have all their terms near each other in the document."""
-    terms, _ = write_table(item_terms(bench, item_id, item_text), "terms")
-    index = build_index(docs, doc_id, doc_text)
-    lengths = list_lengths(index, terms)
-    found, _ = write_table(phrase_matches(index, terms, lengths, width), "matches")
-    spots = found.select("rid", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
-    items = found.select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"))
-    heads = index.where(F.col("term") == HEADER).select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
-    zero = F.lit(0).cast("long")
-    whole = heads.join(spots.join(items, "rid"), "rid", "left").select("rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
-    if slop is None:
-        return whole
-    near = proximity_matches(index, terms, lengths, slop).select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("near"))
-    return whole.join(near, "rid", "left").withColumn("n_near", F.coalesce("near", zero)).drop("near")
+    with scratch(docs.sparkSession):
+        terms, _ = write_table(item_terms(bench, item_id, item_text), "terms")
+        index = build_index(docs, doc_id, doc_text)
+        lengths = list_lengths(index, terms)
+        found, _ = write_table(phrase_matches(index, terms, lengths, width), "matches")
+        spots = found.select("rid", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
+        items = found.select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"))
+        heads = index.where(F.col("term") == HEADER).select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
+        zero = F.lit(0).cast("long")
+        whole = heads.join(spots.join(items, "rid"), "rid", "left").select("rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        if slop is None:
+            return write_table(whole, "overlaps", keep=True)[0]
+        near = proximity_matches(index, terms, lengths, slop).select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("near"))
+        whole = whole.join(near, "rid", "left").withColumn("n_near", F.coalesce("near", zero)).drop("near")
+        return write_table(whole, "overlaps", keep=True)[0]
 
 
 def contaminated() -> Column:

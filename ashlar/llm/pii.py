@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fits, keyed_join, write_table
+from .common import fits, keyed_join, scratch, write_table
 
 KINDS = ("email", "ip", "card", "phone")
 # The contract's patterns. Lookbehinds and possessive runs only save work on long runs:
@@ -39,6 +39,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+(?:\x20[0-9][0-9().-]*+(?!\S))*+"
 TOKEN_DIGITS = 4
 SUPPORT, CONFIDENCE, TOLERANCE = 3, 0.6, 0.005
+#: Discovered spans that are broadcast at most; more are joined by a shuffle.
+MANY_SPANS = 500_000
 #: Running sums are taken inside blocks of so many values, and over the blocks.
 BLOCK = 128
 
@@ -219,9 +221,13 @@ def joined(spans: Column) -> Column:
 
 def marked(docs: DataFrame, text: str, keep: Column) -> DataFrame:
     """doc (what `keep` gives), base and spans (arrays of start, k, end, value, left) for every row."""
+    spark = docs.sparkSession
     scanned, _ = write_table(scan(docs, text, keep), "spans")
-    more = discovered(scanned, learn(scanned, docs, text))
+    with scratch(spark):
+        more, _ = write_table(discovered(scanned, learn(scanned, docs, text)), "discovered", keep=True)
     none = F.array().cast(scanned.schema["base"].dataType)
+    if fits(more) and (more.agg(F.sum(F.size("more"))).first()[0] or 0) <= MANY_SPANS:
+        more = F.broadcast(more)
     return scanned.join(more, "rid", "left").select("doc", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, keyed_join, write_table
+from .common import components, keyed_join, scratch, write_table
 
 CROWD = 64
 BITS = 64
@@ -217,14 +217,16 @@ def links(distinct: DataFrame, radius: int, crowd: int = CROWD) -> tuple[DataFra
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
     """docs without `text`, with fp (long), component_id (smallest id that is reachable) and group_fp (the
     component's smallest fingerprint, which tells components apart where ids repeat)."""
-    marked, _ = write_table(fingerprints(docs, text, width, "__fp"), "fingerprints")
-    distinct, _ = write_table(marked.groupBy("__fp").agg(F.min(id_col).alias("low")).select(F.col("__fp").alias("fp"), "low"), "distinct")
-    pairs, _ = links(distinct.select("fp"), radius)
-    labels = components(pairs, "a", "b")
-    of, _ = write_table(distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("label", "fp").alias("label")), "labelled")
-    ids, _ = write_table(of.groupBy("label").agg(F.min("low").alias("component_id")), "ids")
-    by_fp, _ = write_table(keyed_join(of.select("fp", "label"), ids, ["label"]).select(F.col("fp").alias("__fp"), "component_id", F.col("label").alias("group_fp")), "by-fingerprint")
-    return keyed_join(marked.drop("component_id", "fp", "group_fp"), by_fp, ["__fp"]).withColumnRenamed("__fp", "fp")
+    with scratch(docs.sparkSession):
+        marked, _ = write_table(fingerprints(docs, text, width, "__fp"), "fingerprints")
+        distinct, _ = write_table(marked.groupBy("__fp").agg(F.min(id_col).alias("low")).select(F.col("__fp").alias("fp"), "low"), "distinct")
+        pairs, _ = links(distinct.select("fp"), radius)
+        labels = components(pairs, "a", "b")
+        of, _ = write_table(distinct.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("label", "fp").alias("label")), "labelled")
+        ids, _ = write_table(of.groupBy("label").agg(F.min("low").alias("component_id")), "ids")
+        by_fp, _ = write_table(keyed_join(of.select("fp", "label"), ids, ["label"]).select(F.col("fp").alias("__fp"), "component_id", F.col("label").alias("group_fp")), "by-fingerprint")
+        found = keyed_join(marked.drop("component_id", "fp", "group_fp"), by_fp, ["__fp"]).withColumnRenamed("__fp", "fp")
+        return write_table(found, "groups", keep=True)[0]
 
 
 def numbered_rows(docs: DataFrame, id_col: str) -> DataFrame:
@@ -234,10 +236,9 @@ def numbered_rows(docs: DataFrame, id_col: str) -> DataFrame:
 
 def keep_first(rows: DataFrame, seen: DataFrame) -> DataFrame:
     """One row of each group. rows: from numbered_rows; seen: id, h1, h2 and group_fp of each."""
-    seen, _ = write_table(seen, "groups")
     first = seen.groupBy("group_fp").agg(F.min(F.struct("id", "h1", "h2")).alias("w")).select("w.h1", "w.h2")
     copies = seen.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).join(first.withColumn("won", F.lit(True)), ["h1", "h2"], "left")
-    special, _ = write_table(copies.where("won IS NULL OR n > 1"), "special")
+    special, _ = write_table(copies.where("won IS NULL OR n > 1"), "special", keep=True)
     gone, twice = special.select("h1", "h2"), special.where("won AND n > 1").select("h1", "h2")
     once = keyed_join(rows, gone, ["h1", "h2"], "left_anti").select("doc.*")
     return once.unionByName(keyed_join(rows, twice, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("doc.*"))
@@ -248,4 +249,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width:
     the first by content. Ids of any type that sorts; the columns pass through whatever their names are."""
     rows = numbered_rows(docs, id_col)
     texts = rows.select("id", "h1", "h2", F.col("doc").getField(text).alias("t"))
-    return keep_first(rows, near_groups(texts, "id", "t", width, radius))
+    return keep_first(rows, near_groups(texts, "id", "t", width, radius))  # both leave narrow tables only
