@@ -113,7 +113,7 @@ def clean_text(c: Column, noise: tuple[str, ...] = ()) -> Column:
     """Text without lines that match a pattern (headers, copyright), runs of blank lines and of spaces cut to two and one."""
     for pattern in noise:
         c = F.regexp_replace(c, rf"(?im)^[^\n]*(?:{pattern})[^\n]*$", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r" {2,}", " "))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r" {2,}", " "), r"^\s+|\s+$", "")
 
 
 def strip_fences(c: Column) -> Column:

@@ -49,7 +49,12 @@ def env_value(spark: SparkSession, path: str, key: str) -> str | None:
     """A key's value: from the environment, else from a file of KEY=value lines; quotes about it go."""
     if key in os.environ:
         return os.environ[key]
-    for line in (read_text(spark, path) or "").splitlines():
+    try:  # such files stay on the driver; Spark passes over names that begin with a dot
+        with open(path) as f:
+            text = f.read()
+    except OSError:
+        text = read_text(spark, path) or ""
+    for line in text.splitlines():
         if (m := re.match(rf"\s*(?:export\s+)?{re.escape(key)}\s*=\s*(.*)$", line)) is not None:
             return m[1].strip().strip("\"'")
     return None
