@@ -59,7 +59,7 @@ class GraphCatalog:
         "get_table_by_reference", "get_figure_by_reference", "get_table_csv", "get_figure_plantuml", "get_register_class_by_id", "get_feature_by_id", "get_hd_sequence_by_id",
     )
     #: Queries whose result is one thing.
-    single = ("get_section_by_number", "get_spec_info", "get_page_content")
+    single = ("get_section_by_number", "get_spec_info")
 
     def _known(self, function: str) -> str:
         if function != "get_register_by_offset":
