@@ -8,7 +8,8 @@ adjusted by their offsets, are intersected with them, and only what remains is c
 terms about the anchor. Postings of common terms are thus read for surviving documents only. Proximity matches
 go the same way: the rarest term of an item, then its second rarest within reach, then all others.
 
-Postings are met with terms by a broadcast of bounded size, or by a shuffle in which frequent terms are taken apart
+Lists are found by a 32-bit hash of their term, which is cheaper to join than text; all that is found so is compared with the
+terms themselves in the end, so that a collision costs time only. Postings are met with terms by a broadcast of bounded size, or by a shuffle in which frequent terms are taken apart
 (keyed_join).
 
 Defined results: a null text has no words; a null or wordless item has no windows; items that
@@ -37,54 +38,54 @@ def words(text: Column) -> Column:
 
 
 def item_terms(bench: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(iid, item_id, len, j, term), one row for each word of each item; iid tells rows apart."""
+    """(iid, item_id, len, j, term, t), one row for each word of each item; iid tells rows apart."""
     rows = bench.select(F.col(id_col).cast("string").alias("item_id"), words(F.col(text)).alias("w")).distinct()
     rows = rows.select(F.xxhash64("item_id", F.concat_ws(" ", "w")).alias("iid"), "item_id", "w", F.size("w").alias("len"))
-    return rows.select("iid", "item_id", "len", F.posexplode("w").alias("j", "term"))
+    return rows.select("iid", "item_id", "len", F.posexplode("w").alias("j", "term")).withColumn("t", F.hash("term"))
 
 
 def build_index(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Postings (rid, doc_id, n_words, pos, term) of all words, and header rows at position -1."""
+    """Postings (rid, doc_id, n_words, pos, term, t: the hash of the term) of all words, and header rows at position -1."""
     read = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), words(F.col(text)).alias("w"))
     flat = read.select("rid", "doc_id", F.size("w").alias("n_words"), F.posexplode(F.concat(F.array(F.lit(HEADER)), F.col("w"))).alias("pos", "term"))
-    index, _ = write_table(flat.select("rid", "doc_id", "n_words", (F.col("pos") - 1).alias("pos"), "term"), "postings")
+    index, _ = write_table(flat.select("rid", "doc_id", "n_words", (F.col("pos") - 1).alias("pos"), "term", F.hash("term").alias("t")), "postings")
     return index
 
 
 def list_lengths(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, cf) of the terms that any document has."""
-    wanted, _ = write_table(terms.select("term").distinct(), "wanted")
-    postings = index.where(F.col("term") != HEADER).select("term")
+    """(t, cf) of the terms that any document has."""
+    wanted, _ = write_table(terms.select("t").distinct(), "wanted")
+    postings = index.where("pos >= 0").select("t")
     if fits(wanted):
-        postings = postings.join(F.broadcast(wanted), "term", "left_semi")
-    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))  # counted before it is shuffled
-    return write_table(counts.join(wanted, "term", "left_semi"), "lengths")[0]
+        postings = postings.join(F.broadcast(wanted), "t", "left_semi")
+    counts = postings.groupBy("t").agg(F.count(F.lit(1)).alias("cf"))  # counted before it is shuffled
+    return write_table(counts.join(wanted, "t", "left_semi"), "lengths")[0]
 
 
 def lists_of(index: DataFrame, side: DataFrame, columns: list[str]) -> DataFrame:
-    """Postings (rid, pos, term) with what `side` has for their terms: one row for each row of side."""
-    postings = index.where(F.col("term") != HEADER).select("rid", "pos", "term")
+    """Postings (rid, pos, t) with what `side` has for their terms: one row for each row of side."""
+    postings = index.where("pos >= 0").select("rid", "pos", "t")
     if not columns:
-        return keyed_join(postings, side.select("term").distinct(), ["term"], "left_semi")
+        return keyed_join(postings, side.select("t").distinct(), ["t"], "left_semi")
     if fits(side):
-        return postings.join(F.broadcast(side), "term")
-    by = side.groupBy("term").agg(F.collect_list(F.struct(*columns)).alias("x"))  # as many as the benchmark has
-    return keyed_join(postings, write_table(by, "by-term")[0], ["term"]).select("rid", "pos", "term", F.explode("x").alias("x")).select("rid", "pos", "term", "x.*")
+        return postings.join(F.broadcast(side), "t")
+    by = side.groupBy("t").agg(F.collect_list(F.struct(*columns)).alias("x"))  # as many as the benchmark has
+    return keyed_join(postings, write_table(by, "by-term")[0], ["t"]).select("rid", "pos", "t", F.explode("x").alias("x")).select("rid", "pos", "t", "x.*")
 
 
 def anchors(terms: DataFrame, lengths: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """The rarest term of every window (iid, len, j, term), and the second rarest (iid, j, j2, term2).
+    """The rarest term of every window (iid, len, j, t), and the second rarest (iid, j, j2, t2).
 
     Windows with a term that no document has are left out: they cannot occur."""
-    rated = terms.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    rated = terms.join(lengths, "t", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
     starts = terms.select("iid", "len").distinct().select("iid", "len", F.explode(F.sequence(F.lit(0), F.greatest(F.col("len") - width, F.lit(0)))).alias("s"))
     inside = starts.select("iid", "len", "s", F.explode(F.sequence("s", F.least(F.col("s") + width, F.col("len")) - 1)).alias("j"))
-    lists = inside.join(rated.select("iid", "j", "term", "cf"), ["iid", "j"]).groupBy("iid", "len", "s").agg(F.array_sort(F.collect_list(F.struct("cf", "j", "term"))).alias("by"))
+    lists = inside.join(rated.select("iid", "j", "t", "cf"), ["iid", "j"]).groupBy("iid", "len", "s").agg(F.array_sort(F.collect_list(F.struct("cf", "j", "t"))).alias("by"))
     lists = lists.where(F.col("by")[0]["cf"] > 0)
     second = F.col("by")[F.least(F.size("by"), F.lit(2)) - 1]
     chosen = lists.select("iid", "len", F.col("by")[0].alias("a"), second.alias("b"))
-    first = chosen.select("iid", "len", "a.j", "a.term").distinct()
-    then = chosen.select("iid", "a.j", F.col("b.j").alias("j2"), F.col("b.term").alias("term2")).distinct()
+    first = chosen.select("iid", "len", "a.j", "a.t").distinct()
+    then = chosen.select("iid", "a.j", F.col("b.j").alias("j2"), F.col("b.t").alias("t2")).distinct()
     return first, then
 
 
@@ -95,11 +96,11 @@ def phrase_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, width
     (first, then), keep = anchors(terms, lengths, width), ["rid", "iid"]
     first, _ = write_table(first, "anchors")
     then, _ = write_table(then, "seconds")
-    lined = lists_of(index, first.select("term", "iid", "j"), ["iid", "j"]).select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta"))  # negative where the document has a later part of the item only
-    due = lined.join(small(then), ["iid", "j"]).select("rid", "iid", "j", "delta", (F.col("delta") + F.col("j2")).alias("pos"), F.col("term2").alias("term"))
-    seconds = lists_of(index, then.select(F.col("term2").alias("term")), [])
-    left, _ = write_table(due.join(seconds, ["rid", "pos", "term"]).select(*keep, "j", "delta").distinct(), "alignments")
-    rest = index.where(F.col("term") != HEADER).select("rid", "pos", "term")
+    lined = lists_of(index, first.select("t", "iid", "j"), ["iid", "j"]).select("rid", "iid", "j", (F.col("pos") - F.col("j")).alias("delta"))  # negative where the document has a later part of the item only
+    due = lined.join(small(then), ["iid", "j"]).select("rid", "iid", "j", "delta", (F.col("delta") + F.col("j2")).alias("pos"), F.col("t2").alias("t"))
+    seconds = lists_of(index, then.select(F.col("t2").alias("t")), [])
+    left, _ = write_table(due.join(seconds, ["rid", "pos", "t"]).select(*keep, "j", "delta").distinct(), "alignments")
+    rest = index.where("pos >= 0").select("rid", "pos", "term")
     rest = keyed_join(rest, write_table(left.select("rid").distinct(), "survivors")[0], ["rid"], "left_semi")
     # the windows that an anchor stands for lie about it
     about = first.select("iid", "j", F.explode(F.sequence(F.greatest(F.col("j") - width + 1, F.lit(0)), F.least(F.col("j") + width, F.col("len")) - 1)).alias("i"))
@@ -115,19 +116,19 @@ def proximity_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, sl
     """Where all terms of an item stand within `slop` words after or before its rarest one: (rid, iid, item_id, pos).
 
     terms: as of item_terms; repeated terms of an item count once."""
-    sets = terms.select("iid", "item_id", "term").distinct()
-    rated = sets.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
-    by = rated.groupBy("iid", "item_id").agg(F.array_sort(F.collect_list(F.struct("cf", "term"))).alias("by")).where(F.col("by")[0]["cf"] > 0)
-    rare, _ = write_table(by.select("iid", "item_id", F.size("by").alias("n"), F.col("by")[0]["term"].alias("term"), F.col("by")[F.least(F.size("by"), F.lit(2)) - 1]["term"].alias("term2")), "rarest")
+    sets = terms.select("iid", "item_id", "term", "t").distinct()
+    rated = sets.join(lengths, "t", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    by = rated.groupBy("iid", "item_id").agg(F.array_sort(F.collect_list(F.struct("cf", "t"))).alias("by")).where(F.col("by")[0]["cf"] > 0)
+    rare, _ = write_table(by.select("iid", "item_id", F.size("by").alias("n"), F.col("by")[0]["t"].alias("t"), F.col("by")[F.least(F.size("by"), F.lit(2)) - 1]["t"].alias("t2")), "rarest")
     sets, _ = write_table(sets, "sets")
     wide = 2 * slop + 1
     cell = lambda p: F.floor(p / wide)
     cells = lambda p: F.explode(F.array_distinct(F.array(cell(p - slop), cell(p + slop))))
-    at = lists_of(index, rare.select("term", "iid", "item_id", "n", "term2"), ["iid", "item_id", "n", "term2"]).select("rid", "iid", "item_id", "n", F.col("pos").alias("at"), F.col("term2").alias("other"))
-    seconds = lists_of(index, rare.select(F.col("term2").alias("term")), []).select("rid", F.col("term").alias("other"), F.col("pos").alias("near"), cell(F.col("pos")).alias("cell"))
+    at = lists_of(index, rare.select("t", "iid", "item_id", "n", "t2"), ["iid", "item_id", "n", "t2"]).select("rid", "iid", "item_id", "n", F.col("pos").alias("at"), F.col("t2").alias("other"))
+    seconds = lists_of(index, rare.select(F.col("t2").alias("t")), []).select("rid", F.col("t").alias("other"), F.col("pos").alias("near"), cell(F.col("pos")).alias("cell"))
     close = at.withColumn("cell", cells(F.col("at"))).join(seconds, ["rid", "other", "cell"]).where(F.abs(F.col("near") - F.col("at")) <= slop)
     left, _ = write_table(close.select("rid", "iid", "item_id", "n", "at").distinct(), "near")
-    rest = keyed_join(index.where(F.col("term") != HEADER).select("rid", F.col("pos").alias("near"), F.col("term").alias("other")), write_table(left.select("rid").distinct(), "survivors")[0], ["rid"], "left_semi")
+    rest = keyed_join(index.where("pos >= 0").select("rid", F.col("pos").alias("near"), F.col("term").alias("other")), write_table(left.select("rid").distinct(), "survivors")[0], ["rid"], "left_semi")
     want = left.join(small(sets.select("iid", F.col("term").alias("other"))), "iid").withColumn("cell", cells(F.col("at")))
     met = want.join(rest.withColumn("cell", cell(F.col("near"))), ["rid", "other", "cell"]).where(F.abs(F.col("near") - F.col("at")) <= slop)
     full = met.groupBy("rid", "iid", "item_id", "at").agg(F.max("n").alias("n"), F.count_distinct("other").alias("k"))
@@ -145,7 +146,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_text
         found, _ = write_table(phrase_matches(index, terms, lengths, width), "matches")
         spots = found.select("rid", F.explode(F.sequence("first", "last")).alias("pos")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
         items = found.select("rid", "item_id").distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("items"))
-        heads = index.where(F.col("term") == HEADER).select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
+        heads = index.where("pos < 0").select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"))
         zero = F.lit(0).cast("long")
         whole = heads.join(spots.join(items, "rid"), "rid", "left").select("rid", "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
         if slop is None:
