@@ -53,13 +53,13 @@ def build_index(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def list_lengths(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """(t, cf) of the terms that any document has."""
-    wanted, _ = write_table(terms.select("t").distinct(), "wanted")
-    postings = index.where("pos >= 0").select("t")
+    """(term, cf) of the terms that any document has: counts of the terms themselves, so that a collision of hashes adds nothing."""
+    wanted, _ = write_table(terms.select("t", "term").distinct(), "wanted")
+    postings = index.where("pos >= 0").select("t", "term")
     if fits(wanted):
-        postings = postings.join(F.broadcast(wanted), "t", "left_semi")
-    counts = postings.groupBy("t").agg(F.count(F.lit(1)).alias("cf"))  # counted before it is shuffled
-    return write_table(counts.join(wanted, "t", "left_semi"), "lengths")[0]
+        postings = postings.join(F.broadcast(wanted.select("t").distinct()), "t", "left_semi")
+    counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("cf"))  # counted before it is shuffled
+    return write_table(counts.join(wanted.select("term"), "term", "left_semi"), "lengths")[0]
 
 
 def lists_of(index: DataFrame, side: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,7 +77,7 @@ def anchors(terms: DataFrame, lengths: DataFrame, width: int) -> tuple[DataFrame
     """The rarest term of every window (iid, len, j, t), and the second rarest (iid, j, j2, t2).
 
     Windows with a term that no document has are left out: they cannot occur."""
-    rated = terms.join(lengths, "t", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    rated = terms.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
     starts = terms.select("iid", "len").distinct().select("iid", "len", F.explode(F.sequence(F.lit(0), F.greatest(F.col("len") - width, F.lit(0)))).alias("s"))
     inside = starts.select("iid", "len", "s", F.explode(F.sequence("s", F.least(F.col("s") + width, F.col("len")) - 1)).alias("j"))
     lists = inside.join(rated.select("iid", "j", "t", "cf"), ["iid", "j"]).groupBy("iid", "len", "s").agg(F.array_sort(F.collect_list(F.struct("cf", "j", "t"))).alias("by"))
@@ -115,10 +115,10 @@ def phrase_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, width
 def proximity_matches(index: DataFrame, terms: DataFrame, lengths: DataFrame, slop: int = SLOP) -> DataFrame:
     """Where all terms of an item stand within `slop` words after or before its rarest one: (rid, iid, item_id, pos).
 
-    terms: as of item_terms; repeated terms of an item count once."""
+    terms: as of item_terms; repeated terms of an item count once. Of terms that are as rare, the first in the order of their bytes is the rarest."""
     sets = terms.select("iid", "item_id", "term", "t").distinct()
-    rated = sets.join(lengths, "t", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
-    by = rated.groupBy("iid", "item_id").agg(F.array_sort(F.collect_list(F.struct("cf", "t"))).alias("by")).where(F.col("by")[0]["cf"] > 0)
+    rated = sets.join(lengths, "term", "left").withColumn("cf", F.coalesce("cf", F.lit(0)))
+    by = rated.groupBy("iid", "item_id").agg(F.array_sort(F.collect_list(F.struct("cf", "term", "t"))).alias("by")).where(F.col("by")[0]["cf"] > 0)
     rare, _ = write_table(by.select("iid", "item_id", F.size("by").alias("n"), F.col("by")[0]["t"].alias("t"), F.col("by")[F.least(F.size("by"), F.lit(2)) - 1]["t"].alias("t2")), "rarest")
     sets, _ = write_table(sets, "sets")
     wide = 2 * slop + 1

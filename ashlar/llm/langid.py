@@ -19,13 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import write_table
+
 WINDOW, DIM, FILTERS, WIDTHS = 192, 8, 8, (2, 3, 4)
-#: Labelled rows of each language that the classifier is fitted on: a share is drawn by hash so
-#: that this many are expected. Of more labels than MAX_LANGS the most frequent ones are learned.
+#: Different labelled texts of each language that the classifier is fitted on: those of the smallest hashes,
+#: so that copies count once. Of more labels than MAX_LANGS the most frequent ones are learned.
 SAMPLE_PER_LANG, MAX_LANGS = 500, 256
 #: Of each of these rows the classifier sees windows of so many characters, drawn by hash from the whole text.
 SAMPLE_WINDOWS = (192, 192, 48, 16)
@@ -47,17 +49,22 @@ def letters(text):
 
 
 def training_sample(docs: DataFrame, text: str, lang: str, usable, per_lang: int) -> list[tuple[bytes, str]]:
-    """Windows of about per_lang texts of each language; rows and bytes are bounded by MAX_LANGS and SAMPLE_WINDOWS."""
+    """Windows of per_lang different texts of each language (all, if fewer): those of the smallest hashes. However often a text
+    repeats and however many texts a language has, MAX_LANGS * per_lang * len(SAMPLE_WINDOWS) windows at most reach the driver."""
     rows = docs.where(usable & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("lang")).where(letters(F.col("t")))
+    hashed = rows.withColumn("h", F.xxhash64("t", F.lit(7)))
+    each = hashed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))  # copies are counted before they are shuffled
+    top = Window.partitionBy("lang").orderBy("h")
+    ranked, _ = write_table(each.withColumn("r", F.row_number().over(top)).where(F.col("r") <= per_lang).select("lang", "h"), "sample")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
-    shares = {r["lang"]: int(min(1.0, per_lang / r["n"]) * 1_000_000) for r in counts.collect()}
-    if not shares:
+    names = [r["lang"] for r in counts.collect()]
+    if not names:
         return []
-    share = F.element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("lang"))
-    drawn = rows.where(F.pmod(F.xxhash64("t", F.lit(7)), F.lit(1_000_000)) < F.coalesce(share, F.lit(0)))
+    chosen = ranked.where(F.col("lang").isin(names))
     start = lambda i, n: (F.lit(1) + F.pmod(F.xxhash64("t", F.lit(8 + i)), F.greatest(F.length("t") - n + 1, F.lit(1)))).cast("int")
     windows = F.array(*[F.substring(F.col("t"), start(i, n), F.lit(n)) for i, n in enumerate(SAMPLE_WINDOWS)])
-    return sorted((r["w"].encode()[:WINDOW], r["lang"]) for r in drawn.select(F.explode(windows).alias("w"), "lang").collect())
+    drawn = hashed.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min(windows).alias("ws"))
+    return sorted((r["w"].encode()[:WINDOW], r["lang"]) for r in drawn.select(F.explode("ws").alias("w"), "lang").collect())
 
 
 def as_windows(texts: list[bytes], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -105,6 +105,14 @@ def test_language(spark, docs, odd):
     assert {r["lang_pred"] for r in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_language_sample_is_bounded(spark):
+    texts = [(i, "always the same few words of a line", "en") for i in range(3000)] + [(3000 + i, f"der satz nummer {'x' * i} steht hier", "de") for i in range(60)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    found = langid.training_sample(rows, "text", "lang", F.lit(True), 50)
+    by = collections.Counter(lang for _, lang in found)
+    assert by == {"en": len(langid.SAMPLE_WINDOWS), "de": 50 * len(langid.SAMPLE_WINDOWS)}
+
+
 def brute_windows(docs, bench):
     find = lambda s: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (s or "").encode().lower().decode())
     windows = {}
@@ -340,7 +348,13 @@ def distributions(model, ids):
     z, _ = lm_score.forward(p, at)
     row = np.exp(z)[places == len(ids)][0].astype(float)
     cls, begins = t["cls"], np.append(t["cls"][:-1] < lm_score.STARTS, True)
-    pair = lambda a: np.array([dict(zip(t["pair_keys"].tolist(), t["pair_p"].tolist())).get(k, 0.0) for k in (a + 1 << 20) + np.arange(size + 1) + 1])
+
+    def pair(a):
+        keys, wanted = t["pair_keys"], (a + 1 << 20) + np.arange(size + 1) + 1
+        order = np.argsort(keys)
+        spot = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
+        return np.where(keys[spot] == wanted, t["pair_p"][spot], 0.0)
+
     share = np.where(begins, row[cls] * t["inner"], 0)
     start = pair(-1)
     start[size] = t["end_p"]
