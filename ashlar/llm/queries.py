@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, langid, lm_score, pieces, pii, shards, simhash, topk, warc
+from . import decontam, html_text, langid, lexical, lm_score, pieces, pii, shards, simhash, topk, warc
 from .common import fold
 
 
@@ -70,6 +70,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -103,4 +107,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
             FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN y USING (doc_id)""",
+        "op11_lexical_search": r"""
+            WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+            b AS (SELECT row_number() OVER () AS row, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+            s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+            q AS (SELECT row, item_id, term, count(*) AS c FROM (SELECT row, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+            f AS (SELECT rid, doc_id, term, n, count(*) AS tf FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+            v AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY term, docs),
+            i AS (SELECT rid, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) AS impact FROM f JOIN v USING (term), s),
+            t AS (SELECT row, item_id, doc_id, CAST(sum(c * impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY row, item_id, rid, doc_id),
+            r AS (SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM t WHERE score > 0)
+            SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
     }
