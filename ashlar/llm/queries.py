@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, langid, lexical, lm_score, pieces, pii, shards, simhash, topk, warc
-from .common import fold
+from . import decontam, html_text, langid, lexical, lm_score, pieces, pii, secret_scan, shards, simhash, topk, warc
+from .common import fold, table_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,10 +74,41 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secret_scan.Ledger(spark, table_path(spark, "ledger"))
+    found = ledger.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["rule"].isin([r.name for r in secret_scan.BASE]))
+    count = lambda name: F.size(F.filter("spans", lambda s: s["rule"] == name)).cast("long")
+    counts = [count(r.name).alias(f"n_{r.name}") for r in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+def secrets_sql() -> str:
+    """Matches of each rule and the text between them give positions."""
+    # The rules as DuckDB's patterns, with the group and the length that count.
+    rules = [
+        ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+        ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]{32,}", 0, 32), ("github", r"gh[oprsu]_[A-Za-z0-9]+", 0, 40),
+        ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20), ("google", r"AIza[A-Za-z0-9_-]+", 0, 39), ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ]
+    one = """SELECT rid, {place} AS place, '{name}' AS kind, unnest(list_transform(range(1, len(m) + 1), lambda i: struct_pack(ok := length(v[i]) >= {least},
+               first := CAST(list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0) AS BIGINT), size := length(m[i])))) AS s
+             FROM (SELECT rid, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS v, regexp_split_to_array(t, '{pattern}') AS g FROM d)"""
+    parts = [one.format(place=i, name=name, pattern=pattern, group=group, least=least) for i, (name, pattern, group, least) in enumerate(rules)]
+    label = "kind || ':' || s.first || ':' || (s.first + s.size)"
+    return f"""
+            WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+            a AS ({" UNION ALL ".join(parts)}),
+            b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                  string_agg({label}, ',' ORDER BY s.first, place) FILTER (place < 3) AS base, string_agg({label}, ',' ORDER BY s.first, place) AS spans FROM a WHERE s.ok GROUP BY rid)
+            SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+            FROM d LEFT JOIN b USING (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_topk": """
@@ -107,6 +138,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
             FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN y USING (doc_id)""",
+        "op12_secret_scan": secrets_sql(),
         "op11_lexical_search": r"""
             WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
             b AS (SELECT row_number() OVER () AS row, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
