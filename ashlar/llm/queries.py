@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_text, langid, lexical, lm_score, pieces, pii, secret_scan, shards, simhash, topk, warc
+from . import decontam, html_text, langid, lexical, lm_score, pieces, pii, secret_scan, shards, simhash, topk, turns, warc
 from .common import fold, table_path
 
 
@@ -83,6 +83,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damaged_and_repaired(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -109,6 +113,40 @@ def secrets_sql() -> str:
             FROM d LEFT JOIN b USING (rid)"""
 
 
+def repair_sql() -> str:
+    """Forward over rows: the cheapest edits into each state as six digits of cost and the edits, so that the least text is the best."""
+    add = lambda p, cost, edit: f"(lpad(CAST(CAST(({p})[1:6] AS INTEGER) + {cost} AS VARCHAR), 6, '0') || ({p})[7:] || '{edit}')"
+    # p: the best into states 0 to 3 (nothing, s, u, a); then with insertions, c; then after the row x
+    u = f"list_min([p[3], {add('p[1]', 2, 'I')}, {add('p[2]', 2, 'I')}])"
+    closed = f"[p[1], p[2], list_min([{u}, {add('p[4]', 2, 'I')}]), list_min([p[4], {add(u, 2, 'I')}])]"
+    ua = "list_min([c[1], c[2], c[4]])"
+    far = "'900000'"
+    live = lambda value: f"CASE WHEN x.fault < 2 THEN {value} ELSE {far} END"
+    keep = lambda role, value: f"CASE WHEN x.fault < 2 AND x.role[1] = '{role}' THEN {value} ELSE {far} END"
+    row = f"""[{add("c[1]", 3, "D")}, list_min([{add("c[2]", 3, "D")}, {keep("s", add("c[1]", "x.fault", "K"))}]),
+        list_min([{add("c[3]", 3, "D")}, {keep("u", add(ua, "x.fault", "K"))}, {live(add(ua, "2 + x.fault", "R"))}]),
+        list_min([{add("c[4]", 3, "D")}, {keep("a", add("c[3]", "x.fault", "K"))}, {live(add("c[3]", "2 + x.fault", "R"))}])]"""
+    table = "list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, n))"
+    return f"""
+            WITH o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+            k AS (SELECT *, xor(4294967295, list_reduce(list_transform(range(1, length(key) + 1), lambda i: CAST(ord(key[i]) AS BIGINT)), lambda c, b: xor(c // 256, t[CAST(xor(c, b) % 256 AS BIGINT) + 1]), 4294967295)) % 20 AS kind FROM o, (SELECT {table} AS t)),
+            d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                  unnest(CASE kind WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE kind <> 0),
+            n AS (SELECT *, sha256(length(role) || ':' || role || text) AS digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text), copy) AS i FROM d),
+            f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 3
+                  WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 0 ELSE 1 END AS fault, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM n),
+            g AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate,
+                  count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, list(struct_pack(role, text, fault) ORDER BY i) AS xs FROM f GROUP BY conv_id),
+            p AS (SELECT *, list_reduce(xs, lambda p, x: list_transform([{closed}], lambda c: {row})[1], ['000000', {far}, {far}, {far}]) AS p FROM g),
+            e AS (SELECT *, list_transform([{closed}], lambda c: list_min([c[1], c[4]]))[1] AS best FROM p),
+            r AS (SELECT conv_id, list_reduce(string_split(best[7:], ''), lambda a, e: struct_pack(i := a.i + CAST(e <> 'I' AS INTEGER), st := CASE WHEN e = 'D' THEN a.st WHEN e = 'K' AND xs[a.i].role[1] = 's' THEN 1 WHEN e = 'K' AND xs[a.i].role[1] = 'u' THEN 2
+                  WHEN e = 'K' THEN 3 WHEN a.st = 2 THEN 3 ELSE 2 END, rows := CASE e WHEN 'D' THEN a.rows ELSE list_append(a.rows, CASE WHEN e = 'K' THEN xs[a.i].role WHEN a.st = 2 THEN 'assistant' ELSE 'user' END || ':' || CASE e WHEN 'I' THEN '' ELSE xs[a.i].text END) END),
+                  struct_pack(i := 1, st := 0, rows := CAST([] AS VARCHAR[]))) AS left_ FROM e WHERE length(best) > 6)
+            SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+                   coalesce(CAST(e.best[1:6] AS BIGINT), 0) AS cost, coalesce(e.best[7:], '') AS audit, sha256(coalesce(array_to_string(r.left_.rows, chr(10)), '')) AS repaired_sha256
+            FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN e ON o.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN r ON o.conv_id IS NOT DISTINCT FROM r.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_topk": """
@@ -139,6 +177,7 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
             FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN y USING (doc_id)""",
         "op12_secret_scan": secrets_sql(),
+        "op13_conversation_repair": repair_sql(),
         "op11_lexical_search": r"""
             WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
             b AS (SELECT row_number() OVER () AS row, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
