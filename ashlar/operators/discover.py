@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from . import extract as E
 from . import graph as G
+from . import grid as H
 from . import lookups as L
+from . import substrings as T
 
 
 def contents_by(pages: DataFrame, pattern: str, id_format: str, groups: int = 3, text: str = "text") -> DataFrame:
@@ -83,20 +85,24 @@ def register_tables(tables: DataFrame, contents: DataFrame, excluded: list[str],
 
 def table_of_register(registers: DataFrame, tables: DataFrame) -> DataFrame:
     """(id, table_id): the first table whose title is the register's name, contains it, or contains it without spaces, underscores and
-    hyphens. registers: (id, name); tables: (table_id, title, ord), a configuration whose size is checked."""
-    bare = lambda c: F.regexp_replace(F.lower(c), r"[\s_\-]", "")
-    name = F.trim(F.replace(F.lower("name"), F.lit(" register"), F.lit("")))
-    t = G.bounded(tables.select("table_id", "title", F.col("ord").alias("table_ord")))
-    plain = bare(F.trim(F.replace(F.lower("title"), F.lit("field descriptions"), F.lit(""))))
-    hit = (plain == bare(name)) | F.contains(F.lower("title"), name) | F.contains(bare(F.col("title")), bare(name))
-    return registers.join(t, hit, "left").groupBy("id").agg(F.min_by("table_id", "table_ord").alias("table_id"))
+    hyphens. registers: (id, name); tables: (table_id, title, ord)."""
+    bare = lambda c: F.regexp_replace(F.lower(c), r"[\s_\-]", "")  # noqa: E731  a title that contains a name also does so without them
+    named = registers.select("id", bare(F.trim(F.replace(F.lower("name"), F.lit(" register"), F.lit("")))).alias("needle"))
+    own = bare(F.trim(F.replace(F.lower("title"), F.lit("field descriptions"), F.lit(""))))
+    held = T.first_holding(named, tables.select(bare(F.col("title")).alias("text"), F.col("table_id").alias("what"), "ord"))
+    same = tables.groupBy(own.alias("needle")).agg(F.min(F.struct("ord", F.col("table_id").alias("what"))).alias("x")).select("needle", "x.ord", "x.what")
+    first = held.unionByName(same).groupBy("needle").agg(F.min_by("what", "ord").alias("table_id"), F.min("ord").alias("ord"))
+    return named.join(first, "needle", "left").groupBy("id").agg(F.min_by("table_id", "ord").alias("table_id"))
 
 
 def class_of_names(classes: DataFrame, tables: DataFrame) -> DataFrame:
-    """(class_id, table_id): the first table whose name contains the class's name, or the other way round. classes: (class_id, name)."""
-    t = G.bounded(tables.select("table_id", F.lower("title").alias("title"), F.col("ord").alias("table_ord")))
-    name = F.lower("name")
-    return classes.join(t, F.contains(F.col("title"), name) | F.contains(name, F.col("title")), "left").groupBy("class_id").agg(F.min_by("table_id", "table_ord").alias("table_id"))
+    """(class_id, table_id): the first table whose name contains the class's name, or the other way round. classes: (class_id, name);
+    tables: (table_id, title, ord)."""
+    named = classes.select("class_id", F.lower("name").alias("text"))
+    titles = tables.select(F.lower("title").alias("text"), F.col("table_id").alias("what"), "ord")
+    into = T.first_holding(named.select(F.col("text").alias("needle")), titles).withColumnRenamed("needle", "text")
+    first = into.unionByName(T.first_held(named, titles)).groupBy("text").agg(F.min_by("what", "ord").alias("table_id"), F.min("ord").alias("ord"))
+    return named.join(first, "text", "left").groupBy("class_id").agg(F.min_by("table_id", "ord").alias("table_id"))
 
 
 def offset_of_table(tables: DataFrame, known: DataFrame, titled: DataFrame) -> DataFrame:
@@ -156,10 +162,10 @@ def edges_between(boxes: DataFrame, lines: DataFrame) -> DataFrame:
     """(source, target): lines whose ends lie in boxes, the last box that holds an end wins, and lines from a box to itself go.
 
     boxes: (drawing, id, x0, y0, x1, y1, ord); lines: (drawing, line, x0, y0, x1, y1)."""
-    b = boxes.select("drawing", F.col("id").alias("box"), F.col("x0").alias("bx0"), F.col("y0").alias("by0"), F.col("x1").alias("bx1"), F.col("y1").alias("by1"), "ord")
-    ends = lines.select("drawing", "line", F.explode(F.array(F.struct(F.lit("source").alias("end"), F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct(F.lit("target").alias("end"), F.col("x1").alias("x"), F.col("y1").alias("y")))).alias("e")).select("drawing", "line", "e.*")
-    hit = ends.join(b, "drawing").where(F.col("x").between(F.col("bx0"), F.col("bx1")) & F.col("y").between(F.col("by0"), F.col("by1")))
-    found = hit.groupBy("drawing", "line").agg(F.max_by(F.when(F.col("end") == "source", F.col("box")), F.when(F.col("end") == "source", F.col("ord"))).alias("source"), F.max_by(F.when(F.col("end") == "target", F.col("box")), F.when(F.col("end") == "target", F.col("ord"))).alias("target"))
+    of = lambda n: F.struct(F.col(f"x{n}").alias("x"), F.col(f"y{n}").alias("y"))
+    ends = lines.select("drawing", "line", F.posexplode(F.array(of(0), of(1))).alias("end", "e")).select("drawing", "line", "end", "e.x", "e.y")
+    hit = H.holding(ends, boxes)
+    found = hit.groupBy("drawing", "line").agg(*[F.max(F.when(F.col("end") == i, F.col("box"))).alias(name) for i, name in enumerate(("source", "target"))])
     return found.where("source IS NOT NULL AND target IS NOT NULL AND source <> target").select("drawing", "line", "source", "target")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .graph import bounded, first_by, gap_fill
+from . import ranges as R
+from .graph import first_by, gap_fill
 
 # Forms of section headers, by kind, in order of precedence.
 HEADERS = {
@@ -102,8 +103,8 @@ def reference_map(mentions: DataFrame, definitions: DataFrame) -> DataFrame:
 
 def items_of_sections(sections: DataFrame, items: DataFrame) -> DataFrame:
     """(section, items): ids of what stands on the pages of a section; none: an empty list."""
-    s = bounded(sections.select("section", "start", "end"))
-    hit = items.join(s, F.col("page").between(F.col("start"), F.col("end"))).groupBy("section").agg(F.array_sort(F.collect_set("id")).alias("items"))
+    held = R.pairs(items.select("page").distinct(), "page", sections.select("section", "start", "end"), "start", "end").select("section", "page").distinct()
+    hit = items.join(held, "page").groupBy("section").agg(F.array_sort(F.collect_set("id")).alias("items"))
     return sections.select("section").join(hit, "section", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
 
 

@@ -4,21 +4,15 @@ Every table has `ord`, the position in its source, which decides "first", "last"
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from ..functions import columns as C
-
-#: Rows up to which the small side of a range or substring join is broadcast; a larger one is bucketed or refused.
-SMALL_ROWS = 10_000
-
-
-def bounded(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """df with a broadcast hint, after a check of its size."""
-    if df.limit(rows + 1).count() > rows:
-        raise ValueError(f"this join's configuration side has over {rows} rows")
-    return F.broadcast(df)
-
+from . import ranges as R
+from . import substrings as T
+from .shared import small
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row for each key: the first in order."""
@@ -32,7 +26,10 @@ def by_id(nodes: DataFrame, node_id: str) -> DataFrame:
 
 def registers_in_range(registers: DataFrame, start: str, end: str) -> DataFrame:
     """Registers between two offsets, inclusive; of equal offsets the last, in numeric order."""
-    lo, hi = int(start.lower().removeprefix("0x").rstrip("h") or "0", 16), int(end.lower().removeprefix("0x").rstrip("h") or "0", 16)
+    try:
+        lo, hi = (int(x.lower().removeprefix("0x").rstrip("h") or "0", 16) for x in (start, end))
+    except ValueError:
+        raise ValueError("INVALID_PARAM: an offset is not hexadecimal") from None
     if lo > hi:
         raise ValueError("INVALID_PARAM: start is after end")
     last = first_by(registers.where(F.col("offset_int").between(lo, hi)), ["offset_norm"], [F.desc("ord")])
@@ -75,26 +72,24 @@ def neighbours(relations: DataFrame, nodes: DataFrame, node_id: str, into: bool,
 
 
 def class_of_offset(registers: DataFrame, classes: DataFrame) -> DataFrame:
-    """The first class whose range holds the register's offset; null if none does."""
-    c = bounded(classes.select("class_id", "start_int", "end_int", F.col("ord").alias("class_ord")))
-    hit = registers.join(c, (F.col("offset_int") >= F.col("start_int")) & (F.col("offset_int") <= F.col("end_int")), "left")
-    return hit.groupBy("id", "offset_int").agg(F.min_by("class_id", "class_ord").alias("class_id"))
+    """(id, offset_int, class_id): the first class whose range holds the register's offset; null if none does."""
+    own = registers.select("id", "offset_int").distinct()
+    found = R.first_range(own, "offset_int", classes, "start_int", "end_int", "ord", "class_id")
+    return R.placed(own, found, "offset_int").select("id", "offset_int", "class_id")
 
 
 def section_of_page(pages: DataFrame, sections: DataFrame) -> DataFrame:
-    """The last section that starts on or before a page; of those that start together the last."""
-    starts = bounded(sections.groupBy(F.col("start").alias("page")).agg(F.max_by("section", "ord").alias("here")))
-    keys = starts.agg(F.array_sort(F.collect_list(F.struct("page", "here"))).alias("s")).first()["s"]  # SMALL_ROWS at most
-    table = F.array(*[F.struct(F.lit(k["page"]).alias("page"), F.lit(k["here"]).alias("here")) for k in keys])
-    found = F.element_at(F.filter(table, lambda x: x["page"] <= F.col("page")), -1) if keys else F.lit(None)
-    return pages.withColumn("section", F.when(F.lit(bool(keys)) & (F.col("page") >= F.lit(keys[0]["page"] if keys else 0)), found["here"] if keys else F.lit(None)))
+    """pages with the last section that starts on or before their page; of those that start together the last."""
+    starts = sections.groupBy(F.col("start").cast(pages.schema["page"].dataType).alias("page")).agg(F.max_by("section", "ord").alias("section"))
+    return R.placed(pages, R.last_start(pages.select("page"), "page", starts.where("page IS NOT NULL"), "section"), "page").select(*pages.columns, "section")
 
 
 def title_match(registers: DataFrame, titles: DataFrame) -> DataFrame:
-    """The first title that contains a register's name."""
-    t = bounded(titles.select("title", F.col("ord").alias("title_ord")))
-    name = F.lower(F.regexp_replace("name", r"(?i)\s+register$", ""))
-    return registers.join(t, F.contains(F.lower("title"), name), "left").groupBy("id").agg(F.min_by("title", "title_ord").alias("title"))
+    """(id, title): the first title that contains a register's name, without regard to case; null if none does."""
+    named = registers.select("id", F.lower(F.regexp_replace("name", r"(?i)\s+register$", "")).alias("needle"))
+    found = T.first_holding(named, titles.select(F.lower("title").alias("text"), F.col("title").alias("what"), "ord"))
+    hit = named.join(small(found), "needle", "left")
+    return hit.groupBy("id").agg(F.min_by("what", "ord").alias("title"))
 
 
 def child_of(chunks: DataFrame) -> DataFrame:
@@ -120,24 +115,39 @@ def merge_by_offset(fields: DataFrame) -> DataFrame:
 
 
 def gap_fill(rows: DataFrame, group: str, order: str, opens: Column) -> DataFrame:
-    """Numbers of groups that a row with `opens` begins and the rows after it join; rows before the first are dropped."""
-    return rows.withColumn("grp", F.sum(F.when(opens, 1).otherwise(0)).over(Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))).where("grp > 0")
+    """Numbers of groups that a row with `opens` begins and the rows after it join; rows before the first are dropped. A group may be
+    as long as the table: see running_count()."""
+    return R.running_count(rows, group, order, opens, "grp").where("grp > 0")
 
 
 def chunk_paragraphs(pages: DataFrame, text: str, max_words: int, separator: str = "\n\n") -> DataFrame:
-    """Greedy packing of a page's paragraphs: a chunk is closed before it would exceed max_words, unless it is empty."""
-    parts = F.filter(F.transform(F.split(F.col(text), separator), lambda p: F.trim(p)), lambda p: p != "")
-    empty = F.array().cast("array<struct<text:string,n:int>>")
-
-    def add(acc, p):
-        n = C.count_words(p)
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (last["n"] + n <= max_words)
-        grown = F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.struct(F.concat(F.coalesce(last["text"], F.lit("")), F.lit(separator), p).alias("text"), (F.coalesce(last["n"], F.lit(0)) + n).alias("n"))))
-        return F.when(fits, grown).otherwise(F.concat(acc, F.array(F.struct(p.alias("text"), n.alias("n")))))
+    """Greedy packing of a page's paragraphs: a chunk is closed before it would exceed max_words, unless it is empty.
 
-    packed = pages.select("*", F.aggregate(parts, empty, add).alias("__c"))
-    return packed.select(*pages.columns, F.posexplode("__c").alias("chunk_index", "__x")).select(*pages.columns, "chunk_index", F.col("__x.text").alias("chunk_text"), F.col("__x.n").alias("word_count"))
+    Words are counted once for each paragraph and a chunk is cut once, so that time grows with the page. The columns of pages but for the text,
+    chunk_index, chunk_text and word_count; a null text has no chunks."""
+    parts = F.filter(F.transform(F.split(F.col(text), separator), lambda p: F.trim(p)), lambda p: p != "")
+    names = [c for c in pages.columns if c != text]
+    marked = pages.select(*names, parts.alias("__p")).withColumn("__n", F.transform("__p", lambda p: C.count_words(p)))
+    schema = T_.StructType([pages.schema[c] for c in names]).add("chunk_index", "integer").add("chunk_text", "string").add("word_count", "integer")
+
+    def run(batches):
+        for batch in batches:
+            at, index, texts, words = [], [], [], []
+            for row, (ps, ns) in enumerate(zip(batch.column(len(names)), batch.column(len(names) + 1), strict=True)):
+                held, total, n = [], 0, 0
+                for p, k in zip(ps.as_py() or [], ns.as_py() or [], strict=True):
+                    if held and total + k > max_words:
+                        at.append(row), index.append(n), texts.append(separator.join(held)), words.append(total)
+                        held, total, n = [], 0, n + 1
+                    held.append(p)
+                    total += k
+                if held:
+                    at.append(row), index.append(n), texts.append(separator.join(held)), words.append(total)
+            take = pa.array(at, pa.int64())
+            columns = [batch.column(i).take(take) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(index, pa.int32()), pa.array(texts, pa.string()), pa.array(words, pa.int32())], names=[*names, "chunk_index", "chunk_text", "word_count"])
+
+    return marked.mapInArrow(run, schema)
 
 
 def reference_edges(chunks: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -223,12 +223,3 @@ def feature_groups(feats: DataFrame) -> DataFrame:
 def features_by_driver(feats: DataFrame, status: str | None = None) -> DataFrame:
     kept = feats if status is None else feats.where(F.upper("driver_status") == status.upper())
     return kept.orderBy("ord").select("id", "name", "driver_status")
-
-
-def lookalikes(left: DataFrame, right: DataFrame, least: int = 2) -> DataFrame:
-    """(left_id, right_id, shared): pairs of names with at least so many different words in common, by an equi-join on the words.
-
-    Both sides: (id, name)."""
-    words = lambda df, side: df.select(F.col("id").alias(side), F.explode(F.array_distinct(C.words(F.lower("name")))).alias("word"))
-    met = words(left, "left_id").join(words(right, "right_id"), "word").groupBy("left_id", "right_id").agg(F.array_sort(F.collect_list("word")).alias("shared"))
-    return met.where(F.size("shared") >= least)

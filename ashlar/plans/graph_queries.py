@@ -13,6 +13,8 @@ from ..operators import enrich as N
 from ..operators import extract as E
 from ..operators import graph as G
 from ..operators import lookups as L
+from ..operators import overlap
+from ..operators import ranges as R
 from .catalog import GraphCatalog
 from .queries import CHK, query, t
 
@@ -52,7 +54,7 @@ def flds(s, d) -> DataFrame:
 
 
 def feature_graph(s, d) -> DataFrame:
-    n = t(s, d, "nation").join(F.broadcast(t(s, d, "region").limit(1000)), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = t(s, d, "nation").join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = n.select(F.col("n_name").alias("id"), F.col("n_nationkey").alias("ord"), F.col("n_name").alias("name"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("priority"), F.when(F.col("n_nationkey") >= 5, F.concat(F.lit("NATION_"), "n_regionkey")).alias("parent_id"),
                     F.array("r_name", F.lit("ALL")).alias("groups"), *[F.array().cast("array<string>").alias(c) for c in ("figures", "tables", "spec_sections")], F.array(F.concat(F.lit("REG_"), F.hex("n_nationkey")), F.lit("REG_NONE"), F.lit("REG_1")).alias("registers"))
     return A.feature_nodes(rows)
@@ -218,7 +220,7 @@ def catalog_features_by_driver(s, d):
 @query("WITH w AS (SELECT DISTINCT p_name, unnest(string_split(lower(p_name), ' ')) AS w FROM part) SELECT a.p_name AS left_id, b.p_name AS right_id, string_agg(a.w, ',' ORDER BY a.w) AS shared FROM w a JOIN w b USING (w) GROUP BY ALL HAVING count(*) >= 2")
 def lookalike_names(s, d):
     names = t(s, d, "part").select(F.col("p_name").alias("id"), F.col("p_name").alias("name")).distinct()
-    return L.lookalikes(names, names).select("left_id", "right_id", F.array_join("shared", ",").alias("shared"))
+    return overlap.lookalikes(names, names).select("left_id", "right_id", F.array_join("shared", ",").alias("shared"))
 
 
 # assembly
@@ -326,9 +328,9 @@ def section_page_ranges(s, d):
     return D.section_ranges(n).select("book", "number", "id", "parent", "page", "end")
 
 
-@query("SELECT id, section_number, page, word_count FROM (SELECT 'CHUNK_S' || least(p // 20, 4) || '_' || (row_number() OVER (PARTITION BY least(p // 20, 4) ORDER BY p) - 1) AS id, 'S' || least(p // 20, 4) AS section_number, p AS page, 2 AS word_count FROM (SELECT c_custkey::INTEGER AS p FROM customer WHERE c_custkey < 200))")
+@query("SELECT id, section_number, page, word_count FROM (SELECT 'CHUNK_S' || least(p // 20, 4) || '_' || (row_number() OVER (PARTITION BY least(p // 20, 4) ORDER BY p) - 1) AS id, 'S' || least(p // 20, 4) AS section_number, p AS page, 2 AS word_count FROM (SELECT c_custkey::INTEGER AS p FROM customer))")
 def chunks_of_sections(s, d):
-    pages = t(s, d, "customer").where("c_custkey < 200").select(F.col("c_custkey").cast("int").alias("page"), F.lit("two words").alias("text"))
+    pages = t(s, d, "customer").select(F.col("c_custkey").cast("int").alias("page"), F.lit("two words").alias("text"))
     sections = s.createDataFrame([(20 * i, f"S{i}", f"T{i}", i) for i in range(5)], "start int, section string, title string, ord int")
     return D.chunks_of(pages, sections, 100).select("id", "section_number", "page", "word_count")
 
@@ -427,3 +429,68 @@ def enrichment_usage(s, d):
     n = t(s, d, "nation")
     asked = N.enriched(n, N.field_prompt(F.col("n_name"), F.lit("a b c d e f g h i j k l")))
     return N.usage(asked).select("calls", "answered", "failed", "tokens_out")
+
+
+# joins without a small side
+
+@query("SELECT v, min_by(o_orderkey, o_orderkey) AS first_order FROM (SELECT DISTINCT l_partkey * 7 + l_linenumber AS v FROM lineitem) JOIN orders ON v BETWEEN o_custkey * 9 AND o_custkey * 9 + o_orderkey % 37 GROUP BY v")
+def first_range_of_value(s, d):
+    """Each value of all line items with the first of all orders' ranges that holds it."""
+    points = t(s, d, "lineitem").select((F.col("l_partkey") * 7 + F.col("l_linenumber")).alias("v"))
+    ranges = t(s, d, "orders").select((F.col("o_custkey") * 9).alias("lo"), (F.col("o_custkey") * 9 + F.col("o_orderkey") % 37).alias("hi"), "o_orderkey", F.col("o_orderkey").alias("first_order"))
+    return R.first_range(points, "v", ranges, "lo", "hi", "o_orderkey", "first_order")
+
+
+@query("SELECT v, o_orderkey FROM (SELECT DISTINCT l_partkey * 7 + l_linenumber AS v FROM lineitem) JOIN orders ON v BETWEEN o_custkey * 9 - 40 AND o_custkey * 9 - 40 + o_orderkey % 11 * 3 - 3")
+def ranges_of_values(s, d):
+    """All pairs of a value and a range that holds it; some ranges are empty, some begin below zero."""
+    points = t(s, d, "lineitem").select((F.col("l_partkey") * 7 + F.col("l_linenumber")).alias("v")).distinct()
+    lo = F.col("o_custkey") * 9 - 40
+    ranges = t(s, d, "orders").select(lo.alias("lo"), (lo + F.col("o_orderkey") % 11 * 3 - 3).alias("hi"), "o_orderkey")
+    return R.pairs(points, "v", ranges, "lo", "hi").select("v", "o_orderkey")
+
+
+@query("WITH st AS (SELECT CAST(round(o_totalprice * 10) AS BIGINT) AS v, max(o_orderkey) AS section FROM orders GROUP BY 1) SELECT l_orderkey, l_linenumber, page, section FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 10) AS BIGINT) AS page FROM lineitem) ASOF LEFT JOIN st ON page >= v")
+def last_order_below_price(s, d):
+    """Each line item with the last of all orders whose price is not above its own."""
+    pages = t(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") * 10).cast("long").alias("page"))
+    starts = t(s, d, "orders").select(F.round(F.col("o_totalprice") * 10).cast("long").alias("start"), F.col("o_orderkey").alias("section"), F.col("o_orderkey").alias("ord"))
+    return G.section_of_page(pages, starts)
+
+
+@query("SELECT event_id, grp FROM (SELECT event_id, sum(CASE WHEN user_id % 5 = 0 AND event_type = 'click' THEN 1 ELSE 0 END) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS grp FROM events) WHERE grp > 0")
+def gap_fill_of_all(s, d):
+    """One group of all events: as long as the table."""
+    e = t(s, d, "events").withColumn("table", F.lit("all"))
+    return G.gap_fill(e, "table", "event_id", (F.col("user_id") % 5 == 0) & (F.col("event_type") == "click")).select("event_id", "grp")
+
+
+@query("WITH n AS (SELECT p_partkey AS id, string_split(lower(p_name), ' ') AS w FROM part), q AS (SELECT id, CASE id % 11 WHEN 0 THEN w[1][1:2] ELSE w[1] || ' ' || w[2] END AS name FROM n), ti AS (SELECT p_partkey AS ord, p_name || ' ' || p_type AS title FROM part) SELECT id, min_by(title, ord) AS title FROM q LEFT JOIN ti ON contains(lower(title), name) GROUP BY id")
+def titles_of_part_names(s, d):
+    """The first of all parts' titles that contains the beginning of a part's name, of two characters or of two words."""
+    p, w = t(s, d, "part"), F.split(F.lower("p_name"), " ")
+    name = F.when(F.col("p_partkey") % 11 == 0, F.left(w[0], F.lit(2))).otherwise(F.concat_ws(" ", w[0], w[1]))
+    return G.title_match(p.select(F.col("p_partkey").alias("id"), name.alias("name")), p.select(F.concat_ws(" ", "p_name", "p_type").alias("title"), F.col("p_partkey").alias("ord")))
+
+
+@query("WITH c AS (SELECT p_partkey AS class_id, CASE WHEN p_partkey % 2 = 0 THEN lower(p_type) ELSE string_split(lower(p_type), ' ')[2] END AS name FROM part), tt AS (SELECT s_suppkey AS table_id, CASE s_suppkey % 4 WHEN 0 THEN 'plated' WHEN 1 THEN 'Anodized tables' WHEN 2 THEN 'st' ELSE s_name END AS title FROM supplier) SELECT class_id, min(table_id) AS table_id FROM c LEFT JOIN tt ON contains(lower(title), name) OR contains(name, lower(title)) GROUP BY class_id")
+def tables_of_classes(s, d):
+    """The first table whose title contains the class's name, or the other way round."""
+    kind = F.lower("p_type")
+    classes = t(s, d, "part").select(F.col("p_partkey").alias("class_id"), F.when(F.col("p_partkey") % 2 == 0, kind).otherwise(F.get(F.split(kind, " "), F.lit(1))).alias("name"))
+    by = F.col("s_suppkey") % 4
+    tables = t(s, d, "supplier").select(F.col("s_suppkey").alias("table_id"), F.when(by == 0, "plated").when(by == 1, "Anodized tables").when(by == 2, "st").otherwise(F.col("s_name")).alias("title"), F.col("s_suppkey").alias("ord"))
+    return D.class_of_names(classes, tables)
+
+
+@query("WITH b AS (SELECT p_partkey AS ord, 'b' || p_partkey AS id, p_partkey * 37 % 1000 AS x0, p_partkey * 91 % 1000 AS y0, p_size * (CASE WHEN p_partkey % 100 = 0 THEN 20 ELSE 1 END) AS w FROM part), l AS (SELECT o_orderkey AS line, o_custkey * 17 % 1000 AS x0, o_custkey * 29 % 1000 AS y0, o_orderkey * 13 % 1000 AS x1, o_orderkey * 7 % 1000 AS y1 FROM orders),"
+       " f AS (SELECT line, max_by(s.id, s.ord) AS source FROM l JOIN b s ON l.x0 BETWEEN s.x0 AND s.x0 + s.w AND l.y0 BETWEEN s.y0 AND s.y0 + s.w GROUP BY line), g AS (SELECT line, max_by(s.id, s.ord) AS target FROM l JOIN b s ON l.x1 BETWEEN s.x0 AND s.x0 + s.w AND l.y1 BETWEEN s.y0 AND s.y0 + s.w GROUP BY line) SELECT line, source, target FROM f JOIN g USING (line) WHERE source <> target")
+def edges_of_one_drawing(s, d):
+    """All parts as boxes of one drawing, a hundredth of them large, and all orders as its lines."""
+    p, o = t(s, d, "part"), t(s, d, "orders")
+    wide = F.col("p_size") * F.when(F.col("p_partkey") % 100 == 0, 20).otherwise(1)
+    x, y = F.col("p_partkey") * 37 % 1000, F.col("p_partkey") * 91 % 1000
+    boxes = p.select(F.lit(0).alias("drawing"), F.concat(F.lit("b"), "p_partkey").alias("id"), x.alias("x0"), y.alias("y0"), (x + wide).alias("x1"), (y + wide).alias("y1"), F.col("p_partkey").alias("ord"))
+    at = lambda c, k: F.col(c) * k % 1000
+    lines = o.select(F.lit(0).alias("drawing"), F.col("o_orderkey").alias("line"), at("o_custkey", 17).alias("x0"), at("o_custkey", 29).alias("y0"), at("o_orderkey", 13).alias("x1"), at("o_orderkey", 7).alias("y1"))
+    return D.edges_between(boxes, lines).select("line", "source", "target")

@@ -293,11 +293,11 @@ def rule_issues(s, d):
     return E.issues(t(s, d, "part"), "p_partkey", rules).groupBy("node_id", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH RECURSIVE par AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, n FROM (SELECT doc_id, i, len(list_filter(regexp_split_to_array(p[i], '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '')) AS n, p[i] AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), unnest(range(1, len(p) + 1)) u(i)) WHERE trim(body) <> ''),
- w AS (SELECT doc_id, k, n, n AS held, 0 AS chunk FROM par WHERE k = 1 UNION ALL SELECT par.doc_id, par.k, par.n, CASE WHEN w.held + par.n <= 50 THEN w.held + par.n ELSE par.n END, CASE WHEN w.held + par.n <= 50 THEN w.chunk ELSE w.chunk + 1 END FROM w JOIN par ON par.doc_id = w.doc_id AND par.k = w.k + 1)
- SELECT doc_id, chunk::INTEGER AS chunk_index, sum(n)::INTEGER AS word_count FROM w GROUP BY doc_id, chunk""")
+@query("""WITH RECURSIVE par AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, n, trim(body) AS body FROM (SELECT doc_id, i, len(list_filter(regexp_split_to_array(p[i], '[ \\t\\n\\r\\f\\v]+'), lambda x: x <> '')) AS n, p[i] AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents), unnest(range(1, len(p) + 1)) u(i)) WHERE trim(body) <> ''),
+ w AS (SELECT doc_id, k, n, n AS held, 0 AS chunk, body FROM par WHERE k = 1 UNION ALL SELECT par.doc_id, par.k, par.n, CASE WHEN w.held + par.n <= 50 THEN w.held + par.n ELSE par.n END, CASE WHEN w.held + par.n <= 50 THEN w.chunk ELSE w.chunk + 1 END, par.body FROM w JOIN par ON par.doc_id = w.doc_id AND par.k = w.k + 1)
+ SELECT doc_id, chunk::INTEGER AS chunk_index, sum(n)::INTEGER AS word_count, sha256(string_agg(body, chr(10) ORDER BY k)) AS text_sha256 FROM w GROUP BY doc_id, chunk""")
 def chunk_pages(s, d):
-    return G.chunk_paragraphs(t(s, d, "documents").select("doc_id", "text"), "text", 50, "\n").select("doc_id", "chunk_index", "word_count")
+    return G.chunk_paragraphs(t(s, d, "documents").select("doc_id", "text"), "text", 50, "\n").select("doc_id", "chunk_index", "word_count", F.sha2("chunk_text", 256).alias("text_sha256"))
 
 
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")

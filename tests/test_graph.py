@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ashlar.functions import columns as C
 from ashlar.operators import extract as E
 from ashlar.operators import graph as G
+from ashlar.plans import graph_queries  # noqa: F401  registers its queries
 from ashlar.plans import queries as Q
 from ashlar.plans.catalog import GraphCatalog
 from ashlar.sources import graph as S
