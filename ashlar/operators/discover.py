@@ -16,13 +16,18 @@ from . import substrings as T
 
 def contents_by(pages: DataFrame, pattern: str, id_format: str, groups: int = 3, text: str = "text") -> DataFrame:
     """(id, number, title, page) of a contents list by a configured pattern of three groups (number, title, page) or four (chapter,
-    number, title, page); id_format has a place for the number's parts joined by `_`, as `TABLE_%s`. Of equal numbers the first."""
-    hits = pages.select(F.col("page").alias("at"), F.posexplode(F.regexp_extract_all(F.col(text), F.lit(pattern), 0)).alias("pos", "hit"))
-    part = lambda n: F.trim(F.regexp_extract("hit", pattern, n))
+    number, title, page), sought line by line and without regard to case. id_format has places for `{chapter}` and `{seq}`, or one, `%s`, for the
+    number's parts joined by `_`. Of equal numbers the first."""
+    form = "(?im)" + pattern
+    hits = pages.select(F.col("page").alias("at"), F.posexplode(F.regexp_extract_all(F.col(text), F.lit(form), 0)).alias("pos", "hit"))
+    part = lambda n: F.trim(F.regexp_extract("hit", form, n))
     number = part(1) if groups == 3 else F.concat_ws("-", part(1), part(2))
     flat = hits.select("at", "pos", number.alias("number"), F.rtrim(part(groups - 1), F.lit(".")).alias("title"), part(groups).try_cast("int").alias("page"))
     first = G.first_by(flat, ["number"], [F.col("at"), F.col("pos")])
-    return first.select(F.format_string(id_format, F.regexp_replace("number", r"[.\-]", "_")).alias("id"), "number", F.trim("title").alias("title"), "page")
+    parts = F.split("number", r"[.\-]")
+    rest = F.array_join(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), "_")
+    named = F.replace(F.replace(F.replace(F.lit(id_format), F.lit("{chapter}"), parts[0]), F.lit("{seq}"), rest), F.lit("%s"), F.array_join(parts, "_"))
+    return first.select(named.alias("id"), "number", F.trim("title").alias("title"), "page")
 
 
 def headings_by_line(pages: DataFrame, pattern: str = r"^(\d+(?:\.\d+)+)\s*(.*)$", ahead: int = 3, text: str = "text") -> DataFrame:
@@ -48,13 +53,10 @@ def section_ranges(sections: DataFrame, page_offset: int = 0) -> DataFrame:
 
 
 def section_structure(pages: DataFrame, page_offset: int = 0) -> DataFrame:
-    """The sections of whole books: headers of all pages, of equal numbers the first, with their ranges and parents. pages: (book, page, text)."""
-    found = E.section_headers(pages.drop("book")) if "book" not in pages.columns else None
-    if found is not None:
-        return section_ranges(found.withColumn("book", F.lit("")), page_offset)
-    keyed = pages.withColumn("page", F.struct("book", "page"))
-    headers = E.section_headers(keyed)  # of a number in all books the first, so a number is told apart by its book
-    return section_ranges(headers.select(F.col("page.book").alias("book"), F.col("page.page").alias("page"), "line", "kind", "number", "title"), page_offset)
+    """The sections of whole books: headers of all pages, of a book's equal numbers the first, with their ranges and parents. pages: (book, page,
+    text), or (page, text) of one book."""
+    books = pages if "book" in pages.columns else pages.withColumn("book", F.lit(""))
+    return section_ranges(E.section_headers(books, keys=["book"]), page_offset)
 
 
 def chunks_of(pages: DataFrame, sections: DataFrame, max_words: int = 250) -> DataFrame:
@@ -107,16 +109,19 @@ def class_of_names(classes: DataFrame, tables: DataFrame) -> DataFrame:
 
 def offset_of_table(tables: DataFrame, known: DataFrame, titled: DataFrame) -> DataFrame:
     """(table_id, offset): the offset that is configured for a table, else that of a title which equals its cleaned title, else the
-    one in its title. known: (table_id, offset); titled: (title, offset), both one row a key."""
+    one in its title. known: (table_id, offset), one row a key; titled: (title, offset), of titles that are equal once cleaned the least."""
     clean = lambda c: F.trim(F.regexp_replace(F.lower(c), r"\(offset[^)]*\)", ""))
-    by_title = titled.select(clean(F.col("title")).alias("key"), F.col("offset").alias("of_title"))
+    by_title = titled.groupBy(clean(F.col("title")).alias("key")).agg(F.min_by("offset", "title").alias("of_title"))
     both = tables.join(known.select("table_id", F.col("offset").alias("direct")), "table_id", "left").withColumn("key", clean(F.col("title"))).join(by_title, "key", "left")
     return both.select("table_id", F.coalesce("direct", "of_title", C.register_of_title(F.col("title"))["offset"]).alias("offset"))
 
 
-def registers_of(config: DataFrame, tables: DataFrame, classes: DataFrame, cells: DataFrame, columns: dict[str, int]) -> DataFrame:
-    """Registers with class, table and fields. config: (offset, name, ord) and, where it is given, table_id; tables: (table_id, title,
-    ord); classes as of class_of_offset(); cells: rows of the tables (name, row_no, cells)."""
+def registers_of(config: DataFrame, tables: DataFrame, classes: DataFrame, cells: DataFrame, columns: dict[str, int] | None = None, hints: DataFrame | None = None) -> DataFrame:
+    """Registers with class, table and fields. config: (offset, name, ord) and, where it is given, table_id, which goes before a table found by
+    name; tables: (table_id, title, ord); classes as of class_of_offset(); cells: rows of the tables (name, row_no, cells). Without
+    columns, each table's heading row tells where its roles stand, with the words of hints (match_title, columns, ord) where one fits its title."""
+    if columns is None:
+        columns = E.column_maps(cells, None if hints is None else E.hints_of_tables(tables, hints))
     made = config.select(F.concat(F.lit("REG_"), C.norm_offset(F.col("offset"))).alias("id"), "name", "offset", "ord", C.offset_int(F.col("offset")).alias("offset_int"), *(["table_id"] if "table_id" in config.columns else [F.lit(None).cast("string").alias("table_id")]))
     found = table_of_register(made.select("id", "name"), tables).withColumnRenamed("table_id", "by_name")
     placed = made.join(found, "id", "left").withColumn("spec_table", F.coalesce("table_id", "by_name")).drop("table_id", "by_name")

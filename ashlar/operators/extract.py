@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from . import ranges as R
+from . import substrings as T
 from .graph import first_by, gap_fill
+from .shared import small
 
 # Forms of section headers, by kind, in order of precedence.
 HEADERS = {
@@ -28,17 +30,19 @@ CONTENTS = {
 ROLES = {"bits": ("bit", "location", "position", "bits"), "access": ("access", "attrib", "type", "r/w", "attribute"), "description": ("description", "function", "explanation", "desc"), "name": ("field name", "signal name", "name", "field")}
 
 
-def section_headers(pages: DataFrame, text: str = "text") -> DataFrame:
-    """(page, line, kind, number, title): lines that look like a header; one row for each number, its first."""
-    lines = pages.select("page", F.posexplode(F.split(F.col(text), "\n")).alias("line", "body"))
+def section_headers(pages: DataFrame, text: str = "text", keys: list[str] | None = None) -> DataFrame:
+    """(page, line, kind, number, title): lines that look like a header; one row for each number, its first. With keys, as the book, these
+    columns come first and a number is told apart by them."""
+    keys = keys or []
+    lines = pages.select(*keys, "page", F.posexplode(F.split(F.col(text), "\n")).alias("line", "body"))
     kinds = [F.when(F.col("body").rlike(p), F.lit(k)) for k, p in HEADERS.items()]
     found = lines.withColumn("kind", F.coalesce(*kinds)).where("kind IS NOT NULL")
     part = lambda n: F.coalesce(*[F.when(F.col("kind") == k, F.regexp_extract("body", p, n)) for k, p in HEADERS.items()])
     title = F.trim(part(2))
     number = F.when(F.col("kind") == "appendix", F.concat(F.lit("Appendix_"), part(1))).otherwise(part(1))
     noise = title.rlike(r"(?i)^(figure|table|note)\b") | title.rlike(r"(?i)\b(release|specification)\b") | title.rlike(r"\.{3,}") | number.rlike(r"^\d+\.0+$")
-    found = found.select("page", "line", "kind", number.alias("number"), title.alias("title")).where(~noise)
-    return first_by(found, ["number"], [F.col("page"), F.col("line")])
+    found = found.select(*keys, "page", "line", "kind", number.alias("number"), title.alias("title")).where(~noise)
+    return first_by(found, [*keys, "number"], [F.col("page"), F.col("line")])
 
 
 def contents(pages: DataFrame, kind: str, text: str = "text") -> DataFrame:
@@ -62,33 +66,106 @@ def column_map(headings: list[str], hint: dict[str, list[str]] | None = None) ->
     return found
 
 
+def column_maps(rows: DataFrame, hints: DataFrame | None = None) -> DataFrame:
+    """(table, bits, access, description, name): where the columns of each role stand, of every table by its own heading row; null: nowhere.
+
+    rows: (name, row_no, cells), of which row 0 is the heading. hints: (table, role, words) has other words for some roles of some tables.
+    As column_map(), in two folds over the headings; headings that repeat are one, which stands where the last of them does."""
+    heads = rows.where("row_no = 0").select(F.col("name").alias("table"), F.col("cells").alias("raw"))
+    if hints is not None:
+        known = hints.where(F.col("role").isin(list(ROLES))).groupBy("table").agg(*[F.first(F.when(F.col("role") == r, F.transform("words", lambda w: F.lower(w))), ignorenulls=True).alias(f"w_{r}") for r in ROLES])
+        heads = heads.join(known, "table", "left")
+    words = {r: F.coalesce(*([F.col(f"w_{r}")] if hints is not None else []), F.array(*[F.lit(w) for w in ROLES[r]])) for r in ROLES}
+    heads = heads.withColumn("low", F.transform("raw", lambda h: F.lower(F.trim(h))))
+    none = F.struct(*[F.lit(None).cast("int").alias(r) for r in ROLES])
+    one = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)  # noqa: E731  value is worked out once
+
+    def fold(found: Column, fits) -> Column:
+        def take(at: Column, i: Column) -> Column:
+            heading, raw = F.get("low", i), F.get("raw", i)
+            taken = F.exists(F.array(*[at[r] for r in ROLES]), lambda k: F.coalesce(F.get("raw", k) == raw, F.lit(False)))
+            role = F.when(~taken, F.coalesce(*[F.when(at[r].isNull() & fits(heading, words[r]), F.lit(r)) for r in ROLES]))
+            place = F.size("raw") - F.array_position(F.reverse("raw"), raw).cast("int")
+            return one(role, lambda r: F.when(r.isNull(), at).otherwise(F.struct(*[F.when(r == k, place).otherwise(at[k]).alias(k) for k in ROLES])))
+
+        return F.aggregate(F.sequence(F.lit(0), F.greatest(F.size("raw") - 1, F.lit(0))), found, take)
+
+    exact = heads.withColumn("__at", fold(none, lambda h, ws: F.array_contains(ws, h)))
+    both = exact.withColumn("__at", fold(F.col("__at"), lambda h, ws: F.exists(ws, lambda w: F.contains(h, w))))
+    return both.select("table", *[F.col(f"__at.{r}").alias(r) for r in ROLES])
+
+
+def hints_of_tables(tables: DataFrame, hints: DataFrame) -> DataFrame:
+    """(table, role, words): the columns of the first hint whose pattern is found in a table's title, without regard to case.
+
+    tables: (table_id, title); hints: (match_title, columns: role and names, ord), a configuration: one expression for each of them."""
+    listed = [r for r in hints.orderBy("ord").collect() if r["match_title"]]
+    place = F.coalesce(*[F.when(F.col("title").rlike("(?i)" + r["match_title"]), F.lit(r["ord"])) for r in listed], F.lit(None).cast("long"))
+    chosen = tables.select(F.col("table_id").alias("table"), place.alias("ord")).where("ord IS NOT NULL")
+    return chosen.join(F.broadcast(hints.select(F.col("ord"), F.explode("columns").alias("c"))), "ord").select("table", "c.role", F.col("c.names").alias("words"))
+
+
+def csv_format(cells: Column) -> Column:
+    """The layout of a heading row: format, and where location, attribute, name, text, value and meaning stand (null: nowhere)."""
+    low = F.transform(cells, lambda h: F.trim(F.lower(h)))
+    has = lambda w: F.array_contains(low, w)
+
+    def layout(form: str, **at: int) -> Column:
+        return F.struct(F.lit(form).alias("format"), *[F.lit(at.get(k)).cast("int").alias(k) for k in ("location", "attrib", "name", "text", "value", "meaning")])
+
+    own = has("location") & has("attrib")
+    five = own & (F.size(low) >= 5) & (has("value") | has("meaning"))
+    plain = layout("3col", location=0, attrib=1, text=2)
+    return F.when(five, layout("5col", location=0, attrib=1, text=2, value=3, meaning=4)).when(~own & has("address") & has("access"), layout("4col_alt", location=0, attrib=1, name=2, text=3)).otherwise(plain)
+
+
+def class_versions(classes: DataFrame, rows: DataFrame, versions: list[str]) -> DataFrame:
+    """(class_id, version_support): of the first name in a version table that contains a class's name or is contained in it; N/A where there is none.
+
+    classes: (class_id, name); rows: (name, ord, one column for each version). Of equal names the first has the place and the last the values."""
+    low = rows.select(F.lower(F.trim("name")).alias("key"), "ord", *[F.col(f"`{v}`") for v in versions]).where("key <> ''")
+    last = low.groupBy("key").agg(F.min("ord").alias("ord"), *[F.max_by(F.trim(F.col(f"`{v}`")), "ord").alias(f"v{i}") for i, v in enumerate(versions)])
+    titles = last.select(F.col("key").alias("text"), F.col("key").alias("what"), "ord")
+    named = classes.select("class_id", F.lower("name").alias("text"))
+    into = T.first_holding(named.select(F.col("text").alias("needle")), titles).withColumnRenamed("needle", "text")
+    first = into.unionByName(T.first_held(named, titles)).groupBy("text").agg(F.min_by("what", "ord").alias("key"))
+    hit = named.join(first, "text", "left").join(last.drop("ord"), "key", "left")
+    pairs = [x for i, v in enumerate(versions) for x in (F.lit(v), F.coalesce(f"v{i}", F.lit("N/A")))]
+    return hit.select("class_id", F.create_map(*pairs).alias("version_support"))
+
+
 #: A field's name that begins with its bits, as `7:4 MODE`.
 MERGED_BITS = r"^(\d+(?::\d+)?)\s+(.+)"
 
 
-def field_rows(rows: DataFrame, columns: dict[str, int], merged_bits: bool = False) -> DataFrame:
+def field_rows(rows: DataFrame, columns: dict[str, int] | DataFrame, merged_bits: bool = False) -> DataFrame:
     """Fields of tables (name, row_no, cells), the heading row left out: rows without bits continue the field
     before them; reserved fields go, but keep their number, so that the ids have gaps.
 
-    A name is the first line of its cell; where there is no name column, of the description's. With merged_bits, bits stand
-    before the name in its cell; without a bits column, a row with a name begins a field."""
-    cell = lambda role: F.trim(F.coalesce(F.get("cells", F.lit(columns[role])), F.lit(""))) if role in columns else F.lit("")
-    flat = rows.where("row_no > 0").select(F.col("name").alias("table"), "row_no", *[cell(r).alias(r) for r in ROLES])
-    both = "name" not in columns
-    if both:
-        flat = flat.withColumn("name", F.col("description")).withColumn("description", F.lit(""))
+    columns: where the roles stand, in all tables or, of column_maps(), in each. A name is the first line of its cell; where there is no
+    name column, of the description's. With merged_bits, bits stand before the name in its cell; without a bits column, a row with a name begins a field."""
+    body = rows.where("row_no > 0").withColumnRenamed("name", "table")
+    if isinstance(columns, DataFrame):
+        body = body.join(small(columns.select("table", *[F.col(r).alias(f"__{r}") for r in ROLES])), "table")
+    else:
+        body = body.withColumns({f"__{r}": F.lit(columns.get(r)).cast("int") for r in ROLES})
+    cell = lambda role: F.trim(F.coalesce(F.get("cells", F.col(f"__{role}")), F.lit("")))
+    both = F.col("both")
+    flat = body.select("table", "row_no", F.col("__name").isNull().alias("both"), F.col("__bits").isNotNull().alias("has_bits"), *[cell(r).alias(r) for r in ROLES])
+    flat = flat.withColumns({"name": F.when(both, F.col("description")).otherwise(F.col("name")), "description": F.when(both, "").otherwise(F.col("description"))})
     if merged_bits:
         hit = F.col("name").rlike(MERGED_BITS)
         flat = flat.withColumns({"bits": F.when(hit, F.regexp_extract("name", MERGED_BITS, 1)).otherwise(""), "name": F.when(hit, F.regexp_extract("name", MERGED_BITS, 2)).otherwise(F.col("name"))})
-    opens = F.col("bits") != "" if "bits" in columns or merged_bits else F.col("name") != ""
+    opens = F.when(F.col("has_bits") | F.lit(merged_bits), F.col("bits") != "").otherwise(F.col("name") != "")
     grouped = gap_fill(flat, "table", "row_no", opens)
     lead = F.row_number().over(Window.partitionBy("table", "grp").orderBy("row_no")) == 1
-    more = F.col("name") if both else F.col("description")
+    more = F.when(both, F.col("name")).otherwise(F.col("description"))
     grouped = grouped.withColumn("more", F.when(lead, F.col("description")).otherwise(more))
     texts = F.transform(F.filter(F.array_sort(F.collect_list(F.struct("row_no", "more"))), lambda x: x["more"] != ""), lambda x: x["more"])
-    whole = grouped.groupBy("table", "grp").agg(*[F.min_by(c, "row_no").alias(c) for c in ("bits", "access", "name")], texts.alias("texts"))
+    whole = grouped.groupBy("table", "grp").agg(*[F.min_by(c, "row_no").alias(c) for c in ("bits", "access", "name", "both")], texts.alias("texts"))
     first, rest = F.trim(F.substring_index("name", "\n", 1)), F.trim(F.regexp_replace("name", r"^[^\n]*\n?", ""))
-    text = F.array_join(F.concat(F.filter(F.array(rest), lambda x: x != ""), F.col("texts")), " " if not both else "\n")
+    parts = F.concat(F.filter(F.array(rest), lambda x: x != ""), F.col("texts"))
+    text = F.when(both, F.array_join(parts, "\n")).otherwise(F.array_join(parts, " "))
     out = whole.select("table", (F.col("grp") - 1).cast("int").alias("ordinal"), F.col("bits"), C.bit_range(F.col("bits")).alias("b"), first.alias("name"), C.access(F.col("access")).alias("access"), F.trim(text).alias("description"))
     out = out.where((F.col("name") != "") & ~F.lower("name").isin("reserved", "rsvd"))
     return out.select(F.concat_ws("_F", "table", F.format_string("%02d", "ordinal")).alias("field_id"), "table", "ordinal", "bits", "b.high", "b.low", "b.width", "name", "access", "description")
@@ -156,13 +233,17 @@ def build_nodes(rows: DataFrame, kind: str, name: Column, description: Column, t
     return rows.select("id", F.lit(kind).alias("type"), F.coalesce(shown, F.col("id")).alias("name"), C.ellipsis(F.coalesce(description, F.lit(""))).alias("description"), F.coalesce(keys, F.array().cast("array<string>")).alias("index_keywords"), "page", confidence.alias("confidence"), "ord")
 
 
+#: Ranges that number_edges() cuts its rows into at most, so that its plan stays short on large clusters.
+MOST_CUTS = 200
+
+
 def number_edges(edges: DataFrame, prefix: str, order: list[str]) -> DataFrame:
     """Edges with running ids such as REL_REF_0001, without one task for all rows.
 
     The order's first column is cut into ranges at its quantiles; a range's rows are numbered by themselves and shifted by the counts
     of the ranges before it. Both passes use the same cuts, so that the ranges can't differ; ties stay in one range."""
     spark = edges.sparkSession
-    parts = spark.sparkContext.defaultParallelism
+    parts = min(spark.sparkContext.defaultParallelism, MOST_CUTS)
     rank, kind = F.col(order[0]), dict(edges.dtypes)[order[0]]
     if kind in ("date", "timestamp", "timestamp_ntz"):
         rank = F.unix_timestamp(rank.cast("timestamp"))
@@ -170,7 +251,7 @@ def number_edges(edges: DataFrame, prefix: str, order: list[str]) -> DataFrame:
         rank = F.conv(F.hex(F.rpad(F.left(rank, F.lit(6)), 6, " ").cast("binary").substr(1, 6)), 16, 10)
     keyed = edges.withColumn("__k", rank.cast("double"))
     cuts = sorted(set(keyed.stat.approxQuantile("__k", [i / parts for i in range(1, parts)], 0.01)))
-    piece = sum((F.coalesce(F.col("__k") > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
+    piece = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: F.col("__k") > c)), F.lit(0)) if cuts else F.lit(0)
     ranged = keyed.withColumn("__p", piece)
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("n"))
     before = F.broadcast(sizes.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("__before")))  # one row a range

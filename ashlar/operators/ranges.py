@@ -91,6 +91,16 @@ def running_count(rows: DataFrame, group: str, order: str, opens: Column, name:
     return both.withColumn(name, F.col("__local") + F.coalesce("__before", F.lit(0))).drop("__open", "__part", "__local", "__g", "__p", "__before")
 
 
+def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """rows with their place, from 0, in the order of keys: each range partition numbers its own, after the counts of those before it."""
+    held = ranged(rows, keys, "numbered")
+    counts = held.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row for each part
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = F.row_number().over(Window.partitionBy("__part").orderBy(*keys)).cast("long") - 1
+    both = held.withColumn("__local", local).join(F.broadcast(counts.select("__part", before.alias("__before"))), "__part")
+    return both.withColumn(name, F.col("__local") + F.col("__before")).drop("__part", "__local", "__before")
+
+
 def placed(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """rows with what was found for their key, null where nothing was."""
     return rows.join(small(found), key, "left")

@@ -15,6 +15,7 @@ from ..operators import graph as G
 from ..operators import lookups as L
 from ..operators import overlap
 from ..operators import ranges as R
+from ..operators.shared import written
 from .catalog import GraphCatalog
 from .queries import CHK, query, t
 
@@ -494,3 +495,77 @@ def edges_of_one_drawing(s, d):
     at = lambda c, k: F.col(c) * k % 1000
     lines = o.select(F.lit(0).alias("drawing"), F.col("o_orderkey").alias("line"), at("o_custkey", 17).alias("x0"), at("o_custkey", 29).alias("y0"), at("o_orderkey", 13).alias("x1"), at("o_orderkey", 7).alias("y1"))
     return D.edges_between(boxes, lines).select("line", "source", "target")
+
+
+# registers out of tables of several shapes
+
+SHAPES = [["Location", "Attrib", "Field Name", "Description"], ["Bit Position", "Description of function", "Type of access", "Name"], ["Bits", "R/W", "Description"], ["Span", "Kind", "Label", "Meaning"]]
+MIXED = (
+    "WITH f AS (SELECT l_partkey, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_extendedprice) - 1 AS ordinal, l_linenumber, (4 * l_linenumber + 3) || ':' || (4 * l_linenumber) AS bits, CASE WHEN l_suppkey % 9 = 0 THEN 'Reserved' ELSE 'F' || l_suppkey END AS name, "
+    "CASE l_returnflag WHEN 'A' THEN 'read-only' WHEN 'R' THEN 'write-only' ELSE 'read-write' END AS access, 'q' || CAST(l_quantity AS INTEGER) || CASE WHEN l_quantity > 25 THEN (CASE WHEN l_partkey % 4 = 2 THEN chr(10) ELSE ' ' END) || 'more of it' ELSE '' END AS description FROM lineitem), "
+    "m AS (SELECT l_partkey, CAST(ordinal AS INTEGER) AS ordinal, bits, 4 * l_linenumber + 3 AS high, 4 * l_linenumber AS low, name, access, description FROM f WHERE name <> 'Reserved') "
+)
+
+
+def mixed_cells(s, d) -> DataFrame:
+    """Every part as a table whose heading has one of four shapes, the last of which only a hint tells; every line item is a field, and the rest of a long description stands in a row of its own."""
+    n, key = F.col("l_linenumber"), ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+    bits, access = F.concat(4 * n + 3, F.lit(":"), 4 * n), F.when(F.col("l_returnflag") == "A", "RO").when(F.col("l_returnflag") == "R", "WO").otherwise("RW")
+    name, text = F.when(F.col("l_suppkey") % 9 == 0, "Reserved").otherwise(F.concat(F.lit("F"), "l_suppkey")), F.concat(F.lit("q"), F.col("l_quantity").cast("int"))
+    shape = F.col("l_partkey") % 4
+    row = lambda b, a, w, x: F.when(shape == 1, F.array(b, x, a, w)).when(shape == 2, F.array(b, a, F.when(w == "", x).otherwise(F.concat(w, F.lit("\n"), x)))).otherwise(F.array(b, a, w, x))
+    no = F.lit("")
+    rows = F.when(F.col("l_quantity") > 25, F.array(row(bits, access, name, text), row(no, no, no, F.lit("more of it")))).otherwise(F.array(row(bits, access, name, text)))
+    fields = t(s, d, "lineitem").select("l_partkey", F.struct(*key).alias("k"), rows.alias("rows"))
+    named = F.concat(F.lit("TABLE_"), "l_partkey")
+    body = fields.groupBy("l_partkey").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "rows"))), lambda x: x["rows"])).alias("rows"))
+    heads = F.element_at(F.array(*[F.array(*[F.lit(c) for c in x]) for x in SHAPES]), (shape + 1).cast("int"))
+    return written(body.select(named.alias("name"), F.posexplode(F.concat(F.array(heads), "rows")).alias("row_no", "cells")), "cells")
+
+
+def mixed_hints(s) -> DataFrame:
+    words = [("bits", ["Span"]), ("access", ["Kind"]), ("name", ["Label"]), ("description", ["Meaning"])]
+    return s.createDataFrame([("unusual", words, 0)], "match_title string, columns array<struct<role:string,names:array<string>>>, ord long")
+
+
+@query(MIXED + "SELECT 'TABLE_' || l_partkey AS \"table\", ordinal, bits, high, low, name, access, description FROM m")
+def fields_of_mixed_tables(s, d):
+    """Fields of all tables at once, each with the columns that its own heading tells."""
+    cells = mixed_cells(s, d)
+    titles = cells.where("row_no = 0").select(F.col("name").alias("table_id"), F.concat(F.when(F.get("cells", F.lit(0)) == "Span", "unusual ").otherwise(""), "name").alias("title"))
+    maps = E.column_maps(cells, E.hints_of_tables(titles, mixed_hints(s)))
+    return E.field_rows(cells, maps).select("table", "ordinal", "bits", "high", "low", "name", "access", "description")
+
+
+@query(MIXED + ", r AS (SELECT l_partkey, string_agg(ordinal || ' ' || bits || ' ' || name || ' ' || access || ' ' || description, '; ' ORDER BY ordinal) AS fields FROM m GROUP BY l_partkey) SELECT 'REG_' || lpad(printf('%X', p_partkey), greatest(3, length(printf('%X', p_partkey)))::INT, '0') AS id, p_name AS name, CASE WHEN p_partkey % 300 < 200 THEN 'CLASS_' || (p_partkey // 300) END AS class_id, CASE WHEN p_partkey IN (SELECT l_partkey FROM lineitem) THEN 'TABLE_' || p_partkey END AS spec_table, coalesce(fields, '') AS fields FROM part LEFT JOIN r ON l_partkey = p_partkey")
+def registers_of_mixed_tables(s, d):
+    """Registers with their class and fields: those of every third part name their table, the others are found by it in the title."""
+    p, cells = t(s, d, "part"), mixed_cells(s, d)
+    there = cells.where("row_no = 0").select(F.col("name").alias("table_id"))
+    key = F.concat(F.lit("TABLE_"), "p_partkey")
+    config = p.join(there, key == F.col("table_id"), "left").select(F.concat(F.hex("p_partkey"), F.lit("h")).alias("offset"), "p_name", F.concat(F.lit("no"), "p_partkey", F.lit("x Register")).alias("name"), F.col("p_partkey").alias("ord"), F.when(F.col("p_partkey") % 3 == 0, F.col("table_id")).alias("table_id"))
+    tables = p.join(there, key == F.col("table_id")).select("table_id", F.concat(F.when(F.col("p_partkey") % 4 == 3, "unusual ").otherwise(""), F.lit("fields of no"), "p_partkey", F.lit("x")).alias("title"), F.col("p_partkey").alias("ord"))
+    last = p.agg(F.max("p_partkey")).first()[0] or 0
+    classes = s.range(last // 300 + 1).select(F.concat(F.lit("CLASS_"), "id").alias("class_id"), (300 * F.col("id")).alias("start_int"), (300 * F.col("id") + 199).alias("end_int"), F.col("id").alias("ord"))
+    found = D.registers_of(config.drop("p_name"), tables, classes, cells, hints=mixed_hints(s))
+    named = found.join(p.select(F.col("p_partkey").alias("ord"), "p_name"), "ord")
+    one = F.transform("fields", lambda f: F.concat_ws(" ", f["ordinal"], f["bits"], f["name"], f["access"], f["raw"]))
+    return named.select("id", F.col("p_name").alias("name"), "class_id", "spec_table", F.array_join(one, "; ").alias("fields"))
+
+
+@query("SELECT format, count(*) AS n, CAST(sum(name) AS BIGINT) AS name, CAST(sum(value) AS BIGINT) AS value FROM (SELECT CASE p_partkey % 5 WHEN 0 THEN '5col' WHEN 1 THEN '3col' WHEN 2 THEN '4col_alt' ELSE '3col' END AS format, CASE p_partkey % 5 WHEN 2 THEN 2 END AS name, CASE p_partkey % 5 WHEN 0 THEN 3 END AS value FROM part) GROUP BY format")
+def csv_formats(s, d):
+    forms = [["Location", " ATTRIB ", "Text", "Value", "Meaning"], ["location", "attrib", "x", "y", "z"], ["Address", "Access", "Name", "Text"], ["x"], []]
+    cells = F.element_at(F.array(*[F.array(*[F.lit(c) for c in x]).cast("array<string>") for x in forms]), (F.col("p_partkey") % 5 + 1).cast("int"))
+    found = t(s, d, "part").select(E.csv_format(cells).alias("f")).groupBy("f.format")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.sum("f.name").alias("name"), F.sum("f.value").alias("value"))
+
+
+@query("WITH v AS (SELECT lower(s_name) AS k, s_suppkey AS ord, s_nationkey AS one, s_suppkey % 7 AS two FROM supplier), c AS (SELECT p_partkey AS class_id, CASE p_partkey % 3 WHEN 0 THEN 'registers of supplier#' || lpad((p_partkey % 40)::VARCHAR, 9, '0') WHEN 1 THEN right(lpad((p_partkey % 90)::VARCHAR, 9, '0'), 2) ELSE 'none' END AS name FROM part), f AS (SELECT class_id, min(ord) AS ord FROM c JOIN v ON contains(k, name) OR contains(name, k) GROUP BY class_id) SELECT class_id, coalesce(one::VARCHAR, 'N/A') AS v1, coalesce(two::VARCHAR, 'N/A') AS v2 FROM c LEFT JOIN f USING (class_id) LEFT JOIN v USING (ord)")
+def versions_of_classes(s, d):
+    x = F.col("p_partkey")
+    pad = lambda n: F.lpad((x % n).cast("string"), 9, "0")
+    classes = t(s, d, "part").select(x.alias("class_id"), F.when(x % 3 == 0, F.concat(F.lit("Registers of Supplier#"), pad(40))).when(x % 3 == 1, F.right(pad(90), F.lit(2))).otherwise("none").alias("name"))
+    rows = t(s, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("ord"), F.col("s_nationkey").cast("string").alias("1.00"), (F.col("s_suppkey") % 7).cast("string").alias("2.00"))
+    found = E.class_versions(classes, rows, ["1.00", "2.00"])
+    return found.select("class_id", F.col("version_support")["1.00"].alias("v1"), F.col("version_support")["2.00"].alias("v2"))

@@ -90,18 +90,45 @@ class Config:
         """A contents list's pages, pattern and form of ids."""
         return self.get(f"toc.{kind}", {}) or {}
 
+    def hint_list(self) -> list[dict]:
+        return self.get("extraction.tables.hints", []) or []
+
     def hint(self, title: str) -> dict | None:
         """The first hint whose pattern is found in a title, without regard to case."""
-        return next((h for h in self.get("hints", []) or [] if re.search(h["pattern"], title, re.IGNORECASE)), None)
+        return next((h for h in self.hint_list() if h.get("match_title") and re.search(h["match_title"], title, re.IGNORECASE)), None)
+
+    @staticmethod
+    def _columns(hint: dict) -> dict[str, list[str]]:
+        roles = {"bit_range": "bits", "field_name": "name"}
+        return {roles.get(c["role"], c["role"]): list(c.get("names", [])) for c in hint.get("expected_columns", [])}
 
     def hint_columns(self, title: str) -> dict[str, list[str]]:
         """The words of each role's column in the title's hint."""
-        roles = {"bit_range": "bits", "field_name": "name"}
-        return {roles.get(c["role"], c["role"]): c.get("names", []) for c in (self.hint(title) or {}).get("expected_columns", [])}
+        return self._columns(self.hint(title) or {})
+
+    def hints(self, spark: SparkSession) -> DataFrame:
+        """(match_title, columns, ord): as hints_of_tables() takes them."""
+        rows = [(h.get("match_title"), list(self._columns(h).items()), i) for i, h in enumerate(self.hint_list())]
+        return spark.createDataFrame(rows, "match_title string, columns array<struct<role:string,names:array<string>>>, ord long")
+
+    @property
+    def exclude_tables(self) -> list[str]:
+        return self.get("domain.registers.exclude_tables", []) or []
+
+    def multi_page(self, what: str = "tables") -> dict:
+        """Whether items go over several pages, and over how many before and after."""
+        return {"enabled": False, "max_pages_before": 0, "max_pages_after": 0} | (self.get(f"extraction.{what}.multi_page", {}) or {})
+
+    def enabled(self, node_type: str) -> bool:
+        return bool(self.get(f"node_types.{node_type}.enabled", False))
 
-    def validation_rules(self, what: str) -> dict[str, str]:
-        """(rule: severity) of what is checked."""
-        return {r["rule"]: r.get("severity", "warning") for r in self.get(f"validation.{what}", []) or []}
+    def validation_rules(self, what: str) -> dict[str, dict]:
+        """The rules (check: its other settings) of what is checked; none where validation or this part of it is off. A severity that is not given is an error's
+        where a rule has a limit, else a warning's."""
+        part = self.get(f"validation.checks.{what}", {}) or {}
+        if not (self.get("validation.enabled", False) and part.get("enabled", False)):
+            return {}
+        return {r["check"]: {"severity": "error" if "max_chars" in r else "warning"} | {k: v for k, v in r.items() if k != "check"} for r in part.get("rules", []) or []}
 
     def folder(self, name: str) -> str:
         """A folder below the configuration's root."""
@@ -112,15 +139,20 @@ class Config:
         return spark.createDataFrame([(*(r.get(k) for k in fields), i) for i, r in enumerate(rows or [])], schema)
 
     def classes(self, spark: SparkSession) -> DataFrame:
-        return self._table(spark, self.get("register_classes", []), {"id": "string", "name": "string", "address_start": "string", "address_end": "string", "version_support": "map<string,string>"})
+        rows = self.get("domain.registers.classes", [])
+        return self._table(spark, rows, {"id": "string", "name": "string", "address_start": "string", "address_end": "string", "table_1_1_name": "string"})
 
     def offsets(self, spark: SparkSession) -> DataFrame:
-        return self._table(spark, self.get("register_offsets", []), {"offset": "string", "name": "string", "table_id": "string"})
+        """(offset, name, table_id, spec_section, ord) out of a map from offsets to what is known of their registers."""
+        rows = [{"offset": k, "name": v.get("name"), "table_id": v.get("table"), "spec_section": v.get("section", "")} for k, v in (self.get("domain.registers.register_offsets", {}) or {}).items()]
+        return self._table(spark, rows, {"offset": "string", "name": "string", "table_id": "string", "spec_section": "string"})
 
     def features(self, spark: SparkSession) -> DataFrame:
         lists = {k: "array<string>" for k in ("groups", "figures", "tables", "registers", "spec_sections")}
-        return self._table(spark, self.get("features", []), {"id": "string", "name": "string", "description": "string", "priority": "string", "parent_id": "string"} | lists)
+        rows = [r | {"parent_id": r.get("parent_id", r.get("parent"))} for r in self.get("domain.features.definitions", []) or []]
+        return self._table(spark, rows, {"id": "string", "name": "string", "description": "string", "priority": "string", "parent_id": "string"} | lists)
 
     def sequences(self, spark: SparkSession) -> DataFrame:
         lists = {k: "array<string>" for k in ("groups", "figures", "tables", "spec_sections", "uses_features")}
-        return self._table(spark, self.get("hd_sequences", []), {"id": "string", "name": "string", "description": "string", "priority": "string", "parent_id": "string"} | lists)
+        rows = self.get("domain.features.hd_sequences", [])
+        return self._table(spark, rows, {"id": "string", "name": "string", "description": "string", "priority": "string", "parent_id": "string", "primary_section": "string"} | lists)

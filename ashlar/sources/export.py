@@ -7,7 +7,11 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import read_graph, update_coverage
+from ..operators.ranges import numbered
+from .graph import NODE, RELATION, read_graph, update_coverage
+
+#: The lines of a document that are no node and no edge.
+START, RELATIONS, END = '{"metadata_version": "1.0", "nodes": [', '], "relations": [', "]}"
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +37,7 @@ def document(nodes: DataFrame, relations: DataFrame) -> DataFrame:
         comma = F.when(F.col("ord") == F.lit(end), F.lit("")).otherwise(F.lit(",")) if end is not None else F.lit("")
         return df.select(F.lit(part).alias("part"), F.col("ord").cast("long").alias("ord"), F.concat(json(df), comma).alias("text"))
 
-    fixed = [(0, 0, '{"metadata_version": "1.0", "nodes": ['), (2, 0, '], "relations": ['), (4, 0, "]}")]
+    fixed = [(0, 0, START), (2, 0, RELATIONS), (4, 0, END)]
     return spark.createDataFrame(fixed, "part int, ord long, text string").unionByName(lines(nodes, 1)).unionByName(lines(relations, 3))
 
 
@@ -46,14 +50,20 @@ def write_document(nodes: DataFrame, relations: DataFrame, path: str) -> str:
 
 
 def read_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """A graph that write_document() wrote, line by line, so that no task holds the document; ord is the line's place."""
-    lines = spark.read.text(path).select(F.col("value").alias("line"))
-    rows = lines.where(F.startswith("line", F.lit('{"id"'))).select(F.regexp_replace("line", r",$", "").alias("line"))
-    from .graph import NODE, RELATION
-
-    is_edge = F.get_json_object("line", "$.source_node").isNotNull()
-    parsed = lambda df, schema: df.select(F.from_json("line", schema).alias("x")).select("x.*").drop("_comment")
-    return parsed(rows.where(~is_edge), NODE), parsed(rows.where(is_edge), RELATION)
+    """A graph that write_document() wrote, so that no task holds the document. Lines are numbered over the files, in the order of their names and
+    of their places in them; what stands before the line that begins the relations is a node, and ord is its place among nodes or edges."""
+    at = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")]
+    lines = numbered(spark.read.text(path).select(F.col("value").alias("line"), *at), ["file", "block", "row"], "n").drop("file", "block", "row")
+    border = lines.where(F.col("line") == RELATIONS).agg(F.min("n")).first()[0]
+    if border is None:
+        raise ValueError(f"NOT_FOUND: no graph document below {path}")
+
+    def parsed(first: int, rows: DataFrame, schema: str) -> DataFrame:
+        read = rows.select(F.from_json(F.regexp_replace("line", r",$", ""), schema).alias("x"), (F.col("n") - first).alias("ord"))
+        return read.select("x.*", "ord").where("_comment IS NULL OR _comment = ''").drop("_comment")
+
+    edges = parsed(border + 1, lines.where((F.col("n") > border) & (F.col("line") != END)), RELATION)
+    return parsed(1, lines.where(F.col("n").between(1, border - 1)), NODE), edges.withColumn("bidirectional", F.coalesce("bidirectional", F.lit(False)))
 
 
 def write_single(nodes: DataFrame, relations: DataFrame, path: str) -> str:

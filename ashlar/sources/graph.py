@@ -34,7 +34,8 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """(name, content): whole files by their stem; separators of either kind."""
-    stem = F.regexp_extract(F.regexp_replace(F.input_file_name(), r"\\", "/"), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    named = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # as it stands in the folder
+    stem = F.regexp_extract(F.regexp_replace(named, r"\\", "/"), r"([^/]+?)(?:\.[^./]*)?$", 1)
     return spark.read.text(path, wholetext=True).select(stem.alias("name"), F.col("value").alias("content"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ashlar import cli
 from ashlar.functions import columns as C
 from ashlar.operators import assemble as A
+from ashlar.operators import discover as D
 from ashlar.operators import enrich as N
 from ashlar.plans.catalog import GraphCatalog
 from ashlar.sources import config, export, pages
@@ -71,8 +72,14 @@ def test_graph_is_written_and_read_back(spark, path, tmp_path):
     whole = json.loads("\n".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))))
     assert [n["id"] for n in whole["nodes"]] == [n["id"] for n in NODES] and len(whole["relations"]) == 2
     again, edges = export.read_document(spark, wrote)
-    key = lambda df: sorted(str(r) for r in df.drop("ord", "_comment").select("id", "type", "name" if "name" in df.columns else "source_node").collect())
-    assert key(again) == key(nodes) and key(edges) == key(relations)
+    place = lambda df: [r.asDict(True) for r in df.orderBy("ord").drop("ord").collect()]
+    assert place(again) == place(nodes) and place(edges) == place(relations)
+    assert [r["ord"] for r in again.orderBy("ord").collect()] == list(range(nodes.count())) and GraphCatalog(again, edges).call("get_nodes_by_type", node_type="TABLE")["count"] == 1
+    odd = spark.createDataFrame([(None, "TABLE", 0), ("x", None, 1), (None, None, 2)], "id string, type string, ord long")
+    loose = spark.createDataFrame([(None, "b", 0), ("a", None, 1)], "source_node string, target_node string, ord long")
+    odd, edges = export.read_document(spark, export.write_document(odd, loose, str(tmp_path / "odd")))
+    assert [(r["id"], r["type"]) for r in odd.orderBy("ord").collect()] == [(None, "TABLE"), ("x", None), (None, None)]
+    assert [(r["source_node"], r["target_node"]) for r in edges.orderBy("ord").collect()] == [(None, "b"), ("a", None)]
     assert json.loads(again.where("id = 'REG_028'").first()["extras"]["fields"])[0]["name"] == "Mode"
     export.write_single(nodes, relations, str(tmp_path / "single"))
     assert S.read_graph(spark, str(tmp_path / "single"))[0].count() == 6
@@ -96,11 +103,38 @@ def test_texts_reports_and_files(spark, tmp_path):
     assert [r["text"] for r in A.report(found, "Issues").collect()][1].startswith("- **error** `m`")
 
 
+CONFIG = {
+    "spec": {"page_offset": 11},
+    "node_types": {"TABLE": {"enabled": True, "classification_rules": [{"pattern": "timing", "type": "TIMING"}, {"pattern": ".*", "type": "OTHER"}]}},
+    "toc": {"tables": {"pages": [3], "pattern": r"^Table\s+(\d+)[-.](\d+)\s*:?\s*(.+?)\s*\.{3,}\s*(\d+)", "id_format": "TABLE_{chapter}_{seq}"}},
+    "domain": {
+        "registers": {
+            "classes": [{"id": "C1", "name": "Host", "address_start": "000h", "address_end": "0FFh"}, {"id": "C2", "name": "Slot", "address_start": "100h", "address_end": "1FFh"}],
+            "register_offsets": {"004h": {"section": "2.1", "name": "Block Register", "table": "T9"}, "104h": {"name": "Slot Status Register"}},
+            "exclude_tables": ["T1"],
+        },
+        "features": {"definitions": [{"id": "F", "name": "DMA", "groups": ["a"], "parent": None}, {"id": "G", "name": "ADMA", "parent": "F"}], "hd_sequences": [{"id": "H", "name": "Start", "primary_section": "4.2"}]},
+    },
+    "extraction": {"tables": {"multi_page": {"enabled": True, "max_pages_before": 2}, "hints": [{"name": "r", "match_title": "register", "expected_columns": [{"role": "bit_range", "names": ["Slice"]}, {"role": "field_name", "names": ["Label"]}]}]}},
+    "validation": {"enabled": True, "checks": {"registers": {"enabled": True, "rules": [{"check": "field_name_length", "max_chars": 12}, {"check": "missing_bits", "severity": "warning"}, {"check": "zero_fields", "severity": "error"}]}, "tables": {"enabled": False, "rules": [{"check": "empty_csv"}]}}},
+}
+
+
 def test_configuration(spark, tmp_path):
-    (tmp_path / "c.json").write_text(json.dumps({"spec": {"page_offset": 11}, "node_types": {"TABLE": {"classification_rules": [{"pattern": "timing", "type": "TIMING"}]}}, "hints": [{"pattern": "register", "expected_columns": [{"role": "bit_range", "names": ["Slice"]}]}], "register_classes": [{"id": "C1", "name": "Host", "address_start": "000", "address_end": "0FF"}], "features": [{"id": "F", "name": "DMA", "groups": ["a"]}]}))
+    (tmp_path / "c.json").write_text(json.dumps(CONFIG))
     c = config.load(spark, str(tmp_path / "c.json"))
-    assert c.page_offset == 11 and c.rules("TABLE") == [("timing", "TIMING")] and c.hint_columns("A Register") == {"bits": ["Slice"]} and c.hint("x") is None
-    assert c.classes(spark).first()["address_end"] == "0FF" and c.features(spark).first()["groups"] == ["a"] and c.sequences(spark).count() == 0
+    assert c.page_offset == 11 and c.rules("TABLE") == [("timing", "TIMING"), (".*", "OTHER")] and c.enabled("TABLE") and not c.enabled("FIGURE")
+    assert c.hint_columns("A Register") == {"bits": ["Slice"], "name": ["Label"]} and c.hint("x") is None
+    assert [tuple(r) for r in c.hints(spark).collect()] == [("register", [("bits", ["Slice"]), ("name", ["Label"])], 0)]
+    assert [(r["id"], r["address_end"]) for r in c.classes(spark).orderBy("ord").collect()] == [("C1", "0FFh"), ("C2", "1FFh")]
+    assert [tuple(r) for r in c.offsets(spark).orderBy("ord").collect()] == [("004h", "Block Register", "T9", "2.1", 0), ("104h", "Slot Status Register", None, "", 1)]
+    assert [(r["id"], r["parent_id"], r["groups"]) for r in c.features(spark).orderBy("ord").collect()] == [("F", None, ["a"]), ("G", "F", None)]
+    assert c.sequences(spark).first()["primary_section"] == "4.2" and c.exclude_tables == ["T1"] and c.multi_page() == {"enabled": True, "max_pages_before": 2, "max_pages_after": 0} and not c.multi_page("figures")["enabled"]
+    assert c.validation_rules("registers") == {"field_name_length": {"severity": "error", "max_chars": 12}, "missing_bits": {"severity": "warning"}, "zero_fields": {"severity": "error"}} and c.validation_rules("tables") == {}
+    toc = c.toc("tables")
+    text = "Tables\n  x\nTable 2-5 : Block Size ..... 17\nTABLE 3-1 Other ..... 20"
+    found = D.contents_by(spark.createDataFrame([(3, text)], "page int, text string"), toc["pattern"], toc["id_format"], 4)
+    assert sorted((r["id"], r["title"], r["page"]) for r in found.collect()) == [("TABLE_2_5", "Block Size", 17), ("TABLE_3_1", "Other", 20)]
     (tmp_path / "bad.json").write_text("{}")
     with pytest.raises(ValueError, match="node_types"):
         config.load(spark, str(tmp_path / "bad.json"))
