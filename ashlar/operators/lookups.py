@@ -5,7 +5,7 @@ source and decides what is first or last."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -33,6 +33,25 @@ def registers(nodes: DataFrame) -> DataFrame:
     )
 
 
+def write_registers(nodes: DataFrame, path: str) -> str:
+    """Registers and their fields as typed tables, so that lookups parse no JSON: registers by offset with their number of fields and of bits, fields by
+    register and place. Files and their parts tell what they hold, so that a lookup of one id reads little."""
+    known = registers(nodes)
+    sizes = F.aggregate(F.coalesce("fields", F.array().cast(FIELD)), F.lit(0), lambda a, f: a + F.coalesce(f["width"], F.lit(0)))
+    counted = known.withColumns({"field_count": F.greatest(F.coalesce(F.size("fields"), F.lit(0)), F.lit(0)), "size_bits": sizes})
+    counted.repartitionByRange("offset_norm", "ord").sortWithinPartitions("offset_norm", "ord").write.parquet(f"{path}/registers")
+    fields(nodes.sparkSession.read.parquet(f"{path}/registers")).repartitionByRange("register_id", "pos").sortWithinPartitions("register_id", "pos").write.parquet(f"{path}/fields")
+    return path
+
+
+def read_registers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/registers")
+
+
+def read_fields(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/fields")
+
+
 def fields(regs: DataFrame) -> DataFrame:
     """One row for each field of each register, in order."""
     return regs.select(F.col("id").alias("register_id"), F.col("name").alias("register_name"), "ord", F.posexplode("fields").alias("pos", "f")).select("register_id", "register_name", "ord", "pos", "f.*")
@@ -81,11 +100,14 @@ def register_list(regs: DataFrame, class_id: str | None = None) -> DataFrame:
 
 
 def register_summary(regs: DataFrame) -> DataFrame:
-    return regs.select("id", "name", F.col("offset_hex").alias("offset"), "class_id", F.coalesce(F.size("fields"), F.lit(0)).alias("field_count"))
+    count = F.col("field_count") if "field_count" in regs.columns else F.greatest(F.coalesce(F.size("fields"), F.lit(0)), F.lit(0))
+    return regs.select("id", "name", F.col("offset_hex").alias("offset"), "class_id", count.alias("field_count"))
 
 
 def register_sizes(regs: DataFrame) -> DataFrame:
     """(id, size_bits, field_count): the sum of the fields' widths."""
+    if "size_bits" in regs.columns:
+        return regs.select("id", "size_bits", "field_count")
     bits = F.aggregate(F.coalesce("fields", F.array().cast(FIELD)), F.lit(0), lambda a, f: a + F.coalesce(f["width"], F.lit(0)))
     return regs.select("id", bits.alias("size_bits"), F.greatest(F.size(F.coalesce("fields", F.array().cast(FIELD))), F.lit(0)).alias("field_count"))
 

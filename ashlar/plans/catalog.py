@@ -32,8 +32,10 @@ def failure(function: str, params: dict, error: str) -> dict:
 
 
 class GraphCatalog:
-    def __init__(self, nodes: DataFrame, relations: DataFrame, texts: DataFrame | None = None, spec: dict | None = None):
-        """texts: (name, content) of table and diagram files; spec: what is known of the document."""
+    def __init__(self, nodes: DataFrame, relations: DataFrame, texts: DataFrame | None = None, spec: dict | None = None, typed: str | None = None):
+        """texts: (name, content) of table and diagram files; spec: what is known of the document; typed: where write_registers() has written
+        this graph's registers, from which lookups of registers and fields are answered."""
+        self.typed = typed
         self.nodes, self.relations, self.texts, self.spec = nodes, relations, texts, spec or {}
 
     def functions(self) -> list[str]:
@@ -68,10 +70,10 @@ class GraphCatalog:
         return "" if r["low"] is None else f"; valid offsets are {r['low']}h to {r['high']}h"
 
     def _registers(self) -> DataFrame:
-        return L.registers(self.nodes)
+        return L.read_registers(self.nodes.sparkSession, self.typed) if self.typed else L.registers(self.nodes)
 
     def _fields(self) -> DataFrame:
-        return L.fields(self._registers())
+        return L.read_fields(self.nodes.sparkSession, self.typed) if self.typed else L.fields(self._registers())
 
     def _chunks(self) -> DataFrame:
         return L.chunks(self.nodes)

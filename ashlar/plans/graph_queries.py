@@ -3,6 +3,8 @@ tables, nations features, suppliers register classes, documents text chunks. Eac
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from ..operators import graph as G
 from ..operators import lookups as L
 from ..operators import overlap
 from ..operators import ranges as R
-from ..operators.shared import written
+from ..operators import text_index as X
+from ..operators.shared import shared_dir, written
+from . import queries as Q
 from .catalog import GraphCatalog
 from .queries import CHK, query, t
 
@@ -46,12 +50,29 @@ def register_graph(s, d) -> DataFrame:
     return A.register_nodes(register_rows(s, d))
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(s, d, name: str, write) -> str:
+    """The path of what write(path) has written of these tables; written once in a session, by the first query that needs it."""
+    key = (s.sparkContext.applicationId, d, name)
+    if key not in _stored:
+        path = f"{shared_dir(s)}/graph/{name}-{uuid.uuid4().hex}"
+        write(path)
+        _stored[key] = path
+    return _stored[key]
+
+
+def typed(s, d) -> str:
+    return stored(s, d, "registers", lambda path: L.write_registers(register_graph(s, d), path))
+
+
 def regs(s, d) -> DataFrame:
-    return L.registers(register_graph(s, d))
+    return L.read_registers(s, typed(s, d))
 
 
 def flds(s, d) -> DataFrame:
-    return L.fields(regs(s, d))
+    return L.read_fields(s, typed(s, d))
 
 
 def feature_graph(s, d) -> DataFrame:
@@ -88,7 +109,7 @@ def chunk_graph(s, d) -> DataFrame:
 
 @query(REG + "SELECT id, name, offset_hex FROM reg WHERE p_partkey = 42")
 def catalog_register_by_offset(s, d):
-    return GraphCatalog(register_graph(s, d), None).get_register_by_offset("0x2A").select("id", "name", "offset_hex")
+    return GraphCatalog(register_graph(s, d), None, typed=typed(s, d)).get_register_by_offset("0x2A").select("id", "name", "offset_hex")
 
 
 @query(REG + "SELECT reg.id, reg.name, class_id, (SELECT count(*) FROM fld WHERE register_id = reg.id)::INTEGER AS field_count FROM reg WHERE contains(lower(reg.name), 'ring')")
@@ -116,7 +137,7 @@ def catalog_field_by_id(s, d):
 
 @query(REG + "SELECT id, name FROM fld WHERE register_id = 'REG_2A' AND contains(lower(name), 'f_1') ORDER BY pos LIMIT 1")
 def catalog_field_by_name(s, d):
-    return GraphCatalog(register_graph(s, d), None).get_field_by_name("REG_2A", "F_1").select("id", "name")
+    return GraphCatalog(register_graph(s, d), None, typed=typed(s, d)).get_field_by_name("REG_2A", "F_1").select("id", "name")
 
 
 @query(REG + "SELECT register_id, min_by(id, pos) AS id FROM fld WHERE 13 BETWEEN bit_low AND bit_high GROUP BY register_id")
@@ -154,7 +175,7 @@ def catalog_register_classes(s, d):
     r = regs(s, d)
     classes = r.select(F.col("class_id").alias("id")).distinct().select("id", F.lit("REG_CLASS").alias("type"), F.col("id").alias("name"), F.lit(0).cast("long").alias("ord"))
     both = register_graph(s, d).unionByName(classes, allowMissingColumns=True)
-    return GraphCatalog(both, None).list_register_classes().select("id", "member_count", F.array_join("member_register_ids", ",").alias("members"))
+    return GraphCatalog(both, None, typed=typed(s, d)).list_register_classes().select("id", "member_count", F.array_join("member_register_ids", ",").alias("members"))
 
 
 # sections, tables, features
@@ -569,3 +590,35 @@ def versions_of_classes(s, d):
     rows = t(s, d, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("ord"), F.col("s_nationkey").cast("string").alias("1.00"), (F.col("s_suppkey") % 7).cast("string").alias("2.00"))
     found = E.class_versions(classes, rows, ["1.00", "2.00"])
     return found.select("class_id", F.col("version_support")["1.00"].alias("v1"), F.col("version_support")["2.00"].alias("v2"))
+
+
+# searches by a persisted index
+
+def indexed(s, d, name: str, rows: DataFrame, text, words=None) -> X.TextIndex:
+    return X.TextIndex(s, stored(s, d, name, lambda path: X.write_index(rows, text, path, words)))
+
+
+@query(Q.SQL["search_nodes"])
+def indexed_search_nodes(s, d):
+    nodes = Q.registers(s, d)
+    index = indexed(s, d, "nodes", nodes, F.concat_ws(" ", "name", "description", F.array_join("index_keywords", " ")), F.col("index_keywords"))
+    return X.search_nodes(index, nodes, "brass a 12 brass", 20).select("id", "score")
+
+
+@query(Q.SQL["search_keywords"])
+def indexed_search_keywords(s, d):
+    nodes = Q.registers(s, d)
+    index = indexed(s, d, "nodes", nodes, F.concat_ws(" ", "name", "description", F.array_join("index_keywords", " ")), F.col("index_keywords"))
+    return X.search_keywords(index, nodes, ["Brass", "SMALL"]).select("id", "score")
+
+
+@query(Q.SQL["search_text_excerpt"])
+def indexed_search_text(s, d):
+    c = Q.chunks(s, d)
+    return X.search_text(indexed(s, d, "chunks", c, F.col("full_text")), c, "full_text", "ation").select("id", F.col("position").cast("long").alias("position"), "excerpt")
+
+
+@query(CHK + "SELECT id FROM chk WHERE contains(lower(full_text), 'the ') ORDER BY ord LIMIT 7")
+def indexed_first_chunks(s, d):
+    c = Q.chunks(s, d)
+    return X.first_with_text(indexed(s, d, "chunks", c, F.col("full_text")), c, "The ", 7).select("id")
