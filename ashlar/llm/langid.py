@@ -29,6 +29,8 @@ WINDOW, DIM, FILTERS, WIDTHS = 192, 8, 8, (2, 3, 4)
 #: Different labelled texts of each language that the classifier is fitted on: those of the smallest hashes,
 #: so that copies count once. Of more labels than MAX_LANGS the most frequent ones are learned.
 SAMPLE_PER_LANG, MAX_LANGS = 500, 256
+#: A language's smallest hashes are sought in so many parts first, so that the last step reads PARTS * SAMPLE_PER_LANG rows of it at most.
+PARTS = 16
 #: Of each of these rows the classifier sees windows of so many characters, drawn by hash from the whole text.
 SAMPLE_WINDOWS = (192, 192, 48, 16)
 UND = "und"
@@ -54,8 +56,9 @@ def training_sample(docs: DataFrame, text: str, lang: str, usable, per_lang: int
     rows = docs.where(usable & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("lang")).where(letters(F.col("t")))
     hashed = rows.withColumn("h", F.xxhash64("t", F.lit(7)))
     each = hashed.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n"))  # copies are counted before they are shuffled
-    top = Window.partitionBy("lang").orderBy("h")
-    ranked, _ = write_table(each.withColumn("r", F.row_number().over(top)).where(F.col("r") <= per_lang).select("lang", "h"), "sample")
+    first = lambda df, *by: df.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("r") <= per_lang)
+    few = first(each.withColumn("part", F.pmod("h", F.lit(PARTS))), "lang", "part")  # however many tasks hold a language
+    ranked, _ = write_table(first(few, "lang").select("lang", "h"), "sample")
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     names = [r["lang"] for r in counts.collect()]
     if not names:
