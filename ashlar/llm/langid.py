@@ -33,6 +33,8 @@ SAMPLE_PER_LANG, MAX_LANGS = 500, 256
 PARTS = 16
 #: Of each of these rows the classifier sees windows of so many characters, drawn by hash from the whole text.
 SAMPLE_WINDOWS = (192, 192, 48, 16)
+#: Rows that become Python's at a time.
+SLICE = 1000
 UND = "und"
 
 
@@ -189,7 +191,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", carry: str
 
     def run(batches):
         use = Predictor(model)  # some 20 KB in the closure
-        for batch in batches:
+        for batch in (whole.slice(lo, SLICE) for whole in batches for lo in range(0, whole.num_rows, SLICE)):
             at = batch.schema.get_field_index(text)
             has = batch.column(batch.schema.get_field_index("__letters")).to_pylist()
             raw = batch.column(at).cast(pa.binary() if pa.types.is_string(batch.column(at).type) else pa.large_binary()).to_pylist()

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,12 +115,12 @@ class Encoder:
         return b"".join(map(self.raw.__getitem__, ids))[1:]
 
 
-def runs(texts: list, limit: int = RUN_CHARS):
-    """(first, how many) of consecutive texts of about `limit` characters together."""
-    lo, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
-        if held >= limit or i == len(texts) - 1:
+def runs(texts: pa.Array, limit: int = RUN_CHARS):
+    """(first, how many) of consecutive texts of about `limit` bytes together."""
+    lo, held, sizes = 0, 0, pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= limit or i == len(sizes) - 1:
             yield lo, i + 1 - lo
             lo, held = i + 1, 0
 
@@ -136,9 +137,10 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = DEFAULT_MODEL,
     def run(batches):
         use = Encoder(sent.value)
         for whole in batches:
-            everything = [t or "" for t in whole.column(whole.schema.get_field_index(text)).to_pylist()]
-            for lo, n in runs(everything):
-                batch, texts = whole.slice(lo, n), everything[lo : lo + n]
+            column = whole.schema.get_field_index(text)
+            for lo, n in runs(whole.column(column)):  # texts become Python's a run at a time
+                batch = whole.slice(lo, n)
+                texts = [t or "" for t in batch.column(column).to_pylist()]
                 ids = use.encode(texts)
                 back = [use.decode(x) for x in ids]
                 ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
