@@ -367,7 +367,7 @@ def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> dict:
         classes = tables.value["cls"]
         for batch in batches:
             raws = raw_texts(batch, text)
-            for lo, n in runs(raws, RUN_BYTES):
+            for lo, n in runs([len(r) for r in raws], RUN_BYTES):
                 numbers, counts, _ = words.texts(raws[lo : lo + n])
                 ids, _, sizes, _ = words.stream(numbers, counts)
                 trainer.learn(ids, classes[ids], sizes)
@@ -513,7 +513,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         lookup = attention_tables(params)
         for batch in batches:
             raws = raw_texts(batch, text)
-            for lo, n in runs(raws, RUN_BYTES):
+            for lo, n in runs([len(r) for r in raws], RUN_BYTES):
                 numbers, counts, flat = words.texts(raws[lo : lo + n])
                 _, _, base, known, *_ = words.flat()
                 begin = np.cumsum(counts) - counts

@@ -115,9 +115,9 @@ class Encoder:
         return b"".join(map(self.raw.__getitem__, ids))[1:]
 
 
-def runs(texts: pa.Array, limit: int = RUN_CHARS):
-    """(first, how many) of consecutive texts of about `limit` bytes together."""
-    lo, held, sizes = 0, 0, pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+def runs(sizes: list[int], limit: int = RUN_CHARS):
+    """(first, how many) of consecutive texts of these sizes, of about `limit` together."""
+    lo, held = 0, 0
     for i, size in enumerate(sizes):
         held += size
         if held >= limit or i == len(sizes) - 1:
@@ -138,7 +138,8 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = DEFAULT_MODEL,
         use = Encoder(sent.value)
         for whole in batches:
             column = whole.schema.get_field_index(text)
-            for lo, n in runs(whole.column(column)):  # texts become Python's a run at a time
+            sizes = pc.fill_null(pc.binary_length(whole.column(column)), 0).to_pylist()
+            for lo, n in runs(sizes):  # texts become Python's a run at a time
                 batch = whole.slice(lo, n)
                 texts = [t or "" for t in batch.column(column).to_pylist()]
                 ids = use.encode(texts)
