@@ -18,6 +18,7 @@ from ..operators import lookups as L
 from ..operators import overlap
 from ..operators import ranges as R
 from ..operators import text_index as X
+from ..operators import upkeep as U
 from ..operators.shared import shared_dir, written
 from . import queries as Q
 from .catalog import GraphCatalog
@@ -622,3 +623,28 @@ def indexed_search_text(s, d):
 def indexed_first_chunks(s, d):
     c = Q.chunks(s, d)
     return X.first_with_text(indexed(s, d, "chunks", c, F.col("full_text")), c, "The ", 7).select("id")
+
+
+# checks that follow changes
+
+@query(
+    "WITH n AS (SELECT 'P' || p_partkey AS id, CASE WHEN p_partkey % 50 = 0 THEN NULL ELSE p_name END AS name FROM part WHERE p_partkey % 97 <> 0 UNION ALL SELECT 'P' || p_partkey, '' FROM part WHERE p_partkey % 101 = 0 UNION ALL SELECT 'S' || s_suppkey, s_name FROM supplier WHERE s_suppkey % 40 <> 0), "
+    "e AS (SELECT 'P' || l_partkey AS a, 'S' || l_suppkey AS b FROM lineitem WHERE l_orderkey % 13 <> 0 UNION ALL SELECT 'P' || (l_partkey + 3), 'S' || l_suppkey FROM lineitem WHERE l_orderkey % 17 = 0), "
+    "c AS (SELECT id, sum(x) AS nodes, sum(u) AS unnamed, sum(s) AS sources, sum(t) AS targets FROM (SELECT id, 1 AS x, CASE WHEN coalesce(name, '') = '' THEN 1 ELSE 0 END AS u, 0 AS s, 0 AS t FROM n UNION ALL SELECT a, 0, 0, 1, 0 FROM e UNION ALL SELECT b, 0, 0, 0, 1 FROM e) GROUP BY id) "
+    "SELECT * FROM (SELECT id AS node_id, 'duplicate_id' AS \"check\", CAST(nodes - 1 AS BIGINT) AS n FROM c WHERE nodes > 1 UNION ALL SELECT id, 'missing_name', CAST(unnamed AS BIGINT) FROM c WHERE unnamed > 0 UNION ALL SELECT id, 'dangling_source', CAST(sources AS BIGINT) FROM c WHERE nodes = 0 AND sources > 0 UNION ALL SELECT id, 'dangling_target', CAST(targets AS BIGINT) FROM c WHERE nodes = 0 AND targets > 0 UNION ALL SELECT id, 'orphan', CAST(nodes AS BIGINT) FROM c WHERE sources + targets = 0 AND nodes > 0)"
+)
+def issues_after_changes(s, d):
+    """The issues of the graph of all parts, suppliers and line items, after nodes and edges have gone and come."""
+    p, sup, x = t(s, d, "part"), t(s, d, "supplier"), t(s, d, "lineitem")
+    key, node = F.col("p_partkey"), F.concat(F.lit("P"), "p_partkey").alias("id")
+    parts = p.select(node, F.when(key % 50 != 0, F.col("p_name")).alias("name"), key.alias("k"))
+    suppliers = sup.select(F.concat(F.lit("S"), "s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("k"))
+    edges = x.select(F.concat(F.lit("P"), "l_partkey").alias("source_node"), F.concat(F.lit("S"), "l_suppkey").alias("target_node"), F.col("l_orderkey").alias("k"), F.concat(F.lit("P"), F.col("l_partkey") + 3).alias("other"))
+    book = U.GraphCounts(s, f"{shared_dir(s)}/graph/counts-{uuid.uuid4().hex}")
+    book.add(parts.unionByName(suppliers), edges)
+    signed = lambda df, sign: df.withColumn("sign", F.lit(sign))
+    gone = signed(parts.where("k % 97 = 0").unionByName(suppliers.where("k % 40 = 0")), -1)
+    new = signed(p.where("p_partkey % 101 = 0").select(node, F.lit("").alias("name"), key.alias("k")), 1)
+    moved = signed(edges.where("k % 13 = 0"), -1).unionByName(signed(edges.where("k % 17 = 0").withColumn("source_node", F.col("other")), 1))
+    book.add(gone.unionByName(new), moved)
+    return book.issues().select("node_id", "check", "n")
