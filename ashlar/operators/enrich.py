@@ -6,6 +6,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,27 +27,35 @@ def model_for(attempt: int, models: tuple[str, ...]) -> str:
     return models[min(attempt, len(models) - 1)]
 
 
-def enriched(rows: DataFrame, prompt: Column, ask: Ask = stub, accept: Callable[[str], bool] = bool, attempts: int = 3, pause: float = 0.0) -> DataFrame:
+def enriched(rows: DataFrame, prompt: Column, ask: Ask = stub, accept: Callable[[str], bool] = bool, attempts: int = 3, rate: float | None = None, slots: int = 4, backoff: float = 0.0) -> DataFrame:
     """rows with answer, attempts, tokens_in, tokens_out and error (cut at 200 characters): each prompt is asked until an answer is
     accepted; what was wrong goes into the next attempt's prompt. After the last attempt the answer is null.
 
-    `pause`: seconds between two calls of a task, for rate limits. Rows pass through whatever their columns' names are."""
+    rate: calls a second over all tasks. Rows are dealt to so many partitions as there are slots, so that no more tasks call at once, and each of them
+    keeps a slot's share: its calls are slots / rate seconds apart, from a start of its own, so that slots don't call together. Speculative copies of a task
+    would call besides, so leave spark.speculation off. backoff: seconds to wait after the first call that raises, doubled after each further one.
+    Rows pass through whatever their columns' names are."""
     import pyarrow as pa
 
+    if rate is not None and (rate <= 0 or slots < 1):
+        raise ValueError("INVALID_PARAM: rate and slots must be above 0")
     held = rows.select(F.struct(*rows.columns).alias("row"), F.coalesce(prompt, F.lit("")).alias("prompt"))
+    if rate is not None:
+        held = held.repartition(slots)
     answer = pa.struct([("answer", pa.string()), ("attempts", pa.int32()), ("tokens_in", pa.int64()), ("tokens_out", pa.int64()), ("error", pa.string())])
 
-    def one(text: str) -> dict:
+    def one(text: str, wait: Callable[[], None]) -> dict:
         spent, given, error = 0, 0, None
         for attempt in range(attempts):
             asked = text if error is None else f"{text}\n\nThe last answer was not accepted: {error}"
             spent += len(asked.split())
-            if pause:
-                time.sleep(pause)
+            wait()
             try:
                 got = ask(asked, attempt)
             except Exception as e:  # whatever the injected function raises is its answer's error
                 error = f"{type(e).__name__}: {e}"[:200]
+                if attempt + 1 < attempts:
+                    time.sleep(backoff * 2**attempt)
                 continue
             given += len((got or "").split())
             if accept(got):
@@ -54,9 +63,25 @@ def enriched(rows: DataFrame, prompt: Column, ask: Ask = stub, accept: Callable[
             error = "not accepted"
         return {"answer": None, "attempts": attempts, "tokens_in": spent, "tokens_out": given, "error": error}
 
+    def turns() -> Callable[[], None]:
+        """Waits for this task's next turn."""
+        if rate is None:
+            return lambda: None
+        due = time.monotonic() + TaskContext.get().partitionId() % slots / rate
+
+        def wait() -> None:
+            nonlocal due
+            now = time.monotonic()
+            if due > now:
+                time.sleep(due - now)
+            due = max(due, now) + slots / rate  # turns that were missed are lost
+
+        return wait
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wait = turns()
         for batch in batches:
-            found = pa.array([one(p) for p in batch.column(1).to_pylist()], answer)
+            found = pa.array([one(p, wait) for p in batch.column(1).to_pylist()], answer)
             yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["row", "x"])
 
     fields = held.schema["row"].dataType.simpleString()
