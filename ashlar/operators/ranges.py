@@ -77,20 +77,54 @@ def last_start(values: DataFrame, value: str, starts: DataFrame, what: str) -> D
 
 
 def running_count(rows: DataFrame, group: str, order: str, opens: Column, name: str) -> DataFrame:
-    """rows with the number of rows of their group, up to and with themselves, where `opens` holds.
+    """rows with the number of rows of their group, up to and with themselves, where `opens` holds."""
+    return running_sum(rows, group, order, F.when(opens, 1).otherwise(0), name)
 
-    Rows are sorted over range partitions of (group, order). A partition counts by itself, and of all groups in it only its first can
-    have begun before it: what such groups have counted so far is one row a partition, and is sent to all."""
-    held = ranged(rows.withColumn("__open", F.when(opens, 1).otherwise(0)), [group, order], "groups")
+
+def running_sum(rows: DataFrame, group: str, order: str, value: Column, name: str) -> DataFrame:
+    """rows with the sum of an integer over the rows of their group, up to and with themselves.
+
+    Rows are sorted over range partitions of (group, order). A partition sums by itself, and of all groups in it only its first can
+    have begun before it: what such groups have summed so far is one row a partition, and is sent to all."""
+    held = ranged(rows.withColumn("__open", value), [group, order], "groups")
     inside = Window.partitionBy("__part", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     totals = held.groupBy(group, "__part").agg(F.sum("__open").alias("__n"))
     earlier = F.sum("__n").over(Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    carried = totals.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), earlier.alias("__before")).where("__before > 0")
+    carried = totals.select(F.col(group).alias("__g"), F.col("__part").alias("__p"), earlier.alias("__before")).where("__before <> 0")
     counted = held.withColumn("__local", F.sum("__open").over(inside))
     both = counted.join(F.broadcast(carried), (F.col("__part") == F.col("__p")) & F.col(group).eqNullSafe(F.col("__g")), "left")
     return both.withColumn(name, F.col("__local") + F.coalesce("__before", F.lit(0))).drop("__open", "__part", "__local", "__g", "__p", "__before")
 
 
+def entered_state(rows: DataFrame, group: str, order: str, after_0: Column, after_1: Column, name: str) -> DataFrame:
+    """rows with the state, 0 or 1, in which their group enters them; it begins in 0. A row entered in 0 leaves in after_0, in 1 in after_1.
+
+    A row keeps the state, turns it, or sets it; a range partition of (group, order) composes its rows to one such step a group, so that what
+    is carried from partition to partition is one row a partition, and is sent to all."""
+    held = ranged(rows.withColumns({"__a": after_0.cast("int"), "__b": after_1.cast("int")}), [group, order], "states")
+    local = stepped(held, ["__part", group], order)
+    left = lambda state: (F.coalesce("__set", F.lit(state)) + F.col("__turns")) % 2  # noqa: E731  by the steps so far
+    ends = local.groupBy(group, "__part").agg(F.max_by(left(0), order).alias("__a"), F.max_by(left(1), order).alias("__b"))
+    carry = stepped(ends, [group], "__part").select(F.col(group).alias("__g"), F.col("__part").alias("__p"), entered([group], "__part", F.lit(0)).alias("__carry")).where("__carry <> 0")
+    both = local.withColumn("__e", entered(["__part", group], order, F.lit(None).cast("int"))).withColumn("__t", F.coalesce(F.lag("__turns").over(Window.partitionBy("__part", group).orderBy(order)), F.lit(0)))
+    met = both.join(F.broadcast(carry), (F.col("__part") == F.col("__p")) & F.col(group).eqNullSafe(F.col("__g")), "left")
+    state = F.coalesce("__e", (F.coalesce("__carry", F.lit(0)) + F.col("__t")) % 2)
+    return met.withColumn(name, state.cast("int")).drop("__a", "__b", "__part", "__turns", "__set", "__e", "__t", "__g", "__p", "__carry")
+
+
+def stepped(rows: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """rows with __turns, how often the state was turned so far, and __set, what the last row that set it has set, less the turns by then; null if none has."""
+    upto = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    turned = rows.withColumn("__turns", F.sum(F.when(F.col("__a") > F.col("__b"), 1).otherwise(0)).over(upto))
+    return turned.withColumn("__set", F.last(F.when(F.col("__a") == F.col("__b"), (F.col("__a") + F.col("__turns")) % 2), ignorenulls=True).over(upto))
+
+
+def entered(groups: list[str], order: str, start: Column) -> Column:
+    """The state that a row of stepped() is entered in, if its group begins in `start`; null where that is null and nothing has set the state."""
+    before = Window.partitionBy(*groups).orderBy(order)
+    return (F.coalesce(F.lag("__set").over(before), start) + F.coalesce(F.lag("__turns").over(before), F.lit(0))) % 2
+
+
 def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """rows with their place, from 0, in the order of keys: each range partition numbers its own, after the counts of those before it."""
     held = ranged(rows, keys, "numbered")

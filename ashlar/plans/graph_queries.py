@@ -20,6 +20,7 @@ from ..operators import ranges as R
 from ..operators import text_index as X
 from ..operators import upkeep as U
 from ..operators.shared import shared_dir, written
+from ..sources import export, large
 from . import queries as Q
 from .catalog import GraphCatalog
 from .queries import CHK, query, t
@@ -625,6 +626,26 @@ def indexed_first_chunks(s, d):
     return X.first_with_text(indexed(s, d, "chunks", c, F.col("full_text")), c, "The ", 7).select("id")
 
 
+# files that no task holds
+
+@query("SELECT doc_id, source, length(x) AS n_chars, md5(x) AS digest FROM (SELECT doc_id, source, regexp_replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), '^\\s+|\\s+$', '', 'g') AS x FROM documents)")
+def documents_through_csv(s, d):
+    """All documents, written as CSV with quoted line ends, read back."""
+    rows = t(s, d, "documents").select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    path = stored(s, d, "csv", lambda path: rows.write.options(quoteAll=True, escape='"').csv(path))
+    cell = F.get("cells", F.lit(2))
+    return large.read_csv_rows(s, path).select(F.get("cells", F.lit(0)).cast("long").alias("doc_id"), F.get("cells", F.lit(1)).alias("source"), F.length(cell).cast("long").alias("n_chars"), F.md5(cell).alias("digest"))
+
+
+@query("SELECT 'node' AS kind, 'P' || p_partkey AS id, p_name AS text, CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS BIGINT) AS ord FROM part UNION ALL SELECT 'relation', 'O' || o_orderkey, 'P' || (o_orderkey % 1000), CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) FROM orders")
+def graph_through_document(s, d):
+    """A graph of all parts and orders, written as one JSON document, read back."""
+    nodes = t(s, d, "part").select(F.concat(F.lit("P"), "p_partkey").alias("id"), F.lit("PART").alias("type"), F.col("p_name").alias("name"), F.create_map(F.lit("}"), F.col("p_brand")).alias("extras"), F.col("p_partkey").alias("ord"))
+    edges = t(s, d, "orders").select(F.concat(F.lit("O"), "o_orderkey").alias("id"), F.lit("HAS").alias("type"), F.concat(F.lit("P"), F.col("o_orderkey") % 1000).alias("source_node"), F.col("o_orderkey").alias("ord"))
+    got = large.read_large_graph(s, stored(s, d, "document", lambda path: export.write_single(nodes, edges, path)))
+    return got[0].select(F.lit("node").alias("kind"), "id", F.col("name").alias("text"), "ord").unionByName(got[1].select(F.lit("relation").alias("kind"), "id", F.col("source_node").alias("text"), "ord"))
+
+
 # checks that follow changes
 
 @query(

@@ -6,7 +6,7 @@ import csv
 import io
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NODE = (
@@ -32,11 +32,15 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return nodes, relations.withColumn("bidirectional", F.coalesce("bidirectional", F.lit(False)))
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """(name, content): whole files by their stem; separators of either kind."""
+def stem() -> Column:
+    """The name of the file that a row was read from, without its ending; separators of either kind."""
     named = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # as it stands in the folder
-    stem = F.regexp_extract(F.regexp_replace(named, r"\\", "/"), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return spark.read.text(path, wholetext=True).select(stem.alias("name"), F.col("value").alias("content"))
+    return F.regexp_extract(F.regexp_replace(named, r"\\", "/"), r"([^/]+?)(?:\.[^./]*)?$", 1)
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(name, content): whole files by their stem."""
+    return spark.read.text(path, wholetext=True).select(stem().alias("name"), F.col("value").alias("content"))
 
 
 def csv_rows(texts: DataFrame) -> DataFrame:
