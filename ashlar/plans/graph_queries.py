@@ -21,6 +21,8 @@ from ..operators import text_index as X
 from ..operators import upkeep as U
 from ..operators.shared import shared_dir, written
 from ..sources import export, large
+from ..sources.config import Config
+from . import build as B
 from . import queries as Q
 from .catalog import GraphCatalog
 from .queries import CHK, query, t
@@ -626,6 +628,35 @@ def indexed_first_chunks(s, d):
     return X.first_with_text(indexed(s, d, "chunks", c, F.col("full_text")), c, "The ", 7).select("id")
 
 
+# from parts to a published graph
+
+@query(
+    "WITH reg AS (SELECT p_partkey, p_brand, p_size FROM part), fld AS (SELECT l_returnflag || l_linestatus || '_' || l_suppkey AS name FROM lineitem JOIN reg ON l_partkey = p_partkey) "
+    "SELECT 'nodes' AS what, 'REGISTER' AS kind, count(*) AS n FROM reg UNION ALL SELECT 'nodes', 'REG_CLASS', count(DISTINCT p_brand) FROM reg UNION ALL SELECT 'nodes', 'FEATURE', count(*) FROM nation UNION ALL SELECT 'nodes', 'ALL', (SELECT count(*) + count(DISTINCT p_brand) FROM reg) + (SELECT count(*) FROM nation) "
+    "UNION ALL SELECT 'relations', 'BELONGS_TO', count(*) FROM reg UNION ALL SELECT 'relations', 'DEFINED_BY', count(*) FROM reg UNION ALL SELECT 'relations', 'PART_OF', count(*) FROM nation WHERE n_regionkey <> n_nationkey UNION ALL SELECT 'relations', 'ALL', (SELECT 2 * count(*) FROM reg) + (SELECT count(*) FROM nation WHERE n_regionkey <> n_nationkey) "
+    "UNION ALL SELECT * FROM (SELECT 'error', 'zero_fields', count(*) AS n FROM reg WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)) WHERE n > 0 UNION ALL SELECT * FROM (SELECT 'error', 'field_name_length', count(*) AS n FROM fld WHERE length(name) > 5) WHERE n > 0 UNION ALL SELECT * FROM (SELECT 'error', 'dangling_target', count(*) AS n FROM reg) WHERE n > 0"
+)
+def built_graph(s, d):
+    """The graph of all parts as registers, brands as classes and nations as features, published and read back: its nodes and edges by type, the issues of
+    configured rules, and edges to tables, which are none of its parts."""
+    made = written(register_rows(s, d).withColumn("spec_section", F.lit(None).cast("string")), "registers")
+    named = t(s, d, "part").groupBy("p_brand").agg(F.min("p_partkey").alias("ord"))
+    span = [F.lit("0h").alias("address_start"), F.lit("FFh").alias("address_end"), F.create_map(F.lit("1.00"), F.lit("Yes")).alias("version_support")]
+    classes = named.select(F.concat(F.lit("REGCLASS_"), "p_brand").alias("id"), "ord", F.col("p_brand").alias("name"), *span)
+    key, none = F.col("n_nationkey"), F.array().cast("array<string>")
+    owner = F.when(F.col("n_regionkey") != key, F.concat(F.lit("N"), "n_regionkey"))
+    features = t(s, d, "nation").select(F.concat(F.lit("N"), key).alias("id"), key.alias("ord"), F.col("n_name").alias("name"), F.lit("").alias("description"), F.lit("P1").alias("priority"), owner.alias("parent_id"), *[none.alias(k) for k in ("groups", "figures", "tables", "registers", "spec_sections")])
+    rules = [{"check": "zero_fields", "severity": "error"}, {"check": "field_name_length", "max_chars": 5}, {"check": "missing_bits", "severity": "warning"}]
+    config = Config({"validation": {"enabled": True, "checks": {"registers": {"enabled": True, "rules": rules}}}})
+    parts = B.Parts(registers=made, classes=classes, features=features)
+    root = f"{shared_dir(s)}/graph/built-{uuid.uuid4().hex}"
+    B.save(*B.graph(parts, config), root)
+    nodes, relations = B.load(s, root)
+    counts = A.statistics(nodes, relations).select("what", F.col("type").alias("kind"), F.col("count").alias("n"))
+    found = B.configured_checks(config, parts).select("severity", "check").unionByName(G.validate(nodes, relations).select("severity", "check"))
+    return counts.unionByName(found.groupBy(F.col("severity").alias("what"), F.col("check").alias("kind")).agg(F.count(F.lit(1)).alias("n")))
+
+
 # files that no task holds
 
 @query("SELECT doc_id, source, length(x) AS n_chars, md5(x) AS digest FROM (SELECT doc_id, source, regexp_replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), '^\\s+|\\s+$', '', 'g') AS x FROM documents)")
