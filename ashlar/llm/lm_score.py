@@ -7,14 +7,18 @@ training words; from these all counts of pieces, of pairs of pieces within words
 The attention layer reads embeddings of the subword ids themselves and their positions. Its output softmax is factored by
 classes: the most frequent pieces have one each, the others share some, and a piece has its share of its class. It stands on
 top of the corpus's class bigrams. With Z the attention's distribution over classes and S its share of those that begin a word
-or end the text, the model is, with a weight m of the pair counts,
+or end the text, a word that is spelled has, with a weight m of the pair counts,
 
 - where a word begins: P(id) = m * P(id begins a word, or the text ends) + (1 - m) * Z(class) / S * P(id | class),
 - inside a word: P(id) = m * P(id | piece before) + (1 - m) * Z(class) * P(id | class),
 - and the word ends with m * P(end | piece before) + (1 - m) * S.
 
-Each of these distributions sums to 1. A word's probability is the product of its pieces' and of its end's, mixed with its share
-of all training words. The three weights are parameters (MIX), the same for every corpus.
+Pair counts here are counts of different words, as it is new words that must be spelled. A word that is known has
+Z(class) / S * P(word | class), with the class of its first piece and its share of that class's training words; the text's end is a word of its own
+class. Both are mixed with the weights MIX. All these distributions sum to 1 (that of known words where each class has training words).
+
+Word starts that share a class are grouped by their company: after the first round of training, k-means of how often each piece
+stands near each of the most frequent word starts. So a class tells a text's language and subject, and the attention finds it in the ids before.
 
 The layer is trained with Adam where the data are: in each round every task trains
 on its share of the training documents (each document in one of the rounds, whole), and the tasks' weights are averaged by a tree
@@ -45,17 +49,19 @@ from pyspark.sql import functions as F
 from .common import write_table
 from .pieces import DEFAULT_MODEL, runs
 
-DIM, CONTEXT, SPAN, CLASSES = 8, 16, 16, 64
+DIM, CONTEXT, SPAN, CLASSES = 8, 16, 16, 48
 LENGTH = CONTEXT + SPAN
 END = CLASSES - 1  # a class; as inputs only there are, after all pieces, the start of a text and what stands for no id
 ROUNDS, SLICES, RATE, FAN, BATCH = 2, 32, 0.01, 32, 256
-#: Weights of the pair counts inside words and at their beginnings, and of a word's share of all training words.
-MIX = (0.7, 0.7, 0.9)
+#: Weights of the pair counts inside words and at their beginnings, and of the words that are known, held to KNOWN (None: one
+#: less the share of the training tokens that occur once, an estimate of how often a word is new).
+MIX, KNOWN = (0.7, 0.7, None), (0.05, 0.99)
 #: Words and piece pairs that scoring tasks hold: the most frequent ones.
 HOT, PAIRS = 120_000, 400_000
 KEEP_WORDS, KEEP_IDS, FLUSH, RUN_BYTES = 300_000, 2_000_000, 200_000, 1_000_000
-SINGLE_STARTS, SINGLE_INNER, GROUP_STARTS, GROUP_INNER = 24, 20, 9, 10
+SINGLE_STARTS, SINGLE_INNER, GROUP_STARTS, GROUP_INNER = 16, 4, 24, 3
 STARTS = SINGLE_STARTS + GROUP_STARTS  # the first classes are those of word starts
+REACH = 3  # words on each side whose classes make a word start's company
 
 
 def raw_texts(batch, name: str) -> list[bytes]:
@@ -109,15 +115,16 @@ class Subwords:
 
 
 def piece_pairs(counts: DataFrame, sent) -> DataFrame:
-    """(a, b, n): how often piece b follows a within words; a = -1: b starts a word; b = -1: a ends one."""
+    """(a, b, n, t): how often piece b follows a within words, and in how many different words; a = -1: b starts a word; b = -1: a ends one."""
 
     def run(batches):
         use = Subwords(sent.value)
         held: dict[int, int] = {}
+        kinds: dict[int, int] = {}
 
         def flush():
             keys = np.fromiter(held.keys(), dtype=np.int64, count=len(held))
-            return pa.RecordBatch.from_arrays([pa.array((keys >> 20).astype(np.int32) - 1), pa.array((keys & 0xFFFFF).astype(np.int32) - 1), pa.array(list(held.values()), pa.int64())], names=["a", "b", "n"])
+            return pa.RecordBatch.from_arrays([pa.array((keys >> 20).astype(np.int32) - 1), pa.array((keys & 0xFFFFF).astype(np.int32) - 1), pa.array(list(held.values()), pa.int64()), pa.array(list(kinds.values()), pa.int64())], names=["a", "b", "n", "t"])
 
         for batch in batches:
             tokens, ns = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -126,15 +133,17 @@ def piece_pairs(counts: DataFrame, sent) -> DataFrame:
                 for i in (*ids, -1):
                     key = before << 20 | i + 1
                     held[key] = held.get(key, 0) + n
+                    kinds[key] = kinds.get(key, 0) + 1  # the same keys in the same order
                     before = i + 1
             if len(held) >= FLUSH:
                 yield flush()
                 held.clear()
+                kinds.clear()
         if held:
             yield flush()
 
-    parts = counts.where("token <> ''").select("token", "c").mapInArrow(run, "a int, b int, n long")
-    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    parts = counts.where("token <> ''").select("token", "c").mapInArrow(run, "a int, b int, n long, t long")
+    return parts.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
 def classes_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -153,6 +162,41 @@ def classes_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return found
 
 
+def company(kinds: np.ndarray, firsts: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """A key (piece * SINGLE_STARTS + class) for each word of a single class within REACH words of a word's first piece.
+
+    kinds, firsts, texts: each word's class, its first piece, and which text it stands in."""
+    keys = []
+    for d in range(1, REACH + 1):
+        same = texts[d:] == texts[:-d]
+        for piece, near in ((firsts[d:], kinds[:-d]), (firsts[:-d], kinds[d:])):
+            take = same & (near < SINGLE_STARTS)
+            keys.append(piece[take] * SINGLE_STARTS + near[take])
+    return np.concatenate(keys)
+
+
+def regrouped(cls: np.ndarray, starts: np.ndarray, near: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """The classes, with the grouped word starts grouped anew by their company: k-means of its square roots, each piece with
+    the weight of its company. near: pieces x SINGLE_STARTS. Pieces without company stay where they are."""
+    found, weight = cls.copy(), near.sum(1)
+    ids = np.flatnonzero(starts & (cls >= SINGLE_STARTS) & (cls < STARTS) & (weight > 0))
+    ids = ids[np.lexsort((ids, -weight[ids]))]
+    if len(ids) < GROUP_STARTS:
+        return found
+    x, w = np.sqrt((near[ids] + 0.5 * near.sum(0) / near.sum()) / (weight[ids] + 0.5)[:, None]), weight[ids]
+    centres, far = x[:1], np.full(len(ids), np.inf)
+    while len(centres) < GROUP_STARTS:  # next the piece that is farthest from all centres, by distance and weight
+        far = np.minimum(far, ((x - centres[-1]) ** 2).sum(1))
+        centres = np.concatenate([centres, x[[np.argmax(far * w)]]])
+    for _ in range(rounds):
+        group = np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
+        mass = np.bincount(group, w, GROUP_STARTS)
+        sums_ = np.stack([np.bincount(group, w * x[:, j], GROUP_STARTS) for j in range(x.shape[1])], axis=1)
+        centres = np.where(mass[:, None] > 0, sums_ / np.maximum(mass, 1e-9)[:, None], centres)
+    found[ids] = SINGLE_STARTS + group
+    return found
+
+
 def initial(bigrams: np.ndarray, inputs: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
     """The layer as training begins. bigrams: log-probabilities of classes after each input class; inputs: the input class of each id."""
     rng = np.random.default_rng(seed)
@@ -325,8 +369,8 @@ class Words:
         return self.arrays
 
     def log_share(self, c: np.ndarray) -> np.ndarray:
-        """Natural logarithm of a word's share of the training words; very low where it is not known here."""
-        return np.log(np.maximum(c / max(1, self.t["n"]), 1e-300))
+        """Natural logarithm of a word's count in the training words; very low where it is not known here."""
+        return np.log(np.maximum(c, 1e-300))
 
     def share_of(self, numbers: np.ndarray) -> np.ndarray:
         return self.arrays[4][numbers]
@@ -356,8 +400,8 @@ class Words:
         return self.arrays[5][at], at, per_text, ends - n
 
 
-def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> dict:
-    """One round: each task trains on its rows; weights are averaged by a tree of merges."""
+def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> tuple[dict, DataFrame]:
+    """One round: each task trains on its rows; weights are averaged by a tree of merges. And the word starts' company (k, n)."""
     names = sorted(k for k in params if k not in (*FIXED, "e"))
     shapes = {k: params[k].shape for k in names}
     sent, many = docs.sparkSession.sparkContext.broadcast(params), len(params["inputs"])
@@ -365,20 +409,26 @@ def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> dict:
     def run(batches):
         words, trainer = Words(vocabulary.value, tables.value), Trainer(sent.value)
         classes = tables.value["cls"]
+        near = np.zeros((many - 1) * SINGLE_STARTS, dtype=np.int64)
         for batch in batches:
             raws = raw_texts(batch, text)
             for lo, n in runs([len(r) for r in raws], RUN_BYTES):
                 numbers, counts, _ = words.texts(raws[lo : lo + n])
-                ids, _, sizes, _ = words.stream(numbers, counts)
+                ids, _, sizes, starts = words.stream(numbers, counts)
                 trainer.learn(ids, classes[ids], sizes)
+                near += np.bincount(company(classes[ids[starts]], ids[starts], np.repeat(np.arange(n), counts)), minlength=len(near))
         if trainer.seen:
             row = np.concatenate([trainer.seen * np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64), (trainer.p["e"] * trainer.met[:, None]).ravel(), trainer.met])
-            yield pa.RecordBatch.from_arrays([pa.array([float(trainer.seen)]), pa.ListArray.from_arrays(pa.array([0, len(row)], pa.int32()), pa.array(row))], names=["w", "v"])
+            whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a))
+            held = np.flatnonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array([float(trainer.seen)]), whole(row), whole(held), whole(near[held])], names=["w", "v", "k", "n"])
 
-    parts, _ = write_table(docs.select(text).mapInArrow(run, "w double, v array<double>").withColumn("part", F.spark_partition_id()), "weights")
+    made, _ = write_table(docs.select(text).mapInArrow(run, "w double, v array<double>, k array<long>, n array<long>").withColumn("part", F.spark_partition_id()), "weights")
+    met = made.select(F.explode(F.arrays_zip("k", "n")).alias("x")).groupBy("x.k").agg(F.sum("x.n").alias("n"))
+    parts = made.select("w", "v", "part")
     left = parts.agg(F.max("part")).first()[0]
     if left is None:
-        return params
+        return params, met
     left += 1
 
     def merge(pdf):
@@ -395,9 +445,9 @@ def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> dict:
         n = int(np.prod(shapes[k]))
         found[k] = (row[at : at + n] / total).reshape(shapes[k]).astype(np.float32)
         at += n
-    e, met = row[at : at + many * DIM].reshape(many, DIM), row[at + many * DIM :]
-    found["e"] = np.where(met[:, None] > 0, e / np.maximum(met, 1)[:, None], params["e"]).astype(np.float32)
-    return found
+    e, times = row[at : at + many * DIM].reshape(many, DIM), row[at + many * DIM :]
+    found["e"] = np.where(times[:, None] > 0, e / np.maximum(times, 1)[:, None], params["e"]).astype(np.float32)
+    return found, met
 
 
 def attention_tables(p: dict):
@@ -456,49 +506,67 @@ def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes
     return found, opens
 
 
-def fit(docs: DataFrame, text: str, slice_of, model_path: str = DEFAULT_MODEL, mix: tuple[float, float, float] = MIX):
-    """Counts table, totals, and what the scoring tasks need. docs: the training documents; slice_of: their slice."""
-    spark = docs.sparkSession
-    counts, _ = write_table(word_counts(docs, text), "counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    with open(model_path, "rb") as f:
-        proto = f.read()
-    vocabulary, subwords = spark.sparkContext.broadcast(proto), Subwords(proto)
-    pairs, _ = write_table(piece_pairs(counts, vocabulary), "pairs")
-    unigrams = np.zeros(subwords.size)
-    for r in pairs.where("b >= 0").groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most one row a piece
-        unigrams[r["b"]] = r["n"]
-    cls = classes_of(subwords.starts(), unigrams)
+def class_tables(pairs: DataFrame, cls: np.ndarray, unigrams: np.ndarray, texts: int, end_p: float) -> tuple[dict, dict]:
+    """What goes by the classes of pieces: shares and counts for the scoring tasks, and the layer as training begins."""
+    spark = pairs.sparkSession
     mass = np.bincount(cls, unigrams + 0.5, minlength=CLASSES)
     inner = ((unigrams + 0.5) / mass[cls]).astype(np.float32)
-    texts = (counts.where("token = ''").first() or [None, 0])[1]
-    words = n - texts
-    end_p = (texts + 0.5) / (n + 1)
     mapped = spark.createDataFrame([(int(i), int(c)) for i, c in enumerate(cls)] + [(-1, -1)], "i int, c int")  # one row a piece
     at, to = F.broadcast(mapped.withColumnsRenamed({"i": "a", "c": "ca"})), F.broadcast(mapped.withColumnsRenamed({"i": "b", "c": "cb"}))
     table = np.zeros((CLASSES + 1, CLASSES + 1))  # the last row: word starts; the last column: word ends
     for r in pairs.join(at, "a").join(to, "b").groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
         table[r["ca"], r["cb"]] = r["n"]
+    class_words = table[CLASSES, :CLASSES].copy()  # training words by the class of their first piece; the ends of texts
+    class_words[END] = texts
     start = (table[CLASSES, :CLASSES] + 0.01) / (table[CLASSES, :CLASSES] + 0.01).sum() * (1 - end_p)
     start[END] = end_p
     start /= start.sum()
     joint = table[:CLASSES, :CLASSES] + table[:CLASSES, CLASSES][:, None] * start[None] + 0.5 * start[None]
     rows = np.concatenate([joint / joint.sum(1, keepdims=True), start[None], np.full((1, CLASSES), 1 / CLASSES)])
     inputs = np.concatenate([cls, [CLASSES, CLASSES + 1]])  # of the start of a text, and of no id
-    params = initial(np.log(np.maximum(rows, 1e-12)), inputs)
+    known = {"cls": np.append(cls, END), "inner": np.append(inner, np.float32(1)), "class_words": np.log(np.maximum(class_words, 1))}
+    return known, initial(np.log(np.maximum(rows, 1e-12)), inputs)
+
+
+def fit(docs: DataFrame, text: str, slice_of, model_path: str = DEFAULT_MODEL, mix: tuple[float, float, float | None] = MIX):
+    """Counts table, totals, and what the scoring tasks need. docs: the training documents; slice_of: their slice."""
+    spark = docs.sparkSession
+    counts, _ = write_table(word_counts(docs, text), "counts")
+    n, v, once = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count(F.when(F.col("c") == 1, 1))).first()
+    mix = (*mix[:2], float(np.clip(1 - once / max(1, n), *KNOWN)) if mix[2] is None else mix[2])
+    with open(model_path, "rb") as f:
+        proto = f.read()
+    vocabulary, subwords = spark.sparkContext.broadcast(proto), Subwords(proto)
+    pairs, _ = write_table(piece_pairs(counts, vocabulary), "pairs")
+    unigrams = np.zeros(subwords.size)
+    for r in pairs.where("b >= 0").groupBy("b").agg(F.sum("n").alias("n")).collect():  # at most one row a piece
+        unigrams[r["b"]] = r["n"]
+    texts = (counts.where("token = ''").first() or [None, 0])[1]
+    end_p = (texts + 0.5) / (n + 1)
+    cls = classes_of(subwords.starts(), unigrams)
+    known, params = class_tables(pairs, cls, unigrams, texts, end_p)
     hot = counts.orderBy(F.desc("c"), "token").limit(HOT).collect()  # HOT rows
-    before = pairs.where("b >= 0 OR a >= 0").groupBy("a").agg(F.sum("n").alias("total"))
+    before = pairs.where("b >= 0 OR a >= 0").groupBy("a").agg(F.sum("t").alias("total"))
     shares = pairs.where("b >= 0").join(F.broadcast(before), "a")  # totals: one row a piece
-    key, p = (F.col("a") + 1).cast("long") * 1048576 + F.col("b") + 1, F.when(F.col("a") < 0, 1 - end_p).otherwise(1.0) * F.col("n") / F.col("total")
-    top = shares.orderBy(F.desc("n"), "a", "b").limit(PAIRS).select(key.alias("k"), p.alias("p")).orderBy("k").toPandas()
+    key, p = (F.col("a") + 1).cast("long") * 1048576 + F.col("b") + 1, F.when(F.col("a") < 0, 1 - end_p).otherwise(1.0) * F.col("t") / F.col("total")
+    top = shares.orderBy(F.desc("t"), "a", "b").limit(PAIRS).select(key.alias("k"), p.alias("p")).orderBy("k").toPandas()
     ends = np.zeros(subwords.size + 1, np.float32)
-    for r in pairs.where("b = -1").join(F.broadcast(before), "a").select("a", (F.col("n") / F.col("total")).alias("p")).collect():  # at most one row a piece
+    for r in pairs.where("b = -1").join(F.broadcast(before), "a").select("a", (F.col("t") / F.col("total")).alias("p")).collect():  # at most one row a piece
         ends[r["a"]] = r["p"]
-    tables = {"cls": np.append(cls, END), "inner": np.append(inner, np.float32(1)), "ends": ends, "pair_keys": top["k"].to_numpy(np.int64), "pair_p": top["p"].to_numpy(np.float32), "end_p": float(end_p), "hot": [r["token"].encode() for r in hot], "hot_c": np.array([r["c"] for r in hot], dtype=np.int64), "n": int(n)}
-    sent = spark.sparkContext.broadcast(tables)
+    tables = known | {"ends": ends, "pair_keys": top["k"].to_numpy(np.int64), "pair_p": top["p"].to_numpy(np.float32), "end_p": float(end_p), "hot": [r["token"].encode() for r in hot], "hot_c": np.array([r["c"] for r in hot], dtype=np.int64)}
     for r in range(ROUNDS):
-        params = train(docs.where(F.coalesce(slice_of, F.lit(0)) % ROUNDS == r), text, params, vocabulary, sent)
-    return {"counts": counts, "pairs": shares.select(key.alias("k"), p.alias("p")), "n": int(n), "v": int(v), "words": int(words), "params": params, "mix": np.array(mix), "vocabulary": vocabulary, "tables": sent}
+        sent = spark.sparkContext.broadcast(tables)
+        params, met = train(docs.where(F.coalesce(slice_of, F.lit(0)) % ROUNDS == r), text, params, vocabulary, sent)
+        if r == 0:  # the classes of the other rounds go by the company that word starts have in this one
+            near = np.zeros((subwords.size + 1, SINGLE_STARTS))
+            for x in met.collect():  # at most one row a word start and single class
+                near[divmod(x["k"], SINGLE_STARTS)] = x["n"]
+            cls = regrouped(cls, subwords.starts(), near[:-1])
+            known, fresh = class_tables(pairs, cls, unigrams, texts, end_p)
+            tables, moved = tables | known, slice(SINGLE_STARTS, STARTS)
+            params = params | {k: fresh[k] for k in FIXED} | {"o": np.concatenate([params["o"][:, : moved.start], fresh["o"][:, moved], params["o"][:, moved.stop :]], axis=1)}
+    sent = spark.sparkContext.broadcast(tables)
+    return {"counts": counts, "pairs": shares.select(key.alias("k"), p.alias("p")), "n": int(n), "v": int(v), "words": int(n - texts), "params": params, "mix": np.array(mix), "vocabulary": vocabulary, "tables": sent}
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -527,6 +595,8 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 other = (1 - m) * (found / np.where(first, np.maximum(opens, 1e-30), 1) * t["inner"][ids])
                 lack = pair < 0
                 spelled = np.add.reduceat(np.where(lack, 0.0, np.log(np.maximum(m * pair + other, 1e-300))), starts)
+                kind = t["cls"][ids[starts]]  # what the layer expects of a word that is known: its class here, by the class's words
+                due = np.log(np.maximum(found[starts] / np.maximum(opens[starts], 1e-30), 1e-300)) - t["class_words"][kind]
                 inner_words = np.ones(len(starts), dtype=bool)
                 inner_words[begin + counts - 1] = False  # the ends of texts
                 after = starts[np.flatnonzero(inner_words) + 1]  # where the next word begins
@@ -535,16 +605,16 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 rare = state < 0
                 late = rare | (lacks > 0)
                 by_word = spelled + np.log(1 - mix[2])
-                total = np.add.reduceat(np.where(late, 0.0, np.logaddexp(by_word, words.share_of(numbers) + np.log(mix[2]))), begin) * np.log10(np.e)
+                total = np.add.reduceat(np.where(late, 0.0, np.logaddexp(by_word, words.share_of(numbers) + due + np.log(mix[2]))), begin) * np.log10(np.e)
                 ends = np.concatenate([[0], np.cumsum(np.add.reduceat(late.astype(np.int32), begin))]).astype(np.int32)
                 here = np.flatnonzero(late)
                 at = np.concatenate([[0], np.cumsum(lacks[here])]).astype(np.int32)
                 pieces = pa.StructArray.from_arrays([pa.array(keys[lack]), pa.array(m[lack]), pa.array(other[lack].astype(np.float64))], names=["k", "m", "o"])
                 each = [
                     pa.array([flat[i] for i in here.tolist()], pa.binary()).cast(pa.string(), safe=False), pa.array(rare[here]), pa.array(spelled[here]),
-                    pa.array(words.share_of(numbers)[here]), pa.ListArray.from_arrays(pa.array(at), pieces),
+                    pa.array(words.share_of(numbers)[here]), pa.array(due[here]), pa.ListArray.from_arrays(pa.array(at), pieces),
                 ]
-                cold = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(each, names=["token", "rare", "spelled", "share", "pieces"]))
+                cold = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(each, names=["token", "rare", "spelled", "share", "due", "pieces"]))
                 part = batch.slice(lo, n)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -555,7 +625,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 )
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    schema = (fields + ", " if fields else "") + "__rid long, n_tokens long, __known long, n_ids long, __base double, score double, __cold array<struct<token:string,rare:boolean,spelled:double,share:double,pieces:array<struct<k:long,m:double,o:double>>>>"
+    schema = (fields + ", " if fields else "") + "__rid long, n_tokens long, __known long, n_ids long, __base double, score double, __cold array<struct<token:string,rare:boolean,spelled:double,share:double,due:double,pieces:array<struct<k:long,m:double,o:double>>>>"
     found, _ = write_table(docs.withColumn("__rid", F.monotonically_increasing_id()).mapInArrow(run, schema), "scored")
     late = found.select("__rid", F.posexplode("__cold").alias("__w", "x")).select("__rid", "__w", "x.*")
     ask = late.select("__rid", "__w", F.explode("pieces").alias("x")).select("__rid", "__w", "x.*").join(model["pairs"], "k", "left")
@@ -563,7 +633,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     late = late.drop("pieces").join(ask, ["__rid", "__w"], "left").join(model["counts"].select("token", "c"), "token", "left")
     counted = F.col("rare") & F.col("c").isNotNull()
     spelled = F.col("spelled") + F.coalesce("asked", F.lit(0.0)) + F.lit(float(np.log(1 - mix[2])))
-    share = F.when(~F.col("rare"), F.col("share")).when(counted, F.log(F.col("c") / F.lit(float(max(1, model["n"]))))).otherwise(F.lit(float(np.log(1e-300)))) + F.lit(float(np.log(mix[2])))
+    share = F.when(~F.col("rare"), F.col("share")).when(counted, F.log("c")).otherwise(F.lit(float(np.log(1e-300)))) + F.col("due") + F.lit(float(np.log(mix[2])))
     mixed = F.greatest(spelled, share) + F.log1p(F.exp(-F.abs(spelled - share)))
     rare = late.groupBy("__rid").agg(F.count(F.when(counted, 1)).alias("__more"), F.sum(F.when(counted, F.log10(F.col("c") + 1))).alias("__rare"), (F.sum(mixed) * F.lit(float(np.log10(np.e)))).alias("__late"))
     whole = found.join(rare, "__rid", "left")

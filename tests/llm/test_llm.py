@@ -340,7 +340,7 @@ def test_attention_gradient_and_windows():
 
 
 def distributions(model, ids):
-    """After the ids of one text: P(each piece or the text's end begins here), and P(each piece goes on), with the word's end."""
+    """After the ids of one text: P(each piece or the text's end begins here), and P(each piece goes on), with the word's end; P(a known word's class)."""
     t, p, mix = model["tables"].value, model["params"], model["mix"]
     size = len(p["inputs"]) - 2
     stream = np.array([*ids, 0])
@@ -358,11 +358,12 @@ def distributions(model, ids):
     share = np.where(begins, row[cls] * t["inner"], 0)
     start = pair(-1)
     start[size] = t["end_p"]
-    first = mix[1] * start + (1 - mix[1]) * share / (row[: lm_score.STARTS].sum() + row[lm_score.END])
+    opens = row[: lm_score.STARTS].sum() + row[lm_score.END]
+    first = mix[1] * start + (1 - mix[1]) * share / opens
     if not ids:
-        return first, None, None
+        return first, None, None, row / opens
     going = mix[0] * pair(ids[-1]) + (1 - mix[0]) * np.where(begins, 0, row[cls] * t["inner"])
-    return first, going, mix[0] * t["ends"][ids[-1]] + (1 - mix[0]) * (row[: lm_score.STARTS].sum() + row[lm_score.END])
+    return first, going, mix[0] * t["ends"][ids[-1]] + (1 - mix[0]) * opens, row / opens
 
 
 def test_probabilities_sum_to_one_and_scores_are_theirs(spark, docs):
@@ -371,24 +372,29 @@ def test_probabilities_sum_to_one_and_scores_are_theirs(spark, docs):
     use = lm_score.Subwords(model["vocabulary"].value)
     code = lambda text: use.ids([w for w in words(text)])
     for text in ("", "the", "we wrote unfathomable things about der und"):
-        first, going, end = distributions(model, [i for w in code(text) for i in w])
+        first, going, end, _ = distributions(model, [i for w in code(text) for i in w])
         assert math.isclose(first.sum(), 1, rel_tol=1e-4)
         assert going is None or math.isclose(going.sum() + end, 1, rel_tol=1e-4)
     counts = {r["token"]: r["c"] for r in model["counts"].collect()}
-    n, w = sum(counts.values()), model["mix"][2]
+    w, once = model["mix"][2], sum(c == 1 for c in counts.values())
+    assert math.isclose(w, 1 - once / sum(counts.values()))
+    cls = model["tables"].value["cls"]
+    of_class = collections.Counter()
+    for word, c in counts.items():
+        of_class[cls[code(word)[0][0] if word else use.size]] += c
     texts = [(i, t) for i, t in enumerate(["", "the", "zzyx the qqq", "one two three four five six"])] + [(10 + r["doc_id"], " ".join(r["text"].split()[:25])) for r in some.where("doc_id >= 74").collect()]
     got = {r["doc_id"]: r["score"] for r in lm_score.score(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
     for i, text in texts:
         seen, total = [], 0.0
         for word, ids in [*zip(words(text), code(text)), ("", [use.size])]:
-            spelled = 1.0
+            spelled, known = 1.0, distributions(model, seen)[3][cls[ids[0]]] * counts.get(word, 0) / max(1, of_class[cls[ids[0]]])
             for k, piece in enumerate(ids):
-                first, going, _ = distributions(model, seen)
+                first, going, *_ = distributions(model, seen)
                 spelled *= (going if k else first)[piece]
                 seen.append(piece)
             if word:
                 spelled *= distributions(model, seen)[2]
-            total += math.log10((1 - w) * spelled + w * counts.get(word, 0) / n)
+            total += math.log10((1 - w) * spelled + w * known)
         assert math.isclose(got[i], total, rel_tol=1e-3), (i, got[i], total)
 
 
@@ -410,3 +416,28 @@ def test_pipeline(spark, sf_dir):
     lettered = {i for i, r in first.items() if re.search(r"[^\W\d_]", r["text"])}
     assert set(got) <= lows - dirty
     assert len(lows & lettered - dirty - set(got)) <= 0.01 * len(first)
+
+
+def test_attention_carries_the_score(docs):
+    some = docs.select("doc_id", "text")
+    held = common.fold("doc_id", 7) == 2
+    model = lm_score.fit(some.where(~held), "text", F.col("doc_id"))
+    total = lambda m: [r["s"] for r in lm_score.score(some, m).groupBy((held).alias("h")).agg(F.sum("score").alias("s")).orderBy("h").collect()]
+    params = model["params"]
+    whole, off = total(model), total(model | {"params": params | {"o": np.zeros_like(params["o"])}})
+    assert off[0] < 1.02 * whole[0] and off[1] < 1.02 * whole[1]  # both without the layer are worse by over 2 %
+
+
+def test_word_starts_are_grouped_by_their_company():
+    starts = np.ones(200, dtype=bool)
+    counts = np.concatenate([np.full(lm_score.SINGLE_STARTS, 1000.0), np.full(200 - lm_score.SINGLE_STARTS, 10.0)])
+    cls, near = lm_score.classes_of(starts, counts), np.zeros((200, lm_score.SINGLE_STARTS))
+    rest = np.arange(lm_score.SINGLE_STARTS, 200)
+    near[rest, rest % lm_score.SINGLE_STARTS] = 50  # as many kinds of company as single classes
+    near[199] = 0
+    got = lm_score.regrouped(cls, starts, near)
+    assert (got[: lm_score.SINGLE_STARTS] == cls[: lm_score.SINGLE_STARTS]).all() and got[199] == cls[199]
+    assert len({got[i] for i in rest[:-1]}) == lm_score.SINGLE_STARTS
+    assert all(len({got[i] for i in rest[:-1] if i % lm_score.SINGLE_STARTS == k}) == 1 for k in range(lm_score.SINGLE_STARTS))
+    keys = lm_score.company(np.array([0, 30, 1, 47]), np.array([5, 6, 7, 9]), np.array([0, 0, 0, 1]))
+    assert sorted(keys.tolist()) == sorted(x * lm_score.SINGLE_STARTS + c for x, c in ((6, 0), (7, 0), (6, 1), (5, 1)))
