@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from .common import write_table
 from .pieces import DEFAULT_MODEL, runs
 
-DIM, CONTEXT, SPAN, CLASSES = 8, 16, 16, 48
+DIM, CONTEXT, SPAN, CLASSES = 8, 8, 24, 40
 LENGTH = CONTEXT + SPAN
 END = CLASSES - 1  # a class; as inputs only there are, after all pieces, the start of a text and what stands for no id
 ROUNDS, SLICES, RATE, FAN, BATCH = 2, 32, 0.01, 32, 256
@@ -59,7 +59,7 @@ MIX, KNOWN = (0.7, 0.7, None), (0.05, 0.99)
 #: Words and piece pairs that scoring tasks hold: the most frequent ones.
 HOT, PAIRS = 120_000, 400_000
 KEEP_WORDS, KEEP_IDS, FLUSH, RUN_BYTES = 300_000, 2_000_000, 200_000, 1_000_000
-SINGLE_STARTS, SINGLE_INNER, GROUP_STARTS, GROUP_INNER = 16, 4, 24, 3
+SINGLE_STARTS, SINGLE_INNER, GROUP_STARTS, GROUP_INNER = 14, 3, 20, 2
 STARTS = SINGLE_STARTS + GROUP_STARTS  # the first classes are those of word starts
 REACH = 3  # words on each side whose classes make a word start's company
 
@@ -462,7 +462,7 @@ def attention_tables(p: dict):
     return np.ascontiguousarray(ids[:, : 2 * DIM]), places[:, : 2 * DIM], np.ascontiguousarray(ids[:, 2 * DIM :]), places[CONTEXT:, 2 * DIM :], hold_a, hold_z, np.exp(p["bigrams"])
 
 
-def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes: np.ndarray, block: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes: np.ndarray, block: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Of every id of the stream, each scored once: P(its class | ids before), and the share S of classes that begin a word or
     end the text.
 
