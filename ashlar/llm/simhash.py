@@ -64,6 +64,15 @@ def fingerprint(raw: bytes, width: int) -> int:
     return int(np.packbits(2 * total > n).view(">u8")[0])
 
 
+def majority(digests: bytes) -> int:
+    """The fingerprint of 64-bit values, unsigned; zero for none."""
+    total, step = np.zeros(BITS, dtype=np.int64), 65536 * 8
+    for lo in range(0, len(digests), step):
+        bits = np.unpackbits(np.frombuffer(digests[lo : lo + step], dtype=np.uint8).reshape(-1, 8), axis=1)
+        total += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(digests) // 8).view(">u8")[0])
+
+
 def fingerprints(docs: DataFrame, text: str, width: int, out: str) -> DataFrame:
     """docs without `text`, with the fingerprint as a (signed) long in column `out`."""
     kept = [c for c in docs.columns if c != text]

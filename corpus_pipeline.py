@@ -2,7 +2,7 @@
 
 Language identification drops documents whose language is not recognised (no letter, or a score below
 MIN_SCORE), near-dedup keeps one document of each group of texts that are linked by a Jaccard similarity
-of five-word shingles of 0.8 or more, decontamination drops documents that the benchmark covers, personal data
+of five-word shingles of 0.8 or more (found by SimHash and generalised pigeonhole first, then exactly), decontamination drops documents that the benchmark covers, personal data
 is masked in the text, and the last stage adds subword ids. All but the last return the columns of documents."""
 
 from __future__ import annotations
