@@ -49,6 +49,19 @@ def write_table(df: DataFrame, name: str, keep: bool = False, **options: str) ->
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def byte_batches(spark: SparkSession, size: str = "4m"):
+    """Inside, rows go to Python in batches of about so many bytes (a longer row by itself); Spark's own limit of 10,000 rows is tens
+    of MB of text, which the task's JVM and its Python both hold."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

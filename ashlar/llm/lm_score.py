@@ -43,10 +43,11 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import byte_batches, write_table
 from .pieces import DEFAULT_MODEL, runs
 
 DIM, CONTEXT, SPAN, CLASSES = 8, 16, 16, 48
@@ -70,6 +71,29 @@ def raw_texts(batch, name: str) -> list[bytes]:
     return [t or b"" for t in col.to_pylist()]
 
 
+def text_runs(batches, name: str):
+    """(rows, their texts) of about RUN_BYTES of text each, so that a batch's texts are never Python's together."""
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index(name))
+        for lo, n in runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), RUN_BYTES):
+            yield batch.slice(lo, n), column.slice(lo, n)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of the texts, the last being the end; all words by their numbers there, each text with its end; and how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    counts, flat = pc.list_value_length(parts).to_numpy().astype(np.int64), parts.flatten()
+    full = pc.binary_length(flat).to_numpy() > 0  # white space at a text's beginning or end gives empty parts
+    if not full.all():
+        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[full], minlength=len(counts))
+        flat = flat.filter(pa.array(full))
+    coded, counts = flat.dictionary_encode(), counts + 1
+    codes, inner = np.full(int(counts.sum()), len(coded.dictionary), dtype=np.int32), np.ones(int(counts.sum()), dtype=bool)
+    inner[np.cumsum(counts) - 1] = False
+    codes[inner] = coded.indices.to_numpy()
+    return pa.concat_arrays([coded.dictionary, pa.array([""], flat.type)]), codes, counts
+
+
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """(token, c) over all texts; the token '' is the end of a text."""
 
@@ -82,7 +106,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
             keys = [k.decode("utf-8", "replace") for k in held]
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(held.values()), pa.int64())], names=["token", "n"])
 
-        for batch in batches:
+        for batch, _ in text_runs(batches, text):
             for raw in raw_texts(batch, text):
                 held.update(raw.lower().split())
                 held[b""] += 1
@@ -103,11 +127,30 @@ class Subwords:
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.size = self.sp.get_piece_size()
-        self.begin = self.starts().tolist()
+        self.begin = self.starts()
 
     def ids(self, words: list[str]) -> list[list[int]]:
-        begin = self.begin
-        return [x if x and begin[x[0]] and (len(x) == 1 or not any(map(begin.__getitem__, x[1:]))) else [0] for x in self.sp.encode(words, num_threads=1)]
+        ids, sizes = self.flat(words)
+        ends, ids = np.cumsum(sizes).tolist(), ids.tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and how many each word has."""
+        coded = self.sp.encode(words, num_threads=1)
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+        ids = np.fromiter(chain.from_iterable(coded), dtype=np.int64, count=int(sizes.sum()))
+        del coded
+        ends = np.cumsum(sizes)
+        begins = np.concatenate([[0], np.cumsum(self.begin[ids])])
+        whole = (sizes > 0) & (begins[ends] - begins[ends - sizes] == 1)  # one piece begins a word, and it is the first
+        whole[whole] = self.begin[ids[(ends - sizes)[whole]]]
+        if not whole.all():
+            kept = np.repeat(whole, sizes)
+            many = np.where(whole, sizes, 1)
+            out = np.zeros(int(many.sum()), dtype=np.int64)
+            out[np.repeat(whole, many)] = ids[kept]
+            ids, sizes = out, many
+        return ids, sizes
 
     def starts(self) -> np.ndarray:
         """Which pieces begin a word; the unknown piece does."""
@@ -348,9 +391,7 @@ class Words:
         if not new:
             return
         t, names = self.t, list(new)
-        coded = self.subwords.ids([w.decode("utf-8", "replace") for w in names])
-        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        ids = np.fromiter(chain.from_iterable(coded), dtype=np.int64, count=int(sizes.sum()))
+        ids, sizes = self.subwords.flat([w.decode("utf-8", "replace") for w in names])
         begin = np.cumsum(sizes) - sizes
         before = np.concatenate([[0], ids[:-1] + 1])
         before[begin] = 0
@@ -359,7 +400,7 @@ class Words:
         if len(have):
             at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
             pair = np.where(have[at] == keys, t["pair_p"][at], np.float32(-1))
-        c = np.fromiter((self.hot.get(w, -1) for w in names), dtype=np.int64, count=len(names))
+        c = np.fromiter(map(self.hot.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         first = len(self.index)
         self.index.update(zip(names, range(first, first + len(names)), strict=True))
         fresh = [sizes, begin + len(self.arrays[5]), np.where(c < 0, 0.0, np.log10(np.maximum(c, 0) + 1.0)), np.sign(c), self.log_share(c), ids, pair, keys]
@@ -375,20 +416,17 @@ class Words:
     def share_of(self, numbers: np.ndarray) -> np.ndarray:
         return self.arrays[4][numbers]
 
-    def texts(self, raws: list[bytes]):
-        """Words of the texts as numbers, with an end each, how many each text has, and the words."""
+    def texts(self, texts: pa.Array):
+        """Words of the texts as numbers, with an end each, how many each text has, and the words, each kept once."""
         if len(self.index) > KEEP_WORDS or len(self.arrays[5]) > KEEP_IDS:
             self.reset()
-        split = [[*r.lower().split(), b""] for r in raws]
-        counts = np.array([len(ws) for ws in split], dtype=np.int64)
-        flat, miss = list(chain.from_iterable(split)), repeat(-1)
-        numbers = np.fromiter(map(self.index.get, flat, miss), dtype=np.int64, count=len(flat))
+        kinds, codes, counts = split_words(texts)
+        names = kinds.cast(pa.large_binary()).to_pylist()
+        numbers = np.fromiter(map(self.index.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         unseen = np.flatnonzero(numbers < 0)
-        if len(unseen):
-            some = [flat[i] for i in unseen.tolist()]
-            self.add(list(dict.fromkeys(some)))
-            numbers[unseen] = np.fromiter(map(self.index.__getitem__, some), dtype=np.int64, count=len(some))
-        return numbers, counts, flat
+        numbers[unseen] = len(self.index) + np.arange(len(unseen))
+        self.add([names[i] for i in unseen.tolist()])
+        return numbers[codes], counts, pa.DictionaryArray.from_arrays(codes, kinds)
 
     def stream(self, numbers: np.ndarray, counts: np.ndarray):
         """All ids, where they stand in the arrays, ids of each text, and where words begin."""
@@ -410,20 +448,19 @@ def train(docs: DataFrame, text: str, params: dict, vocabulary, tables) -> tuple
         words, trainer = Words(vocabulary.value, tables.value), Trainer(sent.value)
         classes = tables.value["cls"]
         near = np.zeros((many - 1) * SINGLE_STARTS, dtype=np.int64)
-        for batch in batches:
-            raws = raw_texts(batch, text)
-            for lo, n in runs([len(r) for r in raws], RUN_BYTES):
-                numbers, counts, _ = words.texts(raws[lo : lo + n])
-                ids, _, sizes, starts = words.stream(numbers, counts)
-                trainer.learn(ids, classes[ids], sizes)
-                near += np.bincount(company(classes[ids[starts]], ids[starts], np.repeat(np.arange(n), counts)), minlength=len(near))
+        for _, texts in text_runs(batches, text):
+            numbers, counts, _ = words.texts(texts)
+            ids, _, sizes, starts = words.stream(numbers, counts)
+            trainer.learn(ids, classes[ids], sizes)
+            near += np.bincount(company(classes[ids[starts]], ids[starts], np.repeat(np.arange(len(texts)), counts)), minlength=len(near))
         if trainer.seen:
             row = np.concatenate([trainer.seen * np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64), (trainer.p["e"] * trainer.met[:, None]).ravel(), trainer.met])
             whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a))
             held = np.flatnonzero(near)
             yield pa.RecordBatch.from_arrays([pa.array([float(trainer.seen)]), whole(row), whole(held), whole(near[held])], names=["w", "v", "k", "n"])
 
-    made, _ = write_table(docs.select(text).mapInArrow(run, "w double, v array<double>, k array<long>, n array<long>").withColumn("part", F.spark_partition_id()), "weights")
+    with byte_batches(docs.sparkSession):
+        made, _ = write_table(docs.select(text).mapInArrow(run, "w double, v array<double>, k array<long>, n array<long>").withColumn("part", F.spark_partition_id()), "weights")
     met = made.select(F.explode(F.arrays_zip("k", "n")).alias("x")).groupBy("x.k").agg(F.sum("x.n").alias("n"))
     parts = made.select("w", "v", "part")
     left = parts.agg(F.max("part")).first()[0]
@@ -531,7 +568,8 @@ def class_tables(pairs: DataFrame, cls: np.ndarray, unigrams: np.ndarray, texts:
 def fit(docs: DataFrame, text: str, slice_of, model_path: str = DEFAULT_MODEL, mix: tuple[float, float, float | None] = MIX):
     """Counts table, totals, and what the scoring tasks need. docs: the training documents; slice_of: their slice."""
     spark = docs.sparkSession
-    counts, _ = write_table(word_counts(docs, text), "counts")
+    with byte_batches(spark):
+        counts, _ = write_table(word_counts(docs, text), "counts")
     n, v, once = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.count(F.when(F.col("c") == 1, 1))).first()
     mix = (*mix[:2], float(np.clip(1 - once / max(1, n), *KNOWN)) if mix[2] is None else mix[2])
     with open(model_path, "rb") as f:
@@ -579,54 +617,52 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def run(batches):
         words, params, t = Words(vocabulary.value, tables.value), layer.value, tables.value
         lookup = attention_tables(params)
-        for batch in batches:
-            raws = raw_texts(batch, text)
-            for lo, n in runs([len(r) for r in raws], RUN_BYTES):
-                numbers, counts, flat = words.texts(raws[lo : lo + n])
-                _, _, base, known, *_ = words.flat()
-                begin = np.cumsum(counts) - counts
-                state = known[numbers]
-                ids, spot, sizes, starts = words.stream(numbers, counts)
-                *_, pair, keys = (x[spot] for x in words.flat()[5:])
-                first = np.zeros(len(ids), dtype=bool)
-                first[starts] = True
-                found, opens = attention_scores(params, lookup, ids, t["cls"][ids], sizes)
-                m = np.where(first, mix[1], mix[0])
-                other = (1 - m) * (found / np.where(first, np.maximum(opens, 1e-30), 1) * t["inner"][ids])
-                lack = pair < 0
-                spelled = np.add.reduceat(np.where(lack, 0.0, np.log(np.maximum(m * pair + other, 1e-300))), starts)
-                kind = t["cls"][ids[starts]]  # what the layer expects of a word that is known: its class here, by the class's words
-                due = np.log(np.maximum(found[starts] / np.maximum(opens[starts], 1e-30), 1e-300)) - t["class_words"][kind]
-                inner_words = np.ones(len(starts), dtype=bool)
-                inner_words[begin + counts - 1] = False  # the ends of texts
-                after = starts[np.flatnonzero(inner_words) + 1]  # where the next word begins
-                spelled[inner_words] += np.log(np.maximum(mix[0] * t["ends"][ids[after - 1]] + (1 - mix[0]) * opens[after], 1e-300))
-                lacks = np.add.reduceat(lack.astype(np.int32), starts)
-                rare = state < 0
-                late = rare | (lacks > 0)
-                by_word = spelled + np.log(1 - mix[2])
-                total = np.add.reduceat(np.where(late, 0.0, np.logaddexp(by_word, words.share_of(numbers) + due + np.log(mix[2]))), begin) * np.log10(np.e)
-                ends = np.concatenate([[0], np.cumsum(np.add.reduceat(late.astype(np.int32), begin))]).astype(np.int32)
-                here = np.flatnonzero(late)
-                at = np.concatenate([[0], np.cumsum(lacks[here])]).astype(np.int32)
-                pieces = pa.StructArray.from_arrays([pa.array(keys[lack]), pa.array(m[lack]), pa.array(other[lack].astype(np.float64))], names=["k", "m", "o"])
-                each = [
-                    pa.array([flat[i] for i in here.tolist()], pa.binary()).cast(pa.string(), safe=False), pa.array(rare[here]), pa.array(spelled[here]),
-                    pa.array(words.share_of(numbers)[here]), pa.array(due[here]), pa.ListArray.from_arrays(pa.array(at), pieces),
-                ]
-                cold = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(each, names=["token", "rare", "spelled", "share", "due", "pieces"]))
-                part = batch.slice(lo, n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(part.column(part.schema.get_field_index(c)) for c in (*kept, "__rid")), pa.array(counts), pa.array(np.add.reduceat((state > 0).astype(np.int64), begin)), pa.array(sizes),
-                        pa.array(np.add.reduceat(base[numbers], begin)), pa.array(total), cold,
-                    ],
-                    names=[*kept, "__rid", "n_tokens", "__known", "n_ids", "__base", "score", "__cold"],
-                )
+        for part, texts in text_runs(batches, text):
+            numbers, counts, tokens = words.texts(texts)
+            _, _, base, known, *_ = words.flat()
+            begin = np.cumsum(counts) - counts
+            state = known[numbers]
+            ids, spot, sizes, starts = words.stream(numbers, counts)
+            *_, pair, keys = (x[spot] for x in words.flat()[5:])
+            first = np.zeros(len(ids), dtype=bool)
+            first[starts] = True
+            found, opens = attention_scores(params, lookup, ids, t["cls"][ids], sizes)
+            m = np.where(first, mix[1], mix[0])
+            other = (1 - m) * (found / np.where(first, np.maximum(opens, 1e-30), 1) * t["inner"][ids])
+            lack = pair < 0
+            spelled = np.add.reduceat(np.where(lack, 0.0, np.log(np.maximum(m * pair + other, 1e-300))), starts)
+            kind = t["cls"][ids[starts]]  # what the layer expects of a word that is known: its class here, by the class's words
+            due = np.log(np.maximum(found[starts] / np.maximum(opens[starts], 1e-30), 1e-300)) - t["class_words"][kind]
+            inner_words = np.ones(len(starts), dtype=bool)
+            inner_words[begin + counts - 1] = False  # the ends of texts
+            after = starts[np.flatnonzero(inner_words) + 1]  # where the next word begins
+            spelled[inner_words] += np.log(np.maximum(mix[0] * t["ends"][ids[after - 1]] + (1 - mix[0]) * opens[after], 1e-300))
+            lacks = np.add.reduceat(lack.astype(np.int32), starts)
+            rare = state < 0
+            late = rare | (lacks > 0)
+            by_word = spelled + np.log(1 - mix[2])
+            total = np.add.reduceat(np.where(late, 0.0, np.logaddexp(by_word, words.share_of(numbers) + due + np.log(mix[2]))), begin) * np.log10(np.e)
+            ends = np.concatenate([[0], np.cumsum(np.add.reduceat(late.astype(np.int32), begin))]).astype(np.int32)
+            here = np.flatnonzero(late)
+            at = np.concatenate([[0], np.cumsum(lacks[here])]).astype(np.int32)
+            pieces = pa.StructArray.from_arrays([pa.array(keys[lack]), pa.array(m[lack]), pa.array(other[lack].astype(np.float64))], names=["k", "m", "o"])
+            each = [
+                tokens.take(pa.array(here)).dictionary_decode().cast(pa.string()), pa.array(rare[here]), pa.array(spelled[here]),
+                pa.array(words.share_of(numbers)[here]), pa.array(due[here]), pa.ListArray.from_arrays(pa.array(at), pieces),
+            ]
+            cold = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(each, names=["token", "rare", "spelled", "share", "due", "pieces"]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(part.column(part.schema.get_field_index(c)) for c in (*kept, "__rid")), pa.array(counts), pa.array(np.add.reduceat((state > 0).astype(np.int64), begin)), pa.array(sizes),
+                    pa.array(np.add.reduceat(base[numbers], begin)), pa.array(total), cold,
+                ],
+                names=[*kept, "__rid", "n_tokens", "__known", "n_ids", "__base", "score", "__cold"],
+            )
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     schema = (fields + ", " if fields else "") + "__rid long, n_tokens long, __known long, n_ids long, __base double, score double, __cold array<struct<token:string,rare:boolean,spelled:double,share:double,due:double,pieces:array<struct<k:long,m:double,o:double>>>>"
-    found, _ = write_table(docs.withColumn("__rid", F.monotonically_increasing_id()).mapInArrow(run, schema), "scored")
+    with byte_batches(docs.sparkSession):
+        found, _ = write_table(docs.withColumn("__rid", F.monotonically_increasing_id()).mapInArrow(run, schema), "scored")
     late = found.select("__rid", F.posexplode("__cold").alias("__w", "x")).select("__rid", "__w", "x.*")
     ask = late.select("__rid", "__w", F.explode("pieces").alias("x")).select("__rid", "__w", "x.*").join(model["pairs"], "k", "left")
     ask = ask.groupBy("__rid", "__w").agg(F.sum(F.log(F.greatest(F.col("m") * F.coalesce("p", F.lit(0.0)) + F.col("o"), F.lit(1e-300)))).alias("asked"))
