@@ -250,6 +250,8 @@ def initial(bigrams: np.ndarray, inputs: np.ndarray, seed: int = 3) -> dict[str,
 
 FIXED = ("bigrams", "inputs")
 ALLOWED = (np.arange(LENGTH)[None] <= np.arange(CONTEXT, LENGTH)[:, None]).astype(np.float32)
+#: The classes that begin a word or end the text, and all.
+OPENING = np.stack([(np.arange(CLASSES) < STARTS) | (np.arange(CLASSES) == END), np.ones(CLASSES)], axis=1).astype(np.float32)
 
 
 def windows(stream: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -261,11 +263,13 @@ def windows(stream: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray
     begin = np.repeat(np.cumsum(sizes) - sizes, counts)
     size = np.repeat(sizes, counts)
     number = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = number[:, None] * SPAN + np.arange(-CONTEXT, SPAN)[None]
-    ids = stream[np.clip(begin[:, None] + at - 1, 0, len(stream) - 1)]
-    ids = np.where(at == 0, pad - 1, np.where((at < 0) | (at >= size[:, None]), pad, ids))
+    begin, size = begin.astype(np.int32), size.astype(np.int32)[:, None]
+    at = (number * SPAN).astype(np.int32)[:, None] + np.arange(-CONTEXT, SPAN, dtype=np.int32)
+    ids = stream.astype(np.int32, copy=False).take(begin[:, None] + at - 1, mode="clip")
+    ids[(at < 0) | (at >= size)] = pad
+    ids[at == 0] = pad - 1
     goal = at[:, CONTEXT:]
-    return ids, np.where(goal < size[:, None], begin[:, None] + goal, -1)
+    return ids, np.where(goal < size, begin[:, None] + goal, np.int32(-1))
 
 
 def sums(m: np.ndarray) -> np.ndarray:
@@ -372,8 +376,10 @@ class Words:
         self.hot = dict(zip(tables["hot"], tables["hot_c"].tolist(), strict=True))
         self.index: dict[bytes, int] = {b"": 0}
         c = self.hot.get(b"")
-        one = np.ones(1, dtype=np.int64)
-        self.arrays = [one, 0 * one, np.array([0.0 if c is None else np.log10(c + 1)]), np.array([-1 if c is None else 1]), self.log_share(np.array([c or 0])), self.subwords.size * one, np.array([self.t["end_p"]], np.float32), 0 * one]
+        self.arrays = [
+            np.ones(1, np.int32), np.zeros(1, np.int64), np.array([0.0 if c is None else np.log10(c + 1)]), np.array([-1 if c is None else 1], np.int8), self.log_share(np.array([c or 0])),
+            np.array([self.subwords.size], np.int32), np.array([self.t["end_p"]], np.float32),
+        ]
 
     def reset(self) -> None:
         """Forget all but the end and the hot words."""
@@ -381,7 +387,7 @@ class Words:
         keep = np.fromiter(map(self.index.__getitem__, names), dtype=np.int64, count=len(names))
         sizes, offs, base, known, share, *by_id = self.arrays
         n = sizes[keep]
-        begin = np.cumsum(n) - n
+        begin = np.cumsum(n, dtype=np.int64) - n
         at = np.arange(int(n.sum())) + np.repeat(offs[keep] - begin, n)
         self.index = {w: i for i, w in enumerate(names)}
         self.arrays = [n, begin, base[keep], known[keep], share[keep], *(a[at] for a in by_id)]
@@ -403,8 +409,9 @@ class Words:
         c = np.fromiter(map(self.hot.get, names, repeat(-1)), dtype=np.int64, count=len(names))
         first = len(self.index)
         self.index.update(zip(names, range(first, first + len(names)), strict=True))
-        fresh = [sizes, begin + len(self.arrays[5]), np.where(c < 0, 0.0, np.log10(np.maximum(c, 0) + 1.0)), np.sign(c), self.log_share(c), ids, pair, keys]
-        self.arrays = [np.concatenate(x) for x in zip(self.arrays, fresh, strict=True)]
+        fresh = [sizes, begin + len(self.arrays[5]), np.where(c < 0, 0.0, np.log10(np.maximum(c, 0) + 1.0)), np.sign(c), self.log_share(c), ids, pair]
+        for i, x in enumerate(fresh):
+            self.arrays[i] = np.concatenate([self.arrays[i], x.astype(self.arrays[i].dtype, copy=False)])
 
     def flat(self):
         return self.arrays
@@ -431,7 +438,7 @@ class Words:
     def stream(self, numbers: np.ndarray, counts: np.ndarray):
         """All ids, where they stand in the arrays, ids of each text, and where words begin."""
         sizes, offs, *_ = self.arrays
-        n = sizes[numbers]
+        n = sizes[numbers].astype(np.int64)
         ends = np.cumsum(n)
         at = np.arange(int(ends[-1])) + np.repeat(offs[numbers] - (ends - n), n)
         per_text = np.add.reduceat(n, np.cumsum(counts) - counts)
@@ -496,7 +503,8 @@ def attention_tables(p: dict):
     both = [longest(ids, j) + longest(places, j) for j in range(4)]
     hold_a = both[2] * both[0] > 40
     hold_z = (both[3] + both[1]) * np.sqrt((p["o"] ** 2).sum(0)).max() > 40
-    return np.ascontiguousarray(ids[:, : 2 * DIM]), places[:, : 2 * DIM], np.ascontiguousarray(ids[:, 2 * DIM :]), places[CONTEXT:, 2 * DIM :], hold_a, hold_z, np.exp(p["bigrams"])
+    one = lambda m, value: np.concatenate([m[:, : 2 * DIM], np.full((len(m), 1), value, np.float32)], axis=1)  # noqa: E731  a value that sums the weights
+    return one(ids, 1), one(places, 0), np.ascontiguousarray(ids[:, 2 * DIM :]), places[CONTEXT:, 2 * DIM :], hold_a, hold_z, np.exp(p["bigrams"])
 
 
 def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes: np.ndarray, block: int = 64) -> tuple[np.ndarray, np.ndarray]:
@@ -525,7 +533,8 @@ def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes
         if len(cut := np.flatnonzero(ragged[here])):
             a[cut] *= ~void[here][cut][:, None, :]
         h = a @ kv[..., DIM:]
-        h /= np.maximum(a.sum(2, keepdims=True), np.float32(1e-30))
+        h, whole = h[..., :DIM], h[..., DIM:]
+        h /= np.maximum(whole, np.float32(1e-30))
         h += qx[..., DIM:]
         seen = places[here] >= 0
         z = h[seen] @ p["o"]
@@ -534,12 +543,10 @@ def attention_scores(p: dict, tables, stream: np.ndarray, cls: np.ndarray, sizes
         np.exp(z, out=z)
         goal, before = places[here][seen], p["inputs"].take(ids[here, CONTEXT:][seen])
         to = cls[goal]
-        by = odds.take(before, 0)
-        open_ = np.einsum("ij,ij->i", z[:, :STARTS], by[:, :STARTS]) + z[:, END] * by[:, END]
-        total = open_ + np.einsum("ij,ij->i", z[:, STARTS:END], by[:, STARTS:END])
-        row = np.arange(len(to))
-        found[goal] = z[row, to] * by[row, to] / total
-        opens[goal] = open_ / total
+        z *= odds.take(before, 0)
+        both = z @ OPENING
+        found[goal] = z[np.arange(len(to)), to] / both[:, 1]
+        opens[goal] = both[:, 0] / both[:, 1]
     return found, opens
 
 
@@ -623,14 +630,18 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             begin = np.cumsum(counts) - counts
             state = known[numbers]
             ids, spot, sizes, starts = words.stream(numbers, counts)
-            *_, pair, keys = (x[spot] for x in words.flat()[5:])
-            first = np.zeros(len(ids), dtype=bool)
-            first[starts] = True
+            pair = words.flat()[6][spot]
+            del spot
             found, opens = attention_scores(params, lookup, ids, t["cls"][ids], sizes)
-            m = np.where(first, mix[1], mix[0])
-            other = (1 - m) * (found / np.where(first, np.maximum(opens, 1e-30), 1) * t["inner"][ids])
+            m, other = np.full(len(ids), mix[0]), found * t["inner"][ids]
+            m[starts] = mix[1]
+            other[starts] = found[starts] / np.maximum(opens[starts], np.float32(1e-30)) * t["inner"][ids[starts]]
+            other = (1 - m) * other
             lack = pair < 0
-            spelled = np.add.reduceat(np.where(lack, 0.0, np.log(np.maximum(m * pair + other, 1e-300))), starts)
+            spelled = m * pair
+            spelled += other
+            spelled[lack] = 1
+            spelled = np.add.reduceat(np.log(np.maximum(spelled, 1e-300, out=spelled), out=spelled), starts)
             kind = t["cls"][ids[starts]]  # what the layer expects of a word that is known: its class here, by the class's words
             due = np.log(np.maximum(found[starts] / np.maximum(opens[starts], 1e-30), 1e-300)) - t["class_words"][kind]
             inner_words = np.ones(len(starts), dtype=bool)
@@ -645,7 +656,10 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(np.add.reduceat(late.astype(np.int32), begin))]).astype(np.int32)
             here = np.flatnonzero(late)
             at = np.concatenate([[0], np.cumsum(lacks[here])]).astype(np.int32)
-            pieces = pa.StructArray.from_arrays([pa.array(keys[lack]), pa.array(m[lack]), pa.array(other[lack].astype(np.float64))], names=["k", "m", "o"])
+            asked, first = np.flatnonzero(lack), np.zeros(len(ids), dtype=bool)
+            first[starts] = True
+            before = np.where(first[asked], 0, ids[asked - 1].astype(np.int64) + 1)
+            pieces = pa.StructArray.from_arrays([pa.array(before << 20 | ids[asked] + 1), pa.array(m[lack]), pa.array(other[lack].astype(np.float64))], names=["k", "m", "o"])
             each = [
                 tokens.take(pa.array(here)).dictionary_decode().cast(pa.string()), pa.array(rare[here]), pa.array(spelled[here]),
                 pa.array(words.share_of(numbers)[here]), pa.array(due[here]), pa.ListArray.from_arrays(pa.array(at), pieces),
