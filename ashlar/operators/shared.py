@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,3 +42,23 @@ def ranged(df: DataFrame, keys: list[str | Column], name: str) -> DataFrame:
 
     Rows of equal keys share a part."""
     return written(df.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()), name)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Inside, the session has these settings."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """rows as they lie, or shuffled by a key where few tasks would hold most of them: a file of one block is read by one task."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    held = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]  # a row a task; no column is read
+    return rows if max(held, default=0) * tasks <= 4 * sum(held) else rows.repartition(tasks, key)

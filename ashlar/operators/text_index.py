@@ -2,37 +2,136 @@
 grams of a query only.
 
 A gram is GRAM characters of the text in lower case; a text's last grams are filled up with zero characters, so that each place has one.
-Lists are sorted by gram, text and place, in files whose statistics tell which grams they hold, and a gram's list may go over several. A query of at least GRAM characters is
-found where the grams that cover it stand at their distances; a shorter one is the beginning of grams. Nothing but lists is read for it, so no text is compared.
+Texts are taken in segments of a few MB as they lie, with no shuffle; in a segment they stand one behind the other, and a gram's list is one row: the gaps between its places, in bytes of seven
+bits. A segment's rows are sorted by gram, in pages whose statistics tell which grams they hold; its first row, of the empty gram, has its texts' `ord` and lengths. A query of at least GRAM
+characters is found where the grams that cover it stand at their distances; a shorter one is the beginning of grams. Nothing but lists is read for it, so no text is compared.
 
 Keywords are kept beside them as whole words. `ord` tells texts apart and is their order; null texts are not indexed."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from .shared import small
+from .shared import SMALL_ROWS, settings, small, spread
 
 GRAM = 3
-#: A gram's or word's list is dealt to so many tasks, and found in as many files at most.
+#: Bytes of text that are indexed together; a longer text is a segment by itself.
+SEGMENT = 4 << 20
+#: A word's list is dealt to so many tasks, and found in as many files at most.
 SALT = 16
-
-
-def characters(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+LISTS = "gram string, segment long, data binary"
+#: Pages of few lists, so that a query reads little besides its own; gaps repeat little as wholes, but their bytes are uneven, which Zstandard's codes take.
+FILES = {"compression": "zstd", "parquet.page.row.count.limit": "256", "parquet.enable.dictionary": "false"}
+
+
+def packed(gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers from 0 as bytes of seven bits, the lowest first, all but the last of a number with the high bit set; and where each number begins."""
+    long = gaps >= 128
+    size = 1 + long.astype(np.int64)
+    for bits in (14, 21, 28, 35):
+        size[long] += gaps[long] >= 1 << bits
+    begin = np.cumsum(size) - size
+    out = np.empty(int(size.sum()), np.uint8)
+    out[begin] = (gaps & 127) | (long << 7)
+    at, rest, k = np.flatnonzero(long), gaps[long] >> 7, 1
+    while len(at):
+        more = rest >= 128
+        out[begin[at] + k] = (rest & 127) | (more << 7)
+        at, rest, k = at[more], rest[more] >> 7, k + 1
+    return out, begin
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    byte = np.frombuffer(data, np.uint8).astype(np.int64)
+    last = np.flatnonzero(byte < 128)
+    first = np.r_[0, last[:-1] + 1][: len(last)]
+    value = byte[first] & 127
+    for k in range(1, int((last - first).max(initial=0)) + 1):
+        more = last - first >= k
+        value[more] |= (byte[first[more] + k] & 127) << 7 * k
+    return value
+
+
+def lists_of(ords: np.ndarray, texts: pa.Array, segment: int) -> pa.RecordBatch:
+    """The lists of one segment, sorted by gram."""
+    length = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    code = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32)
+    place = np.arange(len(code)) + np.repeat(np.arange(len(length)) * (GRAM - 1), length)
+    seen = np.zeros(int(code.max()) + 1, bool)
+    seen[0], seen[code] = True, True
+    alphabet = np.flatnonzero(seen)
+    number = np.zeros(len(seen), np.int64)
+    number[alphabet] = np.arange(len(alphabet))
+    line = np.zeros(len(code) + (GRAM - 1) * len(length), np.int64)
+    line[place] = number[code]
+    key = line[place]
+    for k in range(1, GRAM):
+        key = key * len(alphabet) + line[place + k]
+    bits = len(line).bit_length()
+    if len(alphabet) ** GRAM < 1 << 63 - bits:
+        both = np.sort(key << bits | place)
+        key, place = both >> bits, both & (1 << bits) - 1
+    else:
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    gaps = np.diff(place, prepend=0)
+    gaps[first] = place[first]
+    data, begin = packed(gaps)
+    key, symbols = key[first], []
+    for _ in range(GRAM):
+        symbols.append(alphabet[key % len(alphabet)])
+        key = key // len(alphabet)
+    letters = np.stack(symbols[::-1], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    grams = pa.array(["", *(letters[i : i + GRAM] for i in range(0, len(letters), GRAM))], pa.string())
+    held = ords.astype("<i8").tobytes() + length.astype("<i4").tobytes()
+    offsets = np.r_[0, len(held) + begin[first], len(held) + len(data)].astype(np.int32)
+    lists = pa.BinaryArray.from_buffers(pa.binary(), len(grams), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(held + data.tobytes())])
+    return pa.RecordBatch.from_arrays([grams, pa.array(np.full(len(grams), segment), pa.int64()), lists], names=["gram", "segment", "data"])
+
+
+def segments(batches):
+    """Lists of (ord, t), texts that are not empty, in segments."""
+    task, n, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def done():
+        whole = pa.Table.from_batches(held)
+        return lists_of(whole.column(0).to_numpy(), whole.column(1).combine_chunks(), task << 32 | n)
+
+    for batch in batches:
+        if held and size + batch.nbytes > SEGMENT:
+            yield done()
+            n, held, size = n + 1, [], 0
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+    if held:
+        yield done()
+
+
+def places(lists: dict[str, bytes], covers: list[tuple[int, str]], beginning: str) -> np.ndarray:
+    """Where a query of these grams (at, gram) stands in a segment, or, if there are none, what begins with the beginning."""
+    if covers:
+        if any(gram not in lists for _, gram in covers):
+            return np.empty(0, np.int64)
+        found, *others = sorted((np.cumsum(unpacked(lists[gram])) - at for at, gram in covers), key=len)
+        for x in others:
+            found = np.intersect1d(found, x, assume_unique=True)
+        return found
+    return np.sort(np.concatenate([np.empty(0, np.int64), *(np.cumsum(unpacked(x)) for gram, x in lists.items() if gram and gram.startswith(beginning))]))
 
 
 def write_index(rows: DataFrame, text: Column, path: str, words: Column | None = None) -> TextIndex:
     """Index rows (ord, ...) by a text and, if it is given, by a list of keywords."""
-    fill = F.array(*[F.lit("\0")] * (GRAM - 1))
-    texts = rows.select("ord", F.lower(text).alias("t")).where("t <> ''").repartition(rows.sparkSession.sparkContext.defaultParallelism)  # a file of few blocks is cut by many tasks
-    chars = texts.select("ord", characters(F.col("t")).alias("c")).select("ord", F.size("c").alias("n"), F.concat("c", fill).alias("c"))
-    all_ = F.transform(F.sequence(F.lit(1), "n"), lambda i: F.array_join(F.slice("c", i, F.lit(GRAM)), ""))
-    lists = chars.select("ord", F.posexplode(all_).alias("pos", "gram")).select("gram", "ord", "pos")
-    dealt = lists.repartition("gram", F.pmod("ord", F.lit(SALT)))
-    dealt.sortWithinPartitions("gram", "ord", "pos").write.parquet(f"{path}/grams")
+    texts = spread(rows, "ord").select(F.col("ord").cast("long").alias("ord"), F.lower(text).alias("t")).where("t <> ''")
+    with settings(rows.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": f"{SEGMENT // 4}b"}):
+        texts.mapInArrow(segments, LISTS).write.options(**FILES).parquet(f"{path}/grams")
     if words is not None:
         each = rows.select("ord", F.explode(F.array_distinct(F.transform(words, lambda w: F.lower(w)))).alias("word")).where("word IS NOT NULL")
         each.select("word", "ord").repartition("word", F.pmod("ord", F.lit(SALT))).sortWithinPartitions("word", "ord").write.parquet(f"{path}/words")
@@ -45,20 +144,36 @@ class TextIndex:
 
     def occurrences(self, terms: list[str]) -> DataFrame:
         """(term, ord, pos): the number of each term and where it stands, from 0; terms are not empty and in lower case."""
-        covers = [(i, at, x[at : at + GRAM], len(x)) for i, x in enumerate(terms) if len(x) >= GRAM for at in sorted({*range(0, len(x) - GRAM + 1, GRAM), len(x) - GRAM})]
-        need = {i: sum(c[0] == i for c in covers) for i in range(len(terms))}
-        lists = self.spark.read.schema("gram string, ord long, pos int").parquet(f"{self.path}/grams")
-        schema = "term int, ord long, pos int"
-        found = self.spark.createDataFrame([], schema)
-        if covers:
-            asked = self.spark.createDataFrame([(i, at, gram, need[i]) for i, at, gram, _ in covers], "term int, at int, gram string, need int")  # a row for every GRAM characters of the query
-            hit = lists.where(F.col("gram").isin(sorted({c[2] for c in covers}))).join(F.broadcast(asked), "gram")
-            met = hit.groupBy("term", "ord", (F.col("pos") - F.col("at")).alias("pos")).agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need"))
-            found = found.unionByName(met.where("n = need").select("term", "ord", "pos"))
-        for i, x in enumerate(terms):
-            if len(x) < GRAM:
-                found = found.unionByName(lists.where(F.col("gram").startswith(x)).select(F.lit(i).alias("term"), "ord", "pos"))
-        return found
+        covers = [[(at, x[at : at + GRAM]) for at in sorted({*range(0, len(x) - GRAM + 1, GRAM), len(x) - GRAM})] if len(x) >= GRAM else [] for x in terms]  # a gram for every GRAM characters of the query
+        schema, short = "term int, ord long, pos int", sorted({x for x in terms if len(x) < GRAM})
+        if not terms:
+            return self.spark.createDataFrame([], schema)
+        gram = F.col("gram")
+        asked = [F.startswith(gram, F.lit(x)) for x in short]
+        if grams := sorted({gram for held in covers for _, gram in held}):
+            asked.append(gram.isin(grams))
+        some = asked[0]
+        for x in asked[1:]:
+            some = some | x
+        lists = self.spark.read.schema(LISTS).parquet(f"{self.path}/grams")
+        hit = lists.where(gram == "").unionByName(lists.where(some & (gram != "")))
+
+        def run(table: pa.Table) -> pa.Table:
+            held = dict(zip(table.column("gram").to_pylist(), table.column("data").to_pylist(), strict=True))
+            texts = held.pop("")
+            n = len(texts) // 12
+            ords, length = np.frombuffer(texts, "<i8", n), np.frombuffer(texts, "<i4", n, 8 * n).astype(np.int64)
+            start = np.cumsum(length + GRAM - 1) - (length + GRAM - 1)
+            found = []
+            for term, (x, cover) in enumerate(zip(terms, covers, strict=True)):
+                at = places(held, cover, x)
+                which = np.searchsorted(start, at, side="right") - 1
+                pos = at - start[which]
+                kept = pos + len(x) <= length[which]
+                found.append(pa.table([pa.array(np.full(int(kept.sum()), term), pa.int32()), pa.array(ords[which[kept]], pa.int64()), pa.array(pos[kept], pa.int32())], names=["term", "ord", "pos"]))
+            return pa.concat_tables(found)
+
+        return hit.groupBy("segment").applyInArrow(run, schema)
 
     def containing(self, query: str) -> DataFrame:
         """(ord, pos): the texts that contain a query, without regard to case, and its first place."""
@@ -91,11 +206,18 @@ def search_keywords(index: TextIndex, nodes: DataFrame, wanted: list[str]) -> Da
     return nodes.join(small(index.search_keywords(wanted)), "ord").orderBy(F.desc("score"), "id")
 
 
-def search_text(index: TextIndex, chunks: DataFrame, text: str, query: str, around: int = 50) -> DataFrame:
-    """chunks that contain the query, with its first position and what stands around it; texts are read for the excerpts only."""
+def search_text(index: TextIndex, chunks: DataFrame, text: str, query: str, around: int = 50, most: int = SMALL_ROWS) -> DataFrame:
+    """chunks that contain the query, with its first position and what stands around it; texts are read for the excerpts only.
+
+    Beyond so many hits most files of texts hold one, and a join would shuffle whole texts: then texts are read where they lie, once, and tell their position themselves."""
     if len(query) < 2:
         raise ValueError("INVALID_PARAM: query")
-    hit = chunks.join(small(index.containing(query)), "ord")
+    found = index.containing(query)
+    if found.limit(most + 1).count() <= most:
+        hit = chunks.join(F.broadcast(found), "ord")
+    else:
+        low = F.lower(F.col(text))
+        hit = chunks.where(F.contains(low, F.lit(query.lower()))).withColumn("pos", F.instr(low, query.lower()) - 1)
     return hit.withColumns({"position": F.col("pos"), "excerpt": C.excerpt(F.col(text), query, around)}).drop("pos")
 
 
