@@ -58,3 +58,14 @@ def test_more_hits_than_a_broadcast_takes(spark, tmp_path):
     assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()  # no text is shuffled
     with pytest.raises(ValueError, match="INVALID_PARAM"):
         X.search_text(index, chunks, "full_text", "a", most=3)
+
+
+def test_first_chunks_leave_less_than_four_times_their_input(spark):
+    from pathlib import Path
+
+    from ashlar.plans import graph_queries as Q
+
+    d = "/root/testdata/sf0.01"
+    assert [r["id"] for r in Q.indexed_first_chunks(spark, d).collect()] == [f"CHUNK_{r['doc_id']}" for r in spark.read.parquet(f"{d}/documents.parquet").where("contains(lower(text), 'the ')").orderBy("doc_id").limit(7).collect()]
+    kept = Path(Q._stored[spark.sparkContext.applicationId, d, "chunks"].removeprefix("file://"))
+    assert sum(f.stat().st_size for f in kept.rglob("*.parquet")) < 4 * Path(f"{d}/documents.parquet").stat().st_size
