@@ -117,6 +117,14 @@ def merge(parts: list[DataFrame]) -> DataFrame:
     return merge_parts([p.select(*NODE_COLUMNS) for p in parts])
 
 
+def union(parts: list[DataFrame]) -> DataFrame:
+    """All nodes in one table; ord tells their order over all parts."""
+    whole = parts[0].select(*NODE_COLUMNS)
+    for p in parts[1:]:
+        whole = whole.unionByName(p.select(*NODE_COLUMNS))
+    return whole
+
+
 def statistics(nodes: DataFrame, relations: DataFrame) -> DataFrame:
     """(what, type, count): nodes and relations by type, and all of them under ALL."""
     by = lambda df, what: df.rollup("type").agg(F.count(F.lit(1)).alias("count")).select(F.lit(what).alias("what"), F.coalesce("type", F.lit("ALL")).alias("type"), "count")

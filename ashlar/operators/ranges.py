@@ -126,13 +126,13 @@ def entered(groups: list[str], order: str, start: Column) -> Column:
 
 
 def numbered(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """rows with their place, from 0, in the order of keys: each range partition numbers its own, after the counts of those before it."""
-    held = ranged(rows, keys, "numbered")
-    counts = held.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # a row for each part
+    """rows with their place, from 0, in the order of keys: each range partition numbers its own as it is written, after the counts of those before it."""
+    held = written(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part, local = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = held.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))  # a row for each part
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    local = F.row_number().over(Window.partitionBy("__part").orderBy(*keys)).cast("long") - 1
-    both = held.withColumn("__local", local).join(F.broadcast(counts.select("__part", before.alias("__before"))), "__part")
-    return both.withColumn(name, F.col("__local") + F.col("__before")).drop("__part", "__local", "__before")
+    both = held.withColumn("__part", part).join(F.broadcast(counts.select("__part", before.alias("__before"))), "__part")
+    return both.withColumn(name, local + F.col("__before")).drop("__part", "__at", "__before")
 
 
 def placed(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a side of a join is broadcast; such sides have one short row a key.
 SMALL_ROWS = 100_000
+#: For steps that end in files: what their shuffles wrote goes when the step is over, not when the driver happens to collect its garbage.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read back."""
     path = f"{shared_dir(df.sparkSession)}/graph/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(df.sparkSession, TIDY):
+        df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -42,8 +42,13 @@ def graph(parts: Parts, config: Config) -> tuple[DataFrame, DataFrame]:
         (parts.tables, lambda x: A.table_nodes(x, table_rules)), (parts.figures, lambda x: A.figure_nodes(x, figure_rules)), (parts.chunks, lambda x: A.chunk_nodes(x, config.page_offset)), (parts.registers, A.register_nodes),
         (parts.classes, A.class_nodes), (parts.features, A.feature_nodes), (parts.sequences, lambda x: A.feature_nodes(x, "HD_SEQUENCE", ("groups", "figures", "tables", "spec_sections", "uses_features"))),
     ]
-    nodes = numbered(A.merge([build(rows) for rows, build in made if rows is not None]).withColumnRenamed("ord", "at"), ["at"], "ord").drop("at")
-    nodes = written(nodes, "nodes")
+    nodes, before = [], 0
+    for rows, build in made:
+        if rows is not None:
+            placed = numbered(rows.withColumnRenamed("ord", "__ord"), ["__ord"], "ord")
+            nodes.append(build(placed.withColumn("ord", F.col("ord") + before)))  # rows are moved before they become nodes, which are several times as long
+            before += placed.count()
+    nodes = A.union(nodes)
     relations = edges(parts, nodes)
     placed = numbered(relations, ["part", "id"], "ord").drop("part")
     return nodes, placed.withColumns({"description": F.lit(""), "bidirectional": F.lit(False)}).select("id", "type", "source_node", "target_node", "description", "bidirectional", "ord")
@@ -102,7 +107,7 @@ def save(nodes: DataFrame, relations: DataFrame, root: str) -> str:
     """Publish a graph below root: nodes and relations as the current version, and the document of this version, whose path is returned."""
     version = export.publish(nodes, f"{root}/nodes").rsplit("=", 1)[-1]
     export.publish(relations, f"{root}/relations")
-    return export.write_document(nodes, relations, f"{root}/documents/v={version}")
+    return export.write_document(nodes, relations, f"{root}/documents/v={version}", "gzip")
 
 
 def load(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

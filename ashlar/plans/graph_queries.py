@@ -36,18 +36,21 @@ REG = (
 
 
 def register_rows(s, d) -> DataFrame:
-    access = C.access(F.when(F.col("l_returnflag") == "A", "RO").when(F.col("l_returnflag") == "R", "WO").otherwise("RW"))
-    n, key = F.col("l_linenumber"), F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    field = F.struct(
-        key.alias("k"), F.concat("l_returnflag", "l_linestatus", F.lit("_"), "l_suppkey").alias("name"), F.concat(4 * n + 3, F.lit(":"), 4 * n).alias("bits"), (4 * n + 3).alias("bit_high"), (4 * n).alias("bit_low"), F.lit(4).alias("width"),
-        access.alias("access"), F.concat(F.lit("quantity "), F.col("l_quantity").cast("int")).alias("raw"),
-    )
+    field = F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").cast("string").alias("quantity"))  # what a field is made of is shuffled, not the field
     of = t(s, d, "lineitem").groupBy("l_partkey").agg(F.array_sort(F.collect_list(field)).alias("f"))
     p = t(s, d, "part").join(of, F.col("p_partkey") == F.col("l_partkey"), "left")
     base = p.select(F.concat(F.lit("REG_"), F.hex("p_partkey")).alias("id"), F.col("p_partkey").alias("ord"), F.col("p_name").alias("name"), F.concat(F.lower(F.hex("p_partkey")), F.lit("h")).alias("offset"), F.concat(F.lit("REGCLASS_"), "p_brand").alias("class_id"),
                     F.concat_ws(".", 1 + F.col("p_partkey") % 7, 1 + F.col("p_partkey") % 5).alias("spec_section"), F.concat(F.lit("TABLE_"), "p_size").alias("spec_table"), F.col("p_size").alias("page"), F.lit(0).alias("definition_page"), "f")
-    made = F.transform(F.coalesce("f", F.array().cast(base.schema["f"].dataType)), lambda x, i: F.struct(F.concat("id", F.lit("_F"), i).alias("id"), *[x[c].alias(c) for c in ("name", "bits", "bit_high", "bit_low", "width", "access", "raw")]))
-    return base.withColumn("fields", made).drop("f")
+
+    def made(x, i):
+        n, flag = x["l_linenumber"], x["l_returnflag"]
+        access = C.access(F.when(flag == "A", "RO").when(flag == "R", "WO").otherwise("RW"))
+        return F.struct(
+            F.concat("id", F.lit("_F"), i).alias("id"), F.concat(flag, x["l_linestatus"], F.lit("_"), x["l_suppkey"]).alias("name"), F.concat(4 * n + 3, F.lit(":"), 4 * n).alias("bits"), (4 * n + 3).alias("bit_high"), (4 * n).alias("bit_low"),
+            F.lit(4).alias("width"), access.alias("access"), F.concat(F.lit("quantity "), x["quantity"]).alias("raw"),
+        )
+
+    return base.withColumn("fields", F.transform(F.coalesce("f", F.array().cast(base.schema["f"].dataType)), made)).drop("f")
 
 
 def register_graph(s, d) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import time
+import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranges import numbered
+from ..operators.shared import TIDY, settings
 from .graph import NODE, RELATION, read_graph, update_coverage
 
 #: The lines of a document that are no node and no edge.
@@ -31,24 +35,58 @@ def document(nodes: DataFrame, relations: DataFrame) -> DataFrame:
     spark = nodes.sparkSession
     last = lambda df: df.agg(F.max("ord")).first()[0]
     json = lambda df: F.to_json(F.struct(*[c for c in df.columns if c != "ord"]))
+    fixed = lambda part, text: spark.range(1, numPartitions=1).select(F.lit(part).alias("part"), F.lit(0).cast("long").alias("ord"), F.lit(text).alias("text"))
 
     def lines(df: DataFrame, part: int) -> DataFrame:
         end = last(df)
         comma = F.when(F.col("ord") == F.lit(end), F.lit("")).otherwise(F.lit(",")) if end is not None else F.lit("")
         return df.select(F.lit(part).alias("part"), F.col("ord").cast("long").alias("ord"), F.concat(json(df), comma).alias("text"))
 
-    fixed = [(0, 0, START), (2, 0, RELATIONS), (4, 0, END)]
-    return spark.createDataFrame(fixed, "part int, ord long, text string").unionByName(lines(nodes, 1)).unionByName(lines(relations, 3))
+    whole = fixed(0, START)
+    for x in (lines(nodes, 1), fixed(2, RELATIONS), lines(relations, 3), fixed(4, END)):
+        whole = whole.unionByName(x)
+    return whole
 
 
-def write_document(nodes: DataFrame, relations: DataFrame, path: str) -> str:
+def write_document(nodes: DataFrame, relations: DataFrame, path: str, compression: str = "none") -> str:
     """Write a graph as JSON, cut at line ends into part files whose names sort as the document goes; read_document() reads them.
 
-    `ord` numbers lines uniquely within nodes and within relations."""
-    document(nodes, relations).repartitionByRange("part", "ord").sortWithinPartitions("part", "ord").select("text").write.text(path)
+    `ord` numbers lines uniquely within nodes and within relations. Lines repeat their names and are many times as long as a table's rows, so they are
+    shuffled in compressed blocks of lines that follow each other; the fewer gaps tasks find between their rows' numbers, the longer are the blocks."""
+    spark = nodes.sparkSession
+    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = [df.stat.approxQuantile("ord", [i / pieces for i in range(1, pieces)], 0.01) if pieces > 1 else [] for df in (nodes, relations)]
+    with settings(spark, TIDY | {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}):
+        dealt = document(nodes, relations).mapInArrow(blocks([np.unique(np.array(c, np.float64)) for c in cuts]), "piece int, part int, ord long, block binary")
+        total = 3 + sum(len(set(c)) + 1 for c in cuts)
+        held = dealt.repartitionById(total, F.col("piece")).sortWithinPartitions("part", "ord")
+        held.select("block").mapInArrow(lines_of_blocks, "text string").write.text(path, compression=compression)
     return path
 
 
+def blocks(cuts: list[np.ndarray]):
+    """From lines (part, ord, text) to blocks of them, all of one piece; pieces follow each other as the document goes, and are cut at ord for nodes and for edges."""
+    first = {0: 0, 1: 1, 2: 2 + len(cuts[0]), 3: 3 + len(cuts[0]), 4: 4 + len(cuts[0]) + len(cuts[1])}
+
+    def run(batches):
+        for batch in batches:
+            part, ord_, text = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2)
+            piece = np.array([first[p] for p in range(5)])[part]
+            for p in (1, 3):
+                piece[part == p] += np.searchsorted(cuts[p // 2], ord_[part == p], side="left")
+            begin = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (ord_[1:] != ord_[:-1] + 1)]) if len(part) else np.empty(0, np.int64)
+            packed = [zlib.compress("\n".join(text.slice(a, b - a).to_pylist()).encode()) for a, b in zip(begin, [*begin[1:], len(part)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(piece[begin], pa.int32()), pa.array(part[begin], pa.int32()), pa.array(ord_[begin], pa.int64()), pa.array(packed, pa.binary())], names=["piece", "part", "ord", "block"])
+
+    return run
+
+
+def lines_of_blocks(batches):
+    for batch in batches:
+        for block in batch.column(0):
+            yield pa.RecordBatch.from_arrays([pa.array(zlib.decompress(block.as_py()).decode().split("\n"), pa.string())], names=["text"])
+
+
 def read_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A graph that write_document() wrote, so that no task holds the document. Lines are numbered over the files, in the order of their names and
     of their places in them; what stands before the line that begins the relations is a node, and ord is its place among nodes or edges."""
@@ -81,7 +119,8 @@ def publish(df: DataFrame, root: str) -> str:
     being read is never overwritten."""
     root = root.rstrip("/")
     path = f"{root}/versions/v={time.time_ns()}"
-    df.write.parquet(path)
+    with settings(df.sparkSession, TIDY):
+        df.write.parquet(path, compression="zstd")
     df.sparkSession.createDataFrame([(path, time.time_ns())], "path string, at long").coalesce(1).write.mode("append").json(f"{root}/current")
     return path
 
