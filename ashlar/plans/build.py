@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,9 +106,11 @@ def configured_checks(config: Config, parts: Parts, table_texts: DataFrame | Non
 
 def save(nodes: DataFrame, relations: DataFrame, root: str) -> str:
     """Publish a graph below root: nodes and relations as the current version, and the document of this version, whose path is returned."""
-    version = export.publish(nodes, f"{root}/nodes").rsplit("=", 1)[-1]
-    export.publish(relations, f"{root}/relations")
-    return export.write_document(nodes, relations, f"{root}/documents/v={version}", "gzip")
+    version = time.time_ns()
+    path = export.write_document(nodes, relations, f"{root}/documents/v={version}", "gzip")  # first, as its blocks are on disk meanwhile
+    export.publish(nodes, f"{root}/nodes", version)
+    export.publish(relations, f"{root}/relations", version)
+    return path
 
 
 def load(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

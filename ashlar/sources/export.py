@@ -114,11 +114,11 @@ def read_single(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read_graph(spark, path)
 
 
-def publish(df: DataFrame, root: str) -> str:
+def publish(df: DataFrame, root: str, version: int | None = None) -> str:
     """Write df as a new version below root and make it the current one; older versions stay as backups, and what is
     being read is never overwritten."""
     root = root.rstrip("/")
-    path = f"{root}/versions/v={time.time_ns()}"
+    path = f"{root}/versions/v={version or time.time_ns()}"
     with settings(df.sparkSession, TIDY):
         df.write.parquet(path, compression="zstd")
     df.sparkSession.createDataFrame([(path, time.time_ns())], "path string, at long").coalesce(1).write.mode("append").json(f"{root}/current")
